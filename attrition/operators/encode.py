@@ -117,36 +117,50 @@ class _RankParams(Params):
 
 
 def rank_cuts(
-    df: DataFrame, column: str, order_col: str, statistics: OrderStatistics, bins: int
-) -> tuple[list[float], list[int]]:
-    """(value, tie) pairs that end the bins of the rank with ties in ``order_col`` order.
+    df: DataFrame, column: str, order_col: str, statistics: OrderStatistics, ranks: list[int]
+) -> tuple[list, list[int]]:
+    """(value, tie) pairs of the rows at 0-based ``ranks`` by ``column``, then ``order_col``.
 
-    The tie is -1 where the cut falls behind the last row of its value."""
+    The tie is -1 where the rank is the last one of its value, so that no row behind it shares
+    the value."""
     if not isinstance(df.schema[order_col].dataType, T.IntegralType):
         raise TypeError(f"{order_col} must be an integer column")
-    n = statistics.counts[column]
-    if n < 2:
-        raise ValueError("rank bins need at least two rows")
-    ranks = _cut_ranks(n, bins)
     rows = statistics.at({column: ranks})[column]
     inside = {
-        k: (rows[r].value, r - rows[r].below)
-        for k, r in enumerate(ranks)
+        i: (rows[r].value, r - rows[r].below)
+        for i, r in enumerate(ranks)
         if r - rows[r].below < rows[r].equal - 1
     }
     ties = [-1] * len(ranks)
     if inside:
-        values = {v for v, _ in inside.values()}
+        wanted: dict[str, list[int]] = {}
+        for value, place in inside.values():
+            wanted.setdefault(repr(value), []).append(place)
         named = {
-            str(v): F.when(F.col(column) == F.lit(v), F.col(order_col)) for v in values
+            repr(value): F.when(F.col(column) == F.lit(value), F.col(order_col))
+            for value, _ in inside.values()
         }
-        wanted: dict[str, list[int]] = {}
-        for v, t in inside.values():
-            wanted.setdefault(str(v), []).append(t)
         hits = OrderStatistics(df, named).at(wanted)
-        for k, (v, t) in inside.items():
-            ties[k] = hits[str(v)][t].value
-    return [float(rows[r].value) for r in ranks], ties
+        for i, (value, place) in inside.items():
+            ties[i] = hits[repr(value)][place].value
+    return [rows[r].value for r in ranks], ties
+
+
+def not_behind(column: Column, order: Column, value, tie: int) -> Column:
+    """The row is at or before a (value, tie) cut."""
+    if tie < 0:
+        return column <= F.lit(value)
+    return (column < F.lit(value)) | ((column == F.lit(value)) & (order <= F.lit(tie)))
+
+
+def _rank_bin_cuts(
+    df: DataFrame, column: str, order_col: str, statistics: OrderStatistics, bins: int
+) -> tuple[list[float], list[int]]:
+    n = statistics.counts[column]
+    if n < 2:
+        raise ValueError("rank bins need at least two rows")
+    values, ties = rank_cuts(df, column, order_col, statistics, _cut_ranks(n, bins))
+    return [float(v) for v in values], ties
 
 
 class RankCut(Estimator, _RankParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -165,7 +179,7 @@ class RankCut(Estimator, _RankParams, DefaultParamsReadable, DefaultParamsWritab
     def _fit(self, df: DataFrame) -> RankCutModel:
         column, order = self.getOrDefault("inputCol"), self.getOrDefault("orderCol")
         with pinned(df.select(column, order)) as part:
-            values, ties = rank_cuts(
+            values, ties = _rank_bin_cuts(
                 part, column, order, OrderStatistics(part, [column]), self.getOrDefault("bins")
             )
         return RankCutModel(column, self.getOrDefault("outputCol"), order, values, ties)
@@ -187,10 +201,7 @@ class RankCutModel(Model, _RankParams, DefaultParamsReadable, DefaultParamsWrita
         values, ties = self.getOrDefault("values"), self.getOrDefault("ties")
         chain = F.when(c.isNull(), F.lit(None).cast("int"))
         for label, (value, tie) in enumerate(zip(values, ties), start=1):
-            inside = c <= F.lit(value) if tie < 0 else (c < F.lit(value)) | (
-                (c == F.lit(value)) & (order <= F.lit(tie))
-            )
-            chain = chain.when(inside, F.lit(label))
+            chain = chain.when(not_behind(c, order, value, tie), F.lit(label))
         return df.withColumn(
             self.getOrDefault("outputCol"), chain.otherwise(F.lit(len(values) + 1))
         )
@@ -370,7 +381,7 @@ def cut_all(
     edges = statistics.quantiles(
         {c: _bin_probabilities(bins) for c, (_, bins) in quantile_bins.items()}
     )
-    values, ties = rank_cuts(df, rank_column, order_col, statistics, rank_bins)
+    values, ties = _rank_bin_cuts(df, rank_column, order_col, statistics, rank_bins)
     return (
         QuantileCutModel(
             names, [out for out, _ in quantile_bins.values()],

@@ -76,6 +76,7 @@ class OrderStatistics:
         )
         self._limit = distinct_limit
         self._buckets = buckets
+        self._tables: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         profile = self._df.agg(
             *[F.count(a).alias(f"n_{a}") for a in self._alias.values()],
             *[F.approx_count_distinct(a).alias(f"d_{a}") for a in self._alias.values()],
@@ -162,8 +163,8 @@ class OrderStatistics:
             .select("e.*")
         )
 
-    def _resolve(self, intervals: list[_Interval], found: dict) -> None:
-        """Answer intervals with few distinct values from their value counts."""
+    def _value_counts(self, intervals: list[_Interval]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Sorted values and their row counts inside each interval of few distinct values."""
         self._bucketed = self._df
         counts = (
             self._long(intervals, lambda key: F.lit(0))
@@ -171,12 +172,33 @@ class OrderStatistics:
             .agg(F.count(F.lit(1)).alias("n"))
             .toPandas()
         )
+        tables = []
         for key, interval in enumerate(intervals):
             whole = self._integral[interval.name]
             part = counts[counts["key"] == key]
             values = part["l" if whole else "d"].to_numpy(np.int64 if whole else np.float64)
             order = np.argsort(values, kind="stable")
-            values, n = values[order], part["n"].to_numpy(np.int64)[order]
+            tables.append((values[order], part["n"].to_numpy(np.int64)[order]))
+        return tables
+
+    def _resolve(self, intervals: list[_Interval], found: dict) -> None:
+        """Answer intervals with few distinct values from their value counts. The counts of all
+        such columns are read together and kept, so that later questions need no pass."""
+        wanted = [i for i in intervals if i.low is not None]
+        if any(i.low is None and i.name not in self._tables for i in intervals):
+            wanted += [
+                _Interval(n, None, None, 0, d, ())
+                for n, d in self._distinct.items()
+                if d <= self._limit and n not in self._tables
+            ]
+        tables = {}
+        for interval, table in zip(wanted, self._value_counts(wanted) if wanted else []):
+            if interval.low is None:
+                self._tables[interval.name] = table
+            else:
+                tables[interval] = table
+        for interval in intervals:
+            values, n = tables[interval] if interval in tables else self._tables[interval.name]
             upto = np.cumsum(n)
             for rank in interval.ranks:
                 i = int(np.searchsorted(upto, rank - interval.offset, side="right"))

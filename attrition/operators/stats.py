@@ -72,7 +72,7 @@ def box_stats(
     df: DataFrame, columns: Iterable[str], by: str = LABEL, **limits
 ) -> DataFrame:
     """Per class and column: quartiles, median, whisker ends (the furthest points within 1.5
-    interquartile ranges of the box) and number of points beyond them."""
+    interquartile ranges of the box, at least the box itself) and number of points beyond."""
     names = list(columns)
     with pinned(df.select(by, *names)) as part:
         classes = list(class_counts(part, by))
@@ -96,8 +96,8 @@ def box_stats(
                 _double(q1).alias("q1"),
                 _double(median).alias("median"),
                 _double(q3).alias("q3"),
-                F.min(F.when(value >= F.lit(low), value)).alias("whisker_low"),
-                F.max(F.when(value <= F.lit(high), value)).alias("whisker_high"),
+                F.least(F.lit(q1), F.min(F.when(value >= F.lit(low), value))).alias("whisker_low"),
+                F.greatest(F.lit(q3), F.max(F.when(value <= F.lit(high), value))).alias("whisker_high"),
                 F.count(F.when((value < F.lit(low)) | (value > F.lit(high)), value)).alias(
                     "n_outliers"
                 ),

@@ -4,16 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "BOOLEAN": T.BooleanType(),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """Like ``StructType.fromDDL``, which would need a running session at import time."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 # --- fixed values: the record layouts that other systems exchange with this library ---
 
-RAW_SCHEMA = T.StructType.fromDDL(
+RAW_SCHEMA = _schema(
     "RowNumber BIGINT, CustomerId BIGINT, Surname STRING, CreditScore INT, Geography STRING, "
     "Gender STRING, Age INT, Tenure INT, Balance DOUBLE, NumOfProducts INT, HasCrCard INT, "
     "IsActiveMember INT, EstimatedSalary DOUBLE, Exited INT"
 )
 
 # CustomerId is wider than the producers' 32-bit id so that larger key spaces survive.
-SCORING_SCHEMA = T.StructType.fromDDL(
+SCORING_SCHEMA = _schema(
     "CustomerId BIGINT, Surname STRING, CreditScore INT, Age INT, Tenure INT, Balance DOUBLE, "
     "NumOfProducts INT, HasCrCard INT, IsActiveMember INT, EstimatedSalary DOUBLE, "
     "BalanceSalary DOUBLE, TenureAge DOUBLE, ScoreAge DOUBLE, tenure_age DOUBLE, "

@@ -220,8 +220,7 @@ GROUP BY a.Exited"""
 
 def _report(source: str, low: str, high: str, prefix: str) -> dict[str, str]:
     """The prediction reports over a CTE that ends ``prefix``."""
-    span = ("low", "high") if source == "spanned" else (low, high)
-    position = f"floor((CreditScore - {span[0]}) / (({span[1]} - {span[0]}) / 30))"
+    position = f"floor((CreditScore - {low}) / (({high} - {low}) / 30))"
     return {
         "prediction_counts": f"""{prefix}
 SELECT CAST(cls AS INT) AS prediction, count(*) FILTER (ChurnPrediction = cls) AS n_rows
@@ -421,7 +420,7 @@ FROM accounts GROUP BY Exited""",
         "box_stats": ACCOUNTS + " UNION ALL ".join(_box(c) for c in _BOX_COLUMNS),
         # reports
         **_report(
-            "spanned", "min(low)", "min(high)",
+            "spanned", "low", "high",
             f"""{RULED},
 spanned AS (SELECT *, min(CreditScore) OVER () AS low, max(CreditScore) OVER () AS high FROM ruled)""",
         ),

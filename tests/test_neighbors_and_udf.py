@@ -89,17 +89,15 @@ def test_votes(spark):
     assert got == {10: 1, 11: 0, 12: 1}
 
 
-class Linear:
-    def predict(self, matrix):
-        return matrix @ np.array([1.0, 2.0])
-
-
-class Halve:
-    def transform(self, matrix):
-        return matrix / 2
+def test_python_models(spark):
+    class Linear:
+        def predict(self, matrix):
+            return matrix @ np.array([1.0, 2.0])
 
+    class Halve:
+        def transform(self, matrix):
+            return matrix / 2
 
-def test_python_models(spark):
     df = spark.createDataFrame([(1, [2.0, 4.0]), (2, [6.0, 8.0])], "id int, a array<double>")
     df = df.withColumn("features", array_to_vector("a")).repartition(4)
     scaled = U.scale_with(df, Halve())

@@ -74,12 +74,13 @@ def oversample(
     rows = df.filter(F.col(label) == cls)
     if method == "native":
         return rows.sample(True, fraction, seed)
-    # The copies are counted before they are spread: sequence(1, 0) would count down.
+    # The hash is a column of its own, so it is computed once per row for all its comparisons; an
+    # empty array drops the row without a filter that would compute it again.
     return (
-        rows.withColumn("_copies", poisson_copies(row_hash(key, seed, "over"), fraction))
-        .filter(F.col("_copies") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .drop("_copies", "_copy")
+        rows.withColumn("_hash", row_hash(key, seed, "over"))
+        .withColumn("_copies", F.array_repeat(F.lit(1), poisson_copies(F.col("_hash"), fraction)))
+        .withColumn("_copy", F.explode("_copies"))
+        .drop("_hash", "_copies", "_copy")
     )
 
 

@@ -10,7 +10,7 @@ import math
 from collections.abc import Iterable, Mapping
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
@@ -287,15 +287,21 @@ def one_hot(df: DataFrame, columns: Iterable[str], drop_first: Iterable[str] = (
 
 
 def label_encode(df: DataFrame, columns: Iterable[str], suffix: str = "_code") -> DataFrame:
-    """Alphabetical position 0..k-1 of each category."""
+    """Alphabetical position 0..k-1 of each category; null stays null."""
     names = list(columns)
-    outputs = [c + suffix for c in names]
-    indexed = (
-        StringIndexer(inputCols=names, outputCols=outputs, stringOrderType="alphabetAsc")
-        .fit(df)
-        .transform(df)
+    levels = levels_of(df, names)
+    return df.withColumns(
+        {
+            c + suffix: (
+                F.nullif(
+                    F.array_position(F.lit(levels[c]), F.col(c).cast("string")), F.lit(0)
+                ) - 1
+            ).cast("int")
+            if levels[c]
+            else F.lit(None).cast("int")
+            for c in names
+        }
     )
-    return indexed.withColumns({c: F.col(c).cast("int") for c in outputs})
 
 
 # --- scaling -------------------------------------------------------------------------------

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from attrition.schemas import LABEL, PREDICTION
+from attrition.sources.scratch import cut_lineage
 
 
 def confusion_counts(df: DataFrame, label: str = LABEL, prediction: str = PREDICTION) -> DataFrame:
@@ -151,19 +152,20 @@ def auc_roc(
     """Exact area under the ROC curve: the share of (positive, negative) pairs in right order,
     ties counting half.
 
-    Rows shrink to one per distinct score. Negatives below a score are counted by score ranges:
-    totals of earlier ranges from a table of ``buckets`` rows, the rest within the range.
+    Rows shrink to one per distinct score, which are written once. Negatives below a score are
+    counted by score ranges: totals of earlier ranges from a table of ``buckets`` rows, the rest
+    within the range.
     """
     positive = (F.col(label) == 1).cast("bigint")
-    scores = (
+    scores = cut_lineage(
         df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
     )
     # Range borders only steer the distribution; the result does not depend on them.
-    cuts = df.agg(
+    cuts = scores.agg(
         F.percentile_approx(
-            F.col(score).cast("double"),
+            F.col("score"),
             F.lit([i / buckets for i in range(1, buckets)]),
             F.lit(10 * buckets),
         )

@@ -209,7 +209,15 @@ def knn(
     n_pivots = min(
         MAX_PIVOTS, max(2, PIVOT_BYTES // (8 * width)), math.ceil(2 * n / block_rows)
     )
-    sample = rows.select("vec", F.xxhash64("id").alias("h")).orderBy("h").limit(n_pivots)
+    # The rows with the smallest hashes; all but about eight times that many are left out before
+    # the sort, so that the tasks do not each return a full set of candidates.
+    border = min(2**63 - 1, int(-(2**63) + 2**64 * (8 * n_pivots + 64) / n))
+    sample = (
+        rows.select("vec", F.xxhash64("id").alias("h"))
+        .filter(F.col("h") <= border)
+        .orderBy("h")
+        .limit(n_pivots)
+    )
     pivots = np.unique(_matrix(sample.select("vec").toPandas()["vec"]), axis=0)
     shared_pivots = spark.sparkContext.broadcast(pivots)
 

@@ -118,7 +118,7 @@ def read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "features")
     df = featured(spark, sf_dir)
-    P.write_table(df, path, "csv", single_file=True)
+    P.write_table(df, path, "csv")
     schema = T.StructType([f for f in FEATURE_SCHEMA if f.name in df.columns])
     return P.read_table(spark, path, "csv", schema)
 
@@ -398,6 +398,10 @@ def tune(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.model_summary(M.tune(df), df)
 
 
+def knn_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.knn_holdout(training(spark, sf_dir)).select("CustomerId", LABEL, PREDICTION)
+
+
 def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = training(spark, sf_dir)
     return M.predict(M.train_forest(df, num_trees=20, max_depth=5), df)
@@ -618,6 +622,7 @@ def queries() -> dict[str, Query]:
         "train_logistic_l2": _trained(M.train_logistic_l2),
         "train_forest_default": _trained(M.train_forest_default),
         "train_poly_svm": _trained(M.train_poly_svm),
+        "knn_holdout": knn_holdout,
         "save_and_load_model": save_and_load_model,
         "knn": knn,
         "knn_classify": knn_classify,

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from attrition.functions.columns import drop_intermediate
 from attrition.operators.balance import (
     balance_classes,
+    class_counts,
     class_weights,
     oversample_to_ratio,
     random_split,
@@ -30,7 +31,8 @@ from attrition.operators.balance import (
 )
 from attrition.operators.encode import Standardize
 from attrition.operators.evaluate import summary_metrics
-from attrition.operators.synthetic import smoten_oversample
+from attrition.operators.neighbors import knn_classify
+from attrition.operators.synthetic import smoten_oversample, synthetic_rows
 from attrition.schemas import FEATURES, KEY, LABEL, PREDICTION
 from attrition.sources.scratch import pinned
 
@@ -225,6 +227,42 @@ def predict(model: PipelineModel, df: DataFrame, output: str = PREDICTION) -> Da
     return drop_intermediate(scored, [c for c in scored.columns if c not in given])
 
 
+def knn_holdout(
+    df: DataFrame, k: int = 9, weights: Sequence[float] = (0.8, 0.2), seed: int = 0,
+    features: Sequence[str] = FEATURES, key: str = KEY, label: str = LABEL, balance: bool = True,
+    **limits,
+) -> DataFrame:
+    """Test rows with the class their k nearest training rows vote for, in population-scaled
+    feature space; the training part is brought to parity with synthetic rows first."""
+    names = list(features)
+    train_rows, test_rows = random_split(df.select(key, *names, label), weights, seed, key)
+    scaler = Standardize(names, names, ddof=0).fit(train_rows)
+
+    def points(rows: DataFrame) -> DataFrame:
+        vector = F.array(*[F.col(c) for c in names])
+        return scaler.transform(rows).select(key, vector.alias("point"), label)
+
+    corpus = points(train_rows)
+    if balance:
+        counts = class_counts(train_rows, label)
+        minority, majority = sorted(counts, key=lambda c: (counts[c], -c))
+        new = synthetic_rows(
+            train_rows, counts[majority] - counts[minority], minority, names, seed=seed,
+            key=key, label=label, **limits,
+        )
+        # Ids of synthetic rows only order equal distances; negative ones are not customers'.
+        number = -1 - F.pmod(F.xxhash64("seed_key", "copy"), F.lit(2**62))
+        corpus = corpus.unionByName(
+            points(
+                new.withColumns({key: number, label: F.lit(minority)}).select(key, *names, label)
+            )
+        )
+    votes = knn_classify(points(test_rows), corpus, k, label, key, "point", **limits)
+    return test_rows.join(
+        votes.select(key, F.col("prediction").cast("double").alias(PREDICTION)), key
+    )
+
+
 class FeatureOrderError(ValueError):
     """A stored model expects other features, or another order of them."""
 

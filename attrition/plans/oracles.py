@@ -177,6 +177,20 @@ def _long(columns, source: str, expression: str) -> str:
     )
 
 
+_WHOLE = set(FLAGS) | set(
+    "CreditScore Age Tenure NumOfProducts HasCrCard IsActiveMember newAge newCreditScore AgeScore "
+    "BalanceScore SalaryScore".split()
+)
+
+
+def _type(column: str) -> str:
+    return "INT" if column in _WHOLE else "DOUBLE"
+
+
+def _filled(column: str) -> str:
+    return f"coalesce(CAST({column} AS {_type(column)}), 0) AS {column}"
+
+
 _KNN = """
 pairs AS (
   SELECT q.vec_id AS src, c.vec_id AS dst, c.label,
@@ -362,6 +376,32 @@ SELECT CustomerId, Exited FROM accounts WHERE Exited = 1 OR
 SELECT CustomerId, Exited, round(count(*) OVER () / (2 * count(*) OVER (PARTITION BY Exited)), 6) AS weight
 FROM accounts""",
         "union_classes": f"{ACCOUNTS} SELECT CustomerId, Exited FROM accounts WHERE Exited IN (0, 1)",
+        "smoten_oversample": f"""{FEATURED},
+filled AS (SELECT CustomerId, Exited, {', '.join(_filled(c) for c in FE_FEATURES)} FROM fe),
+wide AS (SELECT CustomerId, Exited, [{', '.join(f'CAST({c} AS DOUBLE)' for c in FE_FEATURES)}] AS vals
+  FROM filled),
+cells AS (SELECT CustomerId, Exited, unnest(range(1, 33)) AS f, unnest(vals) AS v FROM wide),
+codes AS (SELECT f, v, avg(Exited) AS code FROM cells GROUP BY f, v),
+coded AS (SELECT CustomerId, list(code ORDER BY f) AS point
+  FROM cells JOIN codes USING (f, v) WHERE Exited = 1 GROUP BY CustomerId),
+near AS (
+  SELECT a.CustomerId AS src, b.CustomerId AS dst FROM coded a JOIN coded b ON a.CustomerId <> b.CustomerId
+  QUALIFY row_number() OVER (PARTITION BY a.CustomerId
+    ORDER BY round(list_distance(a.point, b.point), 9), b.CustomerId) <= 5),
+counted AS (SELECT src, f, v, count(*) AS n FROM near JOIN cells ON dst = CustomerId GROUP BY ALL),
+made AS (
+  SELECT src, list(v ORDER BY f) AS vals FROM (
+    SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY src, f ORDER BY n DESC, v) = 1)
+  GROUP BY src),
+needed AS (SELECT sum(1 - Exited) - sum(Exited) AS n_new, sum(Exited) AS n_own FROM wide),
+seeds AS (
+  SELECT CustomerId AS src, n_new // n_own + CASE WHEN row_number() OVER (
+    ORDER BY CAST('0x' || substr(md5('42:' || CustomerId), 1, 15) AS BIGINT), CustomerId)
+    <= n_new % n_own THEN 1 ELSE 0 END AS copies FROM wide, needed WHERE Exited = 1),
+spread AS (SELECT vals, unnest(range(CAST(copies AS BIGINT))) AS copy FROM made JOIN seeds USING (src))
+SELECT * FROM filled UNION ALL
+SELECT NULL, 1, {', '.join(f'CAST(vals[{i}] AS {_type(c)})' for i, c in enumerate(FE_FEATURES, 1))}
+FROM spread""",
         # neighbours
         "knn": f"WITH {_KNN.format(condition='true', k=10)} "
         "SELECT src, dst, CAST(rank AS INT) AS rank, round(d, 6) AS dist FROM near",

@@ -384,9 +384,17 @@ def cut_all(
     """Fit quantile bins of several columns and rank bins of another in shared passes."""
     names = list(quantile_bins)
     statistics = OrderStatistics(df, [*names, rank_column])
-    edges = statistics.quantiles(
-        {c: _bin_probabilities(bins) for c, (_, bins) in quantile_bins.items()}
+    wanted = {c: _bin_probabilities(bins) for c, (_, bins) in quantile_bins.items()}
+    # Everything is asked for at once, so that no column costs passes of its own.
+    statistics.at(
+        {
+            **{c: statistics.quantile_ranks(c, p) for c, p in wanted.items()},
+            rank_column: _cut_ranks(statistics.counts[rank_column], rank_bins),
+        }
+        if statistics.counts[rank_column] > 1
+        else {}
     )
+    edges = statistics.quantiles(wanted)
     values, ties = _rank_bin_cuts(df, rank_column, order_col, statistics, rank_bins)
     return (
         QuantileCutModel(

@@ -2,17 +2,20 @@
 
 The built-in exact percentile merges every distinct value of a column into one task. Here a
 column with few distinct values is answered from its value counts; any other column is narrowed
-first: approximate quantiles cut it into buckets, one aggregation counts the buckets, and only
-the buckets that hold a wanted rank are looked at again. Full data is never sorted or shuffled,
+first: quantiles of a sample cut it into buckets, one aggregation over all rows counts the buckets,
+and only the buckets that hold a wanted rank are looked at again. The sample only steers where the
+cuts fall; the counts, and so the results, are exact. Full data is never sorted or shuffled,
 each pass aggregates map-side to a table whose size does not depend on the number of rows.
 """
 
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
@@ -21,7 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DISTINCT_LIMIT = 50_000
-BUCKETS = 256
+BUCKETS = 1024
+# Sampled rows per bucket.
+SAMPLE_ROWS = 200
 
 
 @dataclass(frozen=True)
@@ -39,6 +44,7 @@ class _Interval:
     low: float | int | None
     high: float | int | None
     offset: int
+    size: int
     distinct: int
     ranks: tuple[int, ...]
 
@@ -77,6 +83,7 @@ class OrderStatistics:
         self._limit = distinct_limit
         self._buckets = buckets
         self._tables: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        self._known: dict[str, dict[int, Ranked]] = {n: {} for n in self._names}
         profile = self._df.agg(
             *[F.count(a).alias(f"n_{a}") for a in self._alias.values()],
             *[F.approx_count_distinct(a).alias(f"d_{a}") for a in self._alias.values()],
@@ -85,54 +92,79 @@ class OrderStatistics:
         self._distinct = {n: profile[f"d_{a}"] for n, a in self._alias.items()}
 
     def at(self, ranks: Mapping[str, Iterable[int]]) -> dict[str, dict[int, Ranked]]:
-        """Rows at 0-based ranks of each named column in ascending order."""
-        found: dict[str, dict[int, Ranked]] = {n: {} for n in ranks}
+        """Rows at 0-based ranks of each named column in ascending order. Ranks asked for together
+        share their passes; known ones are not looked up again."""
+        found = self._known
         pending = []
         for name, wanted in ranks.items():
-            wanted = tuple(sorted(set(wanted)))
+            wanted = tuple(sorted(set(wanted) - found[name].keys()))
             if wanted and (wanted[0] < 0 or wanted[-1] >= self.counts[name]):
                 raise ValueError(f"rank outside 0..{self.counts[name] - 1} of {name}")
             if wanted:
-                pending.append(_Interval(name, None, None, 0, self._distinct[name], wanted))
+                pending.append(self._whole(name, wanted))
         while pending:
             small = [i for i in pending if i.distinct <= self._limit]
             large = [i for i in pending if i.distinct > self._limit]
             if small:
                 self._resolve(small, found)
             pending = self._narrow(large, found) if large else []
-        return found
+        return {name: {r: found[name][r] for r in wanted} for name, wanted in ranks.items()}
+
+    def _positions(self, name: str, probabilities: Iterable[float]) -> list[tuple[int, float]]:
+        """Rank below each quantile and the part of the way to the next rank."""
+        places = []
+        for p in probabilities:
+            # Exact arithmetic: a product of floats may fall just beside a whole rank.
+            position = Fraction(p).limit_denominator(1_000_000) * max(self.counts[name] - 1, 0)
+            low = math.floor(position)
+            places.append((low, float(position - low)))
+        return places
+
+    def quantile_ranks(self, name: str, probabilities: Iterable[float]) -> list[int]:
+        """Ranks that :meth:`quantiles` needs."""
+        if not self.counts[name]:
+            return []
+        return [
+            r
+            for low, part in self._positions(name, probabilities)
+            for r in ((low, low + 1) if part else (low,))
+        ]
 
     def quantiles(self, probabilities: Mapping[str, Iterable[float]]) -> dict[str, list[float]]:
         """Linearly interpolated quantiles (``None`` for a column without values)."""
-        plan: dict[str, list[tuple[int, float]]] = {}
-        for name, wanted in probabilities.items():
-            n = self.counts[name]
-            plan[name] = []
-            for p in wanted:
-                # Exact arithmetic: a product of floats may fall just beside a whole rank.
-                position = Fraction(p).limit_denominator(1_000_000) * max(n - 1, 0)
-                low = math.floor(position)
-                plan[name].append((low, float(position - low)))
-        rows = self.at(
-            {
-                name: [r for low, part in cuts for r in ((low, low + 1) if part else (low,))]
-                for name, cuts in plan.items()
-                if self.counts[name]
-            }
-        )
+        probabilities = {name: list(wanted) for name, wanted in probabilities.items()}
+        rows = self.at({n: self.quantile_ranks(n, wanted) for n, wanted in probabilities.items()})
         result: dict[str, list[float]] = {}
-        for name, cuts in plan.items():
+        for name, wanted in probabilities.items():
             if not self.counts[name]:
-                result[name] = [None] * len(cuts)
+                result[name] = [None] * len(wanted)
                 continue
             values = []
-            for low, part in cuts:
+            for low, part in self._positions(name, wanted):
                 a = rows[name][low].value
                 b = rows[name][low + 1].value if part else a
                 values.append(float(a) if a == b else a + (b - a) * part)
             result[name] = values
         return result
 
+    def _whole(self, name: str, ranks: tuple[int, ...] = ()) -> _Interval:
+        return _Interval(name, None, None, 0, self.counts[name], self._distinct[name], ranks)
+
+    def _cuts(self, intervals: list[_Interval]) -> list[list[float]]:
+        """Approximate quantiles of each interval's values."""
+        grid = F.lit([i / self._buckets for i in range(1, self._buckets)])
+        share = SAMPLE_ROWS * self._buckets / min(i.size for i in intervals)
+        for rows in (self._df.sample(share, seed=0) if share < 1 else self._df, self._df):
+            cuts = rows.agg(
+                *[
+                    F.percentile_approx(self._member(i), grid, F.lit(10 * self._buckets))
+                    for i in intervals
+                ]
+            ).first()
+            if all(cuts):
+                break
+        return [list(c) for c in cuts]
+
     def _member(self, interval: _Interval) -> Column:
         """The column's value inside the interval, null elsewhere."""
         c = F.col(self._alias[interval.name])
@@ -157,8 +189,10 @@ class OrderStatistics:
                     ),
                 )
             )
+        members = [self._member(i).isNotNull() for i in intervals]
         return (
-            self._bucketed.select(F.explode(F.array(*entries)).alias("e"))
+            self._bucketed.filter(reduce(operator.or_, members))
+            .select(F.explode(F.array(*entries)).alias("e"))
             .filter(F.col("e").isNotNull())
             .select("e.*")
         )
@@ -187,7 +221,7 @@ class OrderStatistics:
         wanted = [i for i in intervals if i.low is not None]
         if any(i.low is None and i.name not in self._tables for i in intervals):
             wanted += [
-                _Interval(n, None, None, 0, d, ())
+                self._whole(n)
                 for n, d in self._distinct.items()
                 if d <= self._limit and n not in self._tables
             ]
@@ -208,20 +242,11 @@ class OrderStatistics:
 
     def _narrow(self, intervals: list[_Interval], found: dict) -> list[_Interval]:
         """Replace each interval by the buckets of it that hold a wanted rank."""
-        grid = [i / self._buckets for i in range(1, self._buckets)]
-        cuts = self._df.agg(
-            *[
-                F.percentile_approx(
-                    self._member(interval), F.lit(grid), F.lit(20 * self._buckets)
-                ).alias(f"s{key}")
-                for key, interval in enumerate(intervals)
-            ]
-        ).first()
         splits = []
-        for key in range(len(intervals)):
+        for cuts in self._cuts(intervals):
             # Each cut value gets a bucket of its own, so a frequent value is settled at once
             # and every round makes progress.
-            points = {float(s) for s in cuts[f"s{key}"]}
+            points = {float(s) for s in cuts}
             points |= {float(np.nextafter(s, np.inf)) for s in points}
             splits.append([-math.inf, *sorted(points), math.inf])
         keys = range(len(intervals))
@@ -262,7 +287,9 @@ class OrderStatistics:
                         found[interval.name][rank] = Ranked(low, below, row["n"])
                 elif ranks:
                     pending.append(
-                        _Interval(interval.name, low, high, below, row[f"d{kind}"], ranks)
+                        _Interval(
+                            interval.name, low, high, below, row["n"], row[f"d{kind}"], ranks
+                        )
                     )
                 below += row["n"]
         return pending

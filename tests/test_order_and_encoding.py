@@ -146,14 +146,17 @@ def test_iqr_without_outliers(spark):
 
 
 def test_iqr_sides(spark):
-    high = iqr_summary(frame(spark, [1.0, 2, 3, 4, 5, 50, 60]), ["x"], distinct_limit=3, buckets=4)
-    assert (high.first().n_outliers, high.first().expected_outlier) == (2, 50.0)
-    low = iqr_summary(frame(spark, [100.0, 102, 103, 104, 105, -50, -60]), ["x"]).first()
-    assert low.expected_outlier == -50.0
+    middle = list(range(1, 21))
+    high = iqr_summary(frame(spark, [*middle, 90, 99]), ["x"], distinct_limit=3, buckets=4).first()
+    assert (high.n_outliers, high.expected_outlier) == (2, 90.0)
+    low = iqr_summary(frame(spark, [*middle, -90, -99]), ["x"]).first()
+    assert (low.n_outliers, low.expected_outlier) == (2, -90.0)
+    # The mean of these outliers lies within the bounds, so none is expected.
+    assert iqr_summary(frame(spark, [*middle, 70, -50]), ["x"]).first().expected_outlier is None
 
 
 def test_box_per_class(spark):
-    df = frame(spark, [1.0, 2, 3, 4, 100, 10, 20, 30]).withColumn(
+    df = frame(spark, [1, 2, 3, 4, 100, 10, 20, 30]).withColumn(
         "Exited", (F.col("id") >= 5).cast("int")
     )
     rows = {r.Exited: r for r in box_stats(df, ["x"]).collect()}

@@ -140,12 +140,22 @@ def encode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _message_files(df: DataFrame, name: str, files: int = 4) -> str:
-    path = shared_dir(df.sparkSession, name)
-    J.write_topic(df.repartition(files), {"path": path}, "text")
+BATCHES = 4
+
+
+def _message_files(df: DataFrame, name: str) -> str:
+    """JSON lines, one file per core, that a stream reads in a few batches."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    J.write_topic(df.repartition(spark.sparkContext.defaultParallelism), {"path": path}, "text")
     return path
 
 
+def _stream_options(spark: SparkSession, path: str) -> dict[str, str]:
+    files = max(1, spark.sparkContext.defaultParallelism // BATCHES)
+    return {"path": path, "maxFilesPerTrigger": str(files)}
+
+
 def read_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _message_files(predicted(spark, sf_dir), "predictions")
     return J.read_predictions(spark, "text", {"path": path})
@@ -163,12 +173,12 @@ def _stream_to_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def _file_stream(spark: SparkSession, path: str) -> DataFrame:
-    return J.stream_source(spark, "text", {"path": path, "maxFilesPerTrigger": "1"})
+    return J.stream_source(spark, "text", _stream_options(spark, path))
 
 
 def tail_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _message_files(predicted(spark, sf_dir), "predictions")
-    stream = J.tail_predictions(spark, "text", {"path": path, "maxFilesPerTrigger": "1"})
+    stream = J.tail_predictions(spark, "text", _stream_options(spark, path))
     return _stream_to_table(stream, "tail")
 
 
@@ -510,7 +520,8 @@ def _half_broken(spark: SparkSession, sf_dir: str) -> tuple:
     )
     cut = F.concat(F.lit('{"CustomerId":'), F.col("CustomerId"), F.lit(',"Age":'))
     path = shared_dir(spark, "mixed")
-    df.select(F.when(F.col("Female"), cut).otherwise(record).alias("value")).repartition(3).write.text(path)
+    messages = df.select(F.when(F.col("Female"), cut).otherwise(record).alias("value"))
+    messages.repartition(spark.sparkContext.defaultParallelism).write.text(path)
     out = shared_dir(spark, "sorted")
     _score_files(
         spark, model, path, {"table": Z.files_sink(f"{out}/good")},
@@ -547,7 +558,7 @@ def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _live(name: str, *rounded: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = _message_files(predicted(spark, sf_dir), "predictions")
-        stream = J.tail_predictions(spark, "text", {"path": path, "maxFilesPerTrigger": "1"})
+        stream = J.tail_predictions(spark, "text", _stream_options(spark, path))
         base = shared_dir(spark, "live")
         running = L.live_reports(stream, base, {name: L.LIVE_REPORTS[name]}, available_now=True)
         Z.await_stream(running[name])

@@ -3,8 +3,10 @@ scales the training rows also scales every later row, whatever its batch."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
@@ -37,6 +39,7 @@ from attrition.schemas import FEATURES, KEY, LABEL, PREDICTION
 from attrition.sources.scratch import pinned
 
 SCALED = "scaled_features"
+ROWS_PER_TASK = 50_000
 
 
 def model_pipeline(
@@ -70,11 +73,20 @@ def train_forest(
     return model_pipeline(forest(**params), features).fit(df)
 
 
+def _compact(df: DataFrame) -> DataFrame:
+    """Few tasks for few rows: each step of a linear model is a job over all partitions. Only a
+    kept table is counted, for any other that would be a pass of its own."""
+    if df.storageLevel == StorageLevel.NONE:
+        return df
+    return df.coalesce(max(1, math.ceil(df.count() / ROWS_PER_TASK)))
+
+
 def train_logistic(
     df: DataFrame, weight_col: str | None = "weight", max_iter: int = 100, label: str = LABEL,
     features: Sequence[str] = FEATURES,
 ) -> PipelineModel:
     """Class-weighted logistic regression. The weights are computed here if ``df`` has none."""
+    df = _compact(df)
     if weight_col and weight_col not in df.columns:
         df = class_weights(df, label, weight_col)
     classifier = LogisticRegression(featuresCol=SCALED, labelCol=label, maxIter=max_iter)
@@ -88,12 +100,12 @@ def train_linear_svm(
     features: Sequence[str] = FEATURES,
 ) -> PipelineModel:
     classifier = LinearSVC(featuresCol=SCALED, labelCol=label, maxIter=max_iter, regParam=reg)
-    return model_pipeline(classifier, features).fit(df)
+    return model_pipeline(classifier, features).fit(_compact(df))
 
 
 def _on_population_scale(
     df: DataFrame, make: Callable[[int], list], features: Sequence[str], key: str, label: str,
-    balance: bool, seed: int,
+    balance: bool, seed: int, few_tasks: bool = True,
 ) -> PipelineModel:
     """Scale by the population deviation of the given rows, bring the classes to parity with
     synthetic rows, then fit ``make(number of rows)``. Scaling keeps equal values equal and their
@@ -103,7 +115,7 @@ def _on_population_scale(
     rows = smoten_oversample(df, names, seed=seed, key=key, label=label) if balance else df
     assembler = VectorAssembler(inputCols=[f"{c}_scaled" for c in names], outputCol=SCALED)
     with pinned(assembler.transform(scaler.transform(rows)).select(SCALED, label)) as ready:
-        fitted = Pipeline(stages=make(ready.count())).fit(ready)
+        fitted = Pipeline(stages=make(ready.count())).fit(_compact(ready) if few_tasks else ready)
     return PipelineModel([scaler, assembler, *fitted.stages])
 
 
@@ -130,7 +142,7 @@ def train_forest_default(
 ) -> PipelineModel:
     return _on_population_scale(
         df, lambda n: [forest(100, max_depth, seed=seed, label=label)],
-        features, key, label, balance, seed,
+        features, key, label, balance, seed, few_tasks=False,
     )
 
 

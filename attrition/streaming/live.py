@@ -44,8 +44,8 @@ def start_report(
     **trigger,
 ) -> StreamingQuery:
     def write(df: DataFrame, batch_id: int) -> None:
-        # A report is small: one file keeps readers and the file count simple.
-        df.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # A report is small, so it becomes one file; the exchange keeps the state in parallel tasks.
+        df.repartition(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return start_stream(report(predictions), write, checkpoint, output_mode="complete", **trigger)
 

@@ -191,6 +191,36 @@ def _filled(column: str) -> str:
     return f"coalesce(CAST({column} AS {_type(column)}), 0) AS {column}"
 
 
+WIDE = f"""{FEATURED},
+filled AS (SELECT CustomerId, Exited, {', '.join(_filled(c) for c in FE_FEATURES)} FROM fe),
+wide AS (SELECT CustomerId, Exited, [{', '.join(f'CAST({c} AS DOUBLE)' for c in FE_FEATURES)}] AS vals
+  FROM filled)"""
+
+
+def _synthetic(source: str, seed: int) -> str:
+    """CTEs up to ``spread``: the synthetic rows (vals) that bring ``source`` to parity."""
+    return f"""
+cells AS (SELECT CustomerId, Exited, unnest(range(1, 33)) AS f, unnest(vals) AS v FROM {source}),
+codes AS (SELECT f, v, avg(Exited) AS code FROM cells GROUP BY f, v),
+coded AS (SELECT CustomerId, list(code ORDER BY f) AS point
+  FROM cells JOIN codes USING (f, v) WHERE Exited = 1 GROUP BY CustomerId),
+near AS (
+  SELECT a.CustomerId AS src, b.CustomerId AS dst FROM coded a JOIN coded b ON a.CustomerId <> b.CustomerId
+  QUALIFY row_number() OVER (PARTITION BY a.CustomerId
+    ORDER BY round(list_distance(a.point, b.point), 9), b.CustomerId) <= 5),
+counted AS (SELECT src, f, v, count(*) AS n FROM near JOIN cells ON dst = CustomerId GROUP BY ALL),
+made AS (
+  SELECT src, list(v ORDER BY f) AS vals FROM (
+    SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY src, f ORDER BY n DESC, v) = 1)
+  GROUP BY src),
+needed AS (SELECT sum(1 - Exited) - sum(Exited) AS n_new, sum(Exited) AS n_own FROM {source}),
+seeds AS (
+  SELECT CustomerId AS src, n_new // n_own + CASE WHEN row_number() OVER (
+    ORDER BY CAST('0x' || substr(md5('{seed}:' || CustomerId), 1, 15) AS BIGINT), CustomerId)
+    <= n_new % n_own THEN 1 ELSE 0 END AS copies FROM {source}, needed WHERE Exited = 1),
+spread AS (SELECT vals, unnest(range(CAST(copies AS BIGINT))) AS copy FROM made JOIN seeds USING (src))"""
+
+
 _KNN = """
 pairs AS (
   SELECT q.vec_id AS src, c.vec_id AS dst, c.label,
@@ -376,32 +406,33 @@ SELECT CustomerId, Exited FROM accounts WHERE Exited = 1 OR
 SELECT CustomerId, Exited, round(count(*) OVER () / (2 * count(*) OVER (PARTITION BY Exited)), 6) AS weight
 FROM accounts""",
         "union_classes": f"{ACCOUNTS} SELECT CustomerId, Exited FROM accounts WHERE Exited IN (0, 1)",
-        "smoten_oversample": f"""{FEATURED},
-filled AS (SELECT CustomerId, Exited, {', '.join(_filled(c) for c in FE_FEATURES)} FROM fe),
-wide AS (SELECT CustomerId, Exited, [{', '.join(f'CAST({c} AS DOUBLE)' for c in FE_FEATURES)}] AS vals
-  FROM filled),
-cells AS (SELECT CustomerId, Exited, unnest(range(1, 33)) AS f, unnest(vals) AS v FROM wide),
-codes AS (SELECT f, v, avg(Exited) AS code FROM cells GROUP BY f, v),
-coded AS (SELECT CustomerId, list(code ORDER BY f) AS point
-  FROM cells JOIN codes USING (f, v) WHERE Exited = 1 GROUP BY CustomerId),
-near AS (
-  SELECT a.CustomerId AS src, b.CustomerId AS dst FROM coded a JOIN coded b ON a.CustomerId <> b.CustomerId
-  QUALIFY row_number() OVER (PARTITION BY a.CustomerId
-    ORDER BY round(list_distance(a.point, b.point), 9), b.CustomerId) <= 5),
-counted AS (SELECT src, f, v, count(*) AS n FROM near JOIN cells ON dst = CustomerId GROUP BY ALL),
-made AS (
-  SELECT src, list(v ORDER BY f) AS vals FROM (
-    SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY src, f ORDER BY n DESC, v) = 1)
-  GROUP BY src),
-needed AS (SELECT sum(1 - Exited) - sum(Exited) AS n_new, sum(Exited) AS n_own FROM wide),
-seeds AS (
-  SELECT CustomerId AS src, n_new // n_own + CASE WHEN row_number() OVER (
-    ORDER BY CAST('0x' || substr(md5('42:' || CustomerId), 1, 15) AS BIGINT), CustomerId)
-    <= n_new % n_own THEN 1 ELSE 0 END AS copies FROM wide, needed WHERE Exited = 1),
-spread AS (SELECT vals, unnest(range(CAST(copies AS BIGINT))) AS copy FROM made JOIN seeds USING (src))
+        "smoten_oversample": f"""{WIDE}, {_synthetic('wide', 42)}
 SELECT * FROM filled UNION ALL
 SELECT NULL, 1, {', '.join(f'CAST(vals[{i}] AS {_type(c)})' for i, c in enumerate(FE_FEATURES, 1))}
 FROM spread""",
+        "knn_holdout": f"""{WIDE},
+train AS (SELECT * FROM wide WHERE {_hash(0)} < 'cccccccd'),
+test AS (SELECT * FROM wide WHERE {_hash(0)} >= 'cccccccd'),
+{_synthetic('train', 0)},
+moments AS (SELECT f, avg(v) AS m, stddev_pop(v) AS s FROM cells GROUP BY f),
+every AS (
+  SELECT CustomerId AS id, Exited, true AS known, vals FROM train
+  UNION ALL SELECT -row_number() OVER (), 1, true, vals FROM spread
+  UNION ALL SELECT CustomerId, Exited, false, vals FROM test),
+scaled AS (
+  SELECT id, Exited, known, list(CASE WHEN s = 0 THEN 0 ELSE (v - m) / s END ORDER BY f) AS point
+  FROM (SELECT id, Exited, known, unnest(range(1, 33)) AS f, unnest(vals) AS v FROM every)
+  JOIN moments USING (f) GROUP BY ALL),
+closest AS (
+  SELECT q.id, q.Exited, c.Exited AS label, list_distance(q.point, c.point) AS d
+  FROM scaled q JOIN scaled c ON c.known AND NOT q.known
+  QUALIFY row_number() OVER (PARTITION BY q.id ORDER BY list_distance(q.point, c.point), c.id) <= 9),
+votes AS (
+  SELECT id, Exited, label, count(*) FILTER (d = 0) AS copies, sum(1 / d) FILTER (d > 0) AS w
+  FROM closest GROUP BY ALL)
+SELECT id AS CustomerId, Exited, CAST(label AS DOUBLE) AS ChurnPrediction FROM votes
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY copies DESC,
+  CASE WHEN copies > 0 THEN 0 ELSE w END DESC, label) = 1""",
         # neighbours
         "knn": f"WITH {_KNN.format(condition='true', k=10)} "
         "SELECT src, dst, CAST(rank AS INT) AS rank, round(d, 6) AS dist FROM near",

@@ -7,7 +7,6 @@ from compare import database, difference
 
 SMALL = "/root/testdata/sf0.001"
 ORACLES = entry.oracle_sql()
-SLOW = {"tune", "train_poly_svm", "train_linear_svm", "train_logistic_l2"}
 
 
 @pytest.fixture(scope="module")

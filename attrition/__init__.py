@@ -13,7 +13,7 @@ def ship(spark) -> None:
     """Send this package's code to the executors, once per application.
 
     Jobs submitted with ``--py-files`` or with the package installed on every node need not call
-    this."""
+    this. The archive stays on the driver, which serves it."""
     application = spark.sparkContext.applicationId
     if application not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -183,6 +183,20 @@ def test_stream_equals_batch_and_restarts(spark, records, model, tmp_path):
     assert got.collect() == expected.collect()
 
 
+def test_start_wait_and_stop(spark, tmp_path):
+    spark.range(3).selectExpr("cast(id as string) value").write.text(str(tmp_path / "in"))
+    seen = []
+    query = Z.start_stream(
+        source(spark, tmp_path / "in"), lambda df, i: seen.append(df.count()),
+        str(tmp_path / "mark"), interval="1 second", name="waiting",
+    )
+    query.processAllAvailable()
+    assert Z.await_stream(query, timeout=0.1) is False and query.name == "waiting"
+    Z.stop_stream(query)
+    Z.stop_stream(query)
+    assert not query.isActive and Z.await_stream(query) and sum(seen) == 3
+
+
 def test_compat_scores_broken_messages(spark, model, tmp_path):
     spark.createDataFrame([("{bad",), ('{"CustomerId": 5}',)], "value string").write.text(str(tmp_path / "in"))
     for compat, count in ((True, 2), (False, 1)):

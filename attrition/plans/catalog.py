@@ -205,6 +205,14 @@ def label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.label_map(df, "NumOfProducts", {1: "one", 2: "two"}, output="products")
 
 
+# Known without a session: the record's fields that are neither given, nor bins, nor levels.
+_BINS = {output for output, _ in QUANTILE_BINS.values()} | {RANK_BINS[1]}
+ROW_FEATURE_NAMES = [
+    c for c in FEATURES
+    if c not in RAW_SCHEMA.fieldNames() and c not in C.BOOLEAN_COLUMNS and c not in _BINS
+]
+
+
 def _row_feature(name: str) -> Query:
     return lambda spark, sf_dir: kept(spark, sf_dir).select(
         "CustomerId", X.row_features()[name].alias(name)
@@ -597,7 +605,7 @@ def queries() -> dict[str, Query]:
         "preview": _over_accounts(lambda df: C.preview(df, 5, ["CustomerId"])),
         "shape": lambda s, d: C.shape(kept(s, d)),
         "at_risk": _over_ruled(lambda df: C.at_risk(df.select("CustomerId", "Age", PREDICTION))),
-        **{f"feature_{name}": _row_feature(name) for name in X.row_features()},
+        **{f"feature_{name}": _row_feature(name) for name in ROW_FEATURE_NAMES},
         **{f"feature_{QUANTILE_BINS[c][0]}": _quantile_feature(c) for c in QUANTILE_BINS},
         "feature_BalanceScore": _rank_feature,
         "engineer_features": featured,

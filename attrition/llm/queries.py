@@ -6,14 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from attrition.llm import decontaminate, license_scan, mixing, url_filter
+from attrition.llm import (
+    decontaminate,
+    language_id,
+    license_scan,
+    mixing,
+    secret_scan,
+    simhash,
+    token_files,
+    toxicity,
+    url_filter,
+    vantage,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": url_filter.op1_url_filter,
         "op2_license_scan": license_scan.op2_license_scan,
+        "op3_language_id": language_id.op3_language_id,
         "op4_decontaminate": decontaminate.op4_decontaminate,
+        "op5_nearest": vantage.op5_nearest,
+        "op6_token_files": token_files.op6_token_files,
+        "op7_simhash": simhash.op7_simhash,
+        "op8_secret_scan": secret_scan.op8_secret_scan,
+        "op9_toxicity": toxicity.op9_toxicity,
         "op10_mix_sources": mixing.op10_mix_sources,
     }
 
@@ -23,5 +40,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_url_filter": url_filter.ORACLE,
         "op2_license_scan": license_scan.ORACLE,
         "op4_decontaminate": decontaminate.ORACLE,
+        "op5_nearest": vantage.ORACLE,
         "op10_mix_sources": mixing.ORACLE,
     }

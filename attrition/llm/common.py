@@ -11,6 +11,11 @@ from attrition.sources.scratch import shared_dir
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Digits, lower-case letters and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words. Single characters, as Java looks them up in a bit set.
+BETWEEN, BETWEEN_ANY_CASE = (
+    "[" + "".join(f"\\x{b:02X}" for b in range(128) if chr(b) not in kept) + "]+"
+    for kept in ("0123456789" + LOWER, "0123456789" + LOWER + UPPER)
+)
 #: The same on UTF-8 bytes: bytes that are no part of a word become spaces, A-Z become a-z.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -31,8 +36,14 @@ def lower_ascii(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """The words of a text in order; a null text has none."""
-    return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """The words of a text in order; a null text has none. The text is split at what stands between
+    words, which takes half the time of matching the words."""
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BETWEEN), "")
+
+
+def word_count(text: Column) -> Column:
+    """How many words a text has; the case of letters does not matter for that."""
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN_ANY_CASE), ""))
 
 
 def words_of(text: str | None) -> list[bytes]:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from attrition.llm.common import WORD, read, words, written
+from attrition.llm.common import WORD, read, word_count, words, written
 
 WINDOW, GRAM = 10, 5
 #: Hashes of the benchmark are broadcast up to this number (16 bytes each).
@@ -169,7 +169,7 @@ def decontamination_report(
     rows = docs.select(
         F.col(f"`{key}`").alias(key),
         F.xxhash64(f"`{text}`").alias("_hash"),
-        F.size(words(F.col(f"`{text}`"))).cast("long").alias("n_words"),
+        word_count(F.col(f"`{text}`")).cast("long").alias("n_words"),
     )
     items = F.coalesce("_items", F.array().cast("array<string>"))
     return rows.join(

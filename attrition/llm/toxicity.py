@@ -7,8 +7,8 @@ both alone. With s the sum of a document's vectors, all pairs cost no more than
 
 The model is fitted on a sample of the labelled rows, bounded by ``max_rows``: terms are hashed on
 the cluster, and index arrays come to the driver, where minibatches with adaptive steps run. Terms
-that the sample has fewer than ``MIN_DOCS`` times have no weight. The last fifth of the sample calibrates the
-scores to probabilities. Every document of the table is scored whole, batch by batch, in one pass
+that occur fewer than ``MIN_DOCS`` times, or on which the label does not depend, have no weight. The last
+fifth of the sample calibrates the scores to probabilities. Every document of the table is scored whole, batch by batch, in one pass
 without a shuffle; the model has a fixed size (about 10 MB) and travels with the tasks.
 
 Cases: null and empty texts have no terms and get the model's base score; a null key is no row of
@@ -28,9 +28,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm.common import read, without, words_of
+from attrition.llm.common import fresh, read, without, words_of
 
-SLOTS, FACTORS, MIN_DOCS = 1 << 18, 8, 3
+SLOTS, FACTORS, MIN_DOCS, LEAST_RATIO = 1 << 18, 8, 3, 12.0
+PAIR_SCALE, STEPS = 1.0, 2000
 THRESHOLD = 0.7
 MAX_ROWS = 20_000
 
@@ -47,18 +48,24 @@ class Machine:
     bias: float
     weights: np.ndarray  # float32, by slot
     factors: np.ndarray  # float32, slot by factor
-    values: np.ndarray  # float32, a term's value where it occurs: rare terms count more
+    values: np.ndarray  # float32, 1 for the terms that tell something, else 0
     slope: float = 1.0
     shift: float = 0.0
 
     def raw(self, slots: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Margins of documents whose slots stand one after another."""
         x = self.values[slots]
-        v = self.factors[slots] * x[:, None]
+        v = self.factors[slots] * (x * self.scale(slots, lengths))[:, None]
         table = np.concatenate([(self.weights[slots] * x)[:, None], v, (v * v).sum(1)[:, None]], 1)
         sums = _by_document(table, lengths)
         return self.bias + sums[:, 0] + 0.5 * ((sums[:, 1:-1] ** 2).sum(1) - sums[:, -1])
 
+    def scale(self, slots: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """For the pairs, a document's values are divided by the root of their number, so that long
+        texts, which have many pairs, do not outweigh the words."""
+        known = _by_document((self.values[slots] > 0)[:, None], lengths)[:, 0]
+        return np.repeat(PAIR_SCALE / np.sqrt(np.maximum(known, 1)), lengths)
+
     def scores(self, slots: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return _sigmoid(self.slope * self.raw(slots, lengths) + self.shift)
 
@@ -91,18 +98,40 @@ def _platt(raw: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(theta[0], 1e-3)), float(theta[1])
 
 
+def informative(documents: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Values of terms: 1 where the label depends on the term (likelihood ratio above ``LEAST_RATIO``), else
+    0. A text has hundreds of words and a rare one seldom tells anything; with all of them, a
+    machine learns documents by heart."""
+    each = np.repeat(labels, [len(d) for d in documents])
+    slots = np.concatenate([*documents, np.zeros(0, np.int32)]).astype(np.int64)
+    n = np.bincount(slots, minlength=SLOTS).astype(float)
+    toxic = np.bincount(slots, each, SLOTS)
+    all_n, all_toxic = float(len(labels)), float(labels.sum())
+
+    def part(observed, expected):
+        return np.where(observed > 0, observed * np.log(np.maximum(observed, 1e-12) / np.maximum(expected, 1e-12)), 0)
+
+    share = all_toxic / max(all_n, 1)
+    without_n, without_toxic = all_n - n, all_toxic - toxic
+    ratio = 2 * (
+        part(toxic, n * share) + part(n - toxic, n * (1 - share))
+        + part(without_toxic, without_n * share) + part(without_n - without_toxic, without_n * (1 - share))
+    )
+    return ((n >= MIN_DOCS) & (ratio >= LEAST_RATIO)).astype(np.float32)
+
+
 def fit_machine(
-    documents: list[np.ndarray], labels: np.ndarray, epochs: int = 6, seed: int = 7
+    documents: list[np.ndarray], labels: np.ndarray, epochs: int | None = None, seed: int = 7
 ) -> Machine:
     """Adaptive minibatch steps on the logistic loss; the last fifth calibrates."""
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(documents))
     documents, labels = [documents[i] for i in order], labels[order].astype(np.float64)
     train = max(1, len(documents) * 4 // 5)
-    counts = np.bincount(np.concatenate([*documents[:train], np.zeros(0, np.int32)]).astype(np.int64), minlength=SLOTS)
-    known = counts >= MIN_DOCS
-    rarity = np.log((train + 1) / (counts + 1)) / np.log(train + 1)
-    values = np.where(known, rarity, 0).astype(np.float32)
+    values = informative(documents[:train], labels[:train])
+    documents = [d[values[d] > 0] for d in documents]
+    batches = max(1, train // 128)
+    epochs = epochs or max(8, STEPS // batches)
     rate = np.clip(labels[:train].mean(), 1e-4, 1 - 1e-4)
     model = Machine(
         float(np.log(rate / (1 - rate))),
@@ -111,8 +140,8 @@ def fit_machine(
         values,
     )
     squares, pairs = np.full(SLOTS, 1e-6), np.full((SLOTS, FACTORS), 1e-6)
-    for epoch in range(epochs):
-        for part in np.array_split(rng.permutation(train), max(1, train // 128)):
+    for _ in range(epochs):
+        for part in np.array_split(rng.permutation(train), batches):
             lengths = np.array([len(documents[i]) for i in part])
             slots = np.concatenate([documents[i] for i in part]).astype(np.int64)
             if not len(slots):
@@ -121,12 +150,13 @@ def fit_machine(
             model.bias -= 0.05 * float(error.mean())
             each = np.repeat(error, lengths)
             x = model.values[slots].astype(np.float64)
-            v = model.factors[slots] * x[:, None]
+            px = x * model.scale(slots, lengths)
+            v = model.factors[slots] * px[:, None]
             total = np.repeat(_by_document(v, lengths), lengths, axis=0)
             used, place = np.unique(slots, return_inverse=True)
             gw = np.bincount(place, each * x, len(used)) + 1e-3 * model.weights[used]
             gv = np.stack(
-                [np.bincount(place, each * x * (total[:, k] - v[:, k]), len(used)) for k in range(FACTORS)], 1
+                [np.bincount(place, each * px * (total[:, k] - v[:, k]), len(used)) for k in range(FACTORS)], 1
             ) + 1e-2 * model.factors[used]
             squares[used] += gw**2
             pairs[used] += gv**2
@@ -233,7 +263,8 @@ def not_toxic(
     """The documents that score below the threshold, with all their columns."""
     machine = train_machine(docs, labels, key, text, **options)
     score = toxicity_score(docs.sparkSession, machine, F.col(f"`{text}`"))
-    return docs.withColumn("_score", score).where(F.col("_score") < THRESHOLD).select(*without(docs))
+    own = fresh(docs, "_score")
+    return docs.withColumn(own, score).where(F.col(own) < THRESHOLD).select(*without(docs))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,5 +67,13 @@ def without(df: DataFrame, *names: str) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns if c.lower() not in dropped]
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name that is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from attrition.llm.common import WORD, read, word_count, words, written
+from attrition.llm.common import WORD, fresh, read, word_count, words, written
 
 WINDOW, GRAM = 10, 5
 #: Hashes of the benchmark are broadcast up to this number (16 bytes each).
@@ -187,10 +187,15 @@ def decontamination_report(
 def clean_documents(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The documents that share no span with the benchmark, with all their columns."""
     text = options.get("text", "text")
-    dirty = shared_spans(docs, benchmark, key=key, **options).select("_key", "_text").distinct()
+    name, body = fresh(docs, "_key"), fresh(docs, "_text")
+    dirty = (
+        shared_spans(docs, benchmark, key=key, **options)
+        .select(F.col("_key").alias(name), F.col("_text").alias(body))
+        .distinct()
+    )
     return docs.join(
         dirty,
-        F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (F.xxhash64(f"`{text}`") == F.col("_text")),
+        F.col(f"`{key}`").eqNullSafe(F.col(name)) & (F.xxhash64(f"`{text}`") == F.col(body)),
         "left_anti",
     )
 

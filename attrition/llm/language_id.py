@@ -141,19 +141,26 @@ def learn(
     totals = {r.lang: r.n for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
 
-    def logs(counts: dict, all_of: dict) -> tuple[float, ...]:
-        return tuple(float(np.log((counts.get(x, 0) + 0.1) / (all_of[x] + 0.1))) for x in languages)
+    def logs(counts: dict, all_of: dict, entries: int) -> tuple[float, ...]:
+        """Smoothed by a tenth of an occurrence for each entry of the table."""
+        return tuple(
+            float(np.log((counts.get(x, 0) + 0.1) / (all_of[x] + 0.1 * entries + 0.1)))
+            for x in languages
+        )
 
-    kept_words = {r.word: logs(r.counts, totals) for r in most(words, ["word"], MAX_WORDS)}
+    known = most(words, ["word"], MAX_WORDS)
+    kept_words = {r.word: logs(r.counts, totals, len(known)) for r in known}
     kept_grams: list[dict] = [{} for _ in range(LONGEST)]
     per_size = {
         (r.lang, r["size"]): r.n
         for r in grams.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()
     }
-    for r in most(grams, ["size", "gram"], MAX_GRAMS):
+    known = most(grams, ["size", "gram"], MAX_GRAMS)
+    entries = Counter(r["size"] for r in known)
+    for r in known:
         all_of = {x: per_size.get((x, r["size"]), 0) for x in languages}
-        kept_grams[r["size"] - 1][r.gram] = logs(r.counts, all_of)
-    floor = logs({}, {x: per_size.get((x, 1), 0) for x in languages})
+        kept_grams[r["size"] - 1][r.gram] = logs(r.counts, all_of, entries[r["size"]])
+    floor = logs({}, {x: per_size.get((x, 1), 0) for x in languages}, entries[1])
     return Frequencies(languages, kept_words, kept_grams, floor)
 
 

@@ -21,7 +21,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm.common import partitions, read, without
+from attrition.llm.common import fresh, partitions, read, without
 
 PART = 16.0
 #: Upper end of the inversion for one draw of mean PART; the chance to exceed it is below 1e-18.
@@ -107,20 +107,24 @@ def mix_sources(
     rates = source_rates(docs, weights, temperature, epochs, source).drop("_docs")
     if rates.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         rates = F.broadcast(rates)
+    own, rate, n, number, order = (
+        fresh(docs, c) for c in ("_source", "_rate", "_n", "_copy", "_order")
+    )
+    rates = rates.withColumnsRenamed({"_source": own, "_rate": rate})
     name = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
     kept = without(docs, copy) if copy else without(docs)
     copies = (
-        docs.join(rates, F.col(f"`{source}`").eqNullSafe(F.col("_source")))
-        .withColumn("_n", poisson(F.col("_rate"), name, seed))
-        .where("_n > 0")
-        .select(*kept, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
+        docs.join(rates, F.col(f"`{source}`").eqNullSafe(F.col(own)))
+        .withColumn(n, poisson(F.col(rate), name, seed))
+        .where(F.col(n) > 0)
+        .withColumn(number, F.explode(F.sequence(F.lit(1), F.col(n))))
+        .withColumn(order, F.md5(F.concat(F.lit(f"{seed}:order:"), name, F.lit(":"), F.col(number))))
+        .select(*kept, number, order)
     )
-    order = F.md5(F.concat(F.lit(f"{seed}:order:"), name, F.lit(":"), F.col("_copy")))
     return (
-        copies.withColumn("_order", order)
-        .repartition(partitions(spark), "_order")
-        .sortWithinPartitions("_order")
-        .select(*kept, *([F.col("_copy").alias(copy)] if copy else []))
+        copies.repartition(partitions(spark), order)
+        .sortWithinPartitions(order)
+        .select(*kept, *([F.col(number).alias(copy)] if copy else []))
     )
 
 

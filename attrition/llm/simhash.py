@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attrition.llm.common import partitions, read, without, written
+from attrition.llm.common import fresh, partitions, read, without, written
 
 SHINGLE, RADIUS, CHUNK = 3, 2, 4096
 SEED = 42
@@ -262,20 +262,19 @@ def one_of_each_group(
     that key one stays. A document without a key stays only if nothing in its group has one, and
     then once for each fingerprint."""
     groups = written(near_duplicates(docs, key=key, text=text, **options), "near-duplicates")
-    kept = groups.where(F.col(key) == F.col("component_id"))
-    chosen = docs.join(
-        kept.select(F.col(key).alias("_kept")), F.col(f"`{key}`") == F.col("_kept"), "left_semi"
-    )
-    if not kept.groupBy(key).count().where("count > 1").isEmpty():
+    own = fresh(docs, "_kept")
+    kept = groups.where(F.col(key) == F.col("component_id")).select(F.col(key).alias(own))
+    chosen = docs.join(kept, F.col(f"`{key}`") == F.col(own), "left_semi")
+    if not kept.groupBy(own).count().where("count > 1").isEmpty():
         chosen = chosen.dropDuplicates([key])
     nameless = groups.where(F.col(key).isNull() & F.col("component_id").isNull())
     if nameless.isEmpty():
         return chosen
     rest = docs.where(F.col(f"`{key}`").isNull()).withColumn(
-        "_kept", hex16(fingerprints(F.col(f"`{text}`")))
+        own, hex16(fingerprints(F.col(f"`{text}`")))
     )
-    rest = rest.join(nameless.select(F.col("fingerprint").alias("_kept")), "_kept", "left_semi")
-    return chosen.unionByName(rest.dropDuplicates(["_kept"]).select(*without(docs)))
+    rest = rest.join(nameless.select(F.col("fingerprint").alias(own)), own, "left_semi")
+    return chosen.unionByName(rest.dropDuplicates([own]).select(*without(docs)))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

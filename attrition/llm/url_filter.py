@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from attrition.llm.common import lower_ascii, partitions, read, without, written
+from attrition.llm.common import fresh, lower_ascii, partitions, read, without, written
 
 #: Host, start of path, verdict.
 RULES = [
@@ -144,12 +144,13 @@ def judge_urls(
         .agg(F.max("_best").alias("_best"))
         .where("_best IS NOT NULL")
     )
-    return rows.join(decided, ["host", "path"], "left").select(
+    best = fresh(rows, "_best")
+    return rows.join(decided.withColumnRenamed("_best", best), ["host", "path"], "left").select(
         *without(rows, *OUTPUT),
         "host",
         "path",
-        F.col("_best._rule").alias("rule"),
-        F.coalesce("_best._verdict", F.lit(default)).alias("verdict"),
+        F.col(best)["_rule"].alias("rule"),
+        F.coalesce(F.col(best)["_verdict"], F.lit(default)).alias("verdict"),
     )
 
 

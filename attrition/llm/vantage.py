@@ -141,7 +141,11 @@ def _search(k: int, factor: float):
                         }
                     )
                 )
-        return pd.concat(out) if out else pd.DataFrame({"_number": [], "_ids": [], "score": []})
+        if out:
+            return pd.concat(out)
+        return pd.DataFrame(
+            {"_number": np.zeros(0, np.int64), "_ids": np.zeros(0, object), "score": np.zeros(0)}
+        )
 
     return run
 

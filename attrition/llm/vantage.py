@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from attrition.llm.common import read, written
 
 NEIGHBOURS, EVERY = 10, 100
-SHARD_ROWS, BLOCK, BLOCKS_TOGETHER, LEAF = 4096, 256, 64, 48
+SHARD_ROWS, BLOCK, BLOCKS_TOGETHER, LEAF = 4096, 1024, 16, 128
 
 
 def usable(vector: Column) -> Column:
@@ -71,16 +71,28 @@ class VantageTree:
         self.best = np.full((len(queries), k), np.inf)
         self.found = np.full((len(queries), k), -1)
         self.queries, self.factor = queries, factor
+        self.sizes, self.squares = (queries**2).sum(1), (self.vectors**2).sum(1)
         self.visited = 0
         if len(self.vectors):
             self._visit(self.root, np.arange(len(queries)))
         return self.best, self.found
 
-    def _offer(self, asked: np.ndarray, rows: np.ndarray, away: np.ndarray) -> None:
-        k = self.best.shape[1]
+    def _offer(self, asked: np.ndarray, rows: np.ndarray) -> None:
+        """Compare queries with rows. A matrix product tells which pairs can be near enough, with
+        room for its rounding; only these are measured and merged."""
+        self.visited += len(asked) * len(rows)
+        rough = self.sizes[asked][:, None] + self.squares[rows] - 2 * (self.queries[asked] @ self.vectors[rows].T)
+        room = 1e-9 * (self.sizes[asked][:, None] + self.squares[rows])
+        q, r = np.nonzero(rough - room <= self.best[asked, -1][:, None] ** 2)
+        if not len(q):
+            return
+        away = np.full(rough.shape, np.inf)
+        away[q, r] = pair_distances(self.queries[asked[q]], self.vectors[rows[r]])
+        some = np.unique(q)
+        asked, away = asked[some], away[some]
         d = np.concatenate([self.best[asked], away], axis=1)
-        r = np.concatenate([self.found[asked], np.broadcast_to(rows, away.shape)], axis=1)
-        order = np.lexsort((r, d), axis=-1)[:, :k]
+        r = np.concatenate([self.found[asked], np.where(away < np.inf, rows, -1)], axis=1)
+        order = np.lexsort((r, d), axis=-1)[:, : self.best.shape[1]]
         self.best[asked] = np.take_along_axis(d, order, 1)
         self.found[asked] = np.take_along_axis(r, order, 1)
 
@@ -89,13 +101,11 @@ class VantageTree:
             return
         if isinstance(node, np.ndarray):
             if len(node):
-                self.visited += len(asked) * len(node)
-                self._offer(asked, node, distances(self.queries[asked], self.vectors[node]))
+                self._offer(asked, node)
             return
         vantage, middle, inner, outer = node
-        away = distances(self.queries[asked], self.vectors[[vantage]])
-        self._offer(asked, np.array([vantage]), away)
-        away = away[:, 0]
+        self._offer(asked, np.array([vantage]))
+        away = pair_distances(self.queries[asked], self.vectors[vantage])
         inside = away <= middle
         self._visit(inner, asked[inside])
         self._visit(outer, asked[~inside])
@@ -106,14 +116,15 @@ class VantageTree:
         self._visit(inner, asked[~inside & near])
 
 
+def pair_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows of ``a`` to the same rows of ``b``, from differences in double.
+    Squares are added in the order of the components, so other engines get the same number."""
+    return np.sqrt(np.add.accumulate((a - b) ** 2, axis=-1)[..., -1])
+
+
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances of all rows of ``a`` to all of ``b``, from differences in double. Squares
-    are added in the order of the components, so other engines get the same number."""
-    out = np.zeros((len(a), len(b)))
-    for x, y in zip(np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)):
-        difference = x[:, None] - y
-        out += difference * difference
-    return np.sqrt(out)
+    """Distances of all rows of ``a`` to all of ``b``."""
+    return np.stack([pair_distances(x, b) for x in a]) if len(a) else np.zeros((0, len(b)))
 
 
 def _matrix(packed: bytes, width: int) -> np.ndarray:

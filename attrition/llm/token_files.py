@@ -15,8 +15,8 @@ its symbols; a place in it is found from the running sum of expansion lengths wi
 comes before.
 
 The tokenizer sees each distinct piece of text once while it is remembered: this tokenizer never
-joins a visible character with the white space after it, so texts are cut there, and pieces are
-looked up in a bounded table. Texts with the separators U+001C to U+001F are encoded whole.
+joins a visible character with the white space after it, nor a letter with the punctuation after
+it, so texts are cut there, and pieces are looked up in a bounded table. Texts with the separators U+001C to U+001F are encoded whole.
 
 Cases: null and empty texts consist of the end id; null keys come first; rows repeated in the key
 stay and are ordered by text; special tokens in a text are ordinary text; an empty table gives no
@@ -27,6 +27,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from zlib import crc32
@@ -42,9 +44,10 @@ from attrition.llm.common import partitions, read, written
 
 END = 2
 BASE = 1 << 16
-SHARD_TOKENS, MOST_RULES, LEAST, ROUNDS = 1_000_000, 8192, 8, 4
+SHARD_TOKENS, MOST_RULES, LEAST, ROUNDS = 1_000_000, 8192, 8, 3
+SLOTS = 1 << 20
 PIECES_KEPT, LONGEST_KEPT = 400_000, 40
-PIECE = re.compile(r"\s*\S+|\s+")
+PIECE = re.compile(r"\s*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[.,;:!?])|\s*\S+|\s+")
 ODD = re.compile("[\x1c-\x1f]")
 FILES = (
     "part int, number int, before long, keys array<long>, symbol_counts array<int>, "
@@ -72,15 +75,22 @@ def tokenizer_path() -> str:
 
 class Pieces(dict):
     """Pieces of text and their ids as little-endian unsigned 32-bit integers. Long pieces are not
-    remembered, and all are forgotten when there are too many."""
+    remembered. When there are ``kept`` pieces, they become the older half, and the half that was
+    older is forgotten, except for what is used again."""
 
     def __init__(self, path: str, kept: int = PIECES_KEPT) -> None:
-        self.encode, self.kept = _tokenizer(path).encode, kept
+        self.encode, self.kept, self.older = _tokenizer(path).encode, kept, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            found = array("I", self.encode(piece, add_special_tokens=False).ids)
+            if sys.byteorder == "big":
+                found.byteswap()
+            ids = found.tobytes()
         if len(piece) <= LONGEST_KEPT:
             if len(self) >= self.kept:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -97,35 +107,42 @@ def pieces_of(path: str) -> Pieces:
     return Pieces(path)
 
 
-def _pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA6B))) >> np.uint32(12)
+def _pair_slots(symbols: np.ndarray) -> np.ndarray:
+    """A slot below ``SLOTS`` for each pair of neighbours."""
+    left, right = symbols[:-1] * np.uint32(0x9E3779B1), symbols[1:] * np.uint32(0x85EBCA6B)
+    return (left ^ right) >> np.uint32(12)
 
 
-def _frequent(symbols: np.ndarray, usable: np.ndarray, most: int, least: int) -> np.ndarray:
+def _packed(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
+
+
+def _frequent(symbols, slots, usable, most: int, least: int) -> np.ndarray:
     """The most frequent pairs, as left << 32 | right. A table of hashed counts leaves out the rare
     ones before the exact count."""
-    left, right = symbols[:-1], symbols[1:]
-    slots = _pair_hash(left, right)
-    counts = np.bincount(slots[usable], minlength=1 << 20)
-    likely = usable & (counts >= least)[slots]
-    pairs = left[likely].astype(np.uint64) << np.uint64(32) | right[likely]
-    pairs, n = np.unique(pairs, return_counts=True)
+    counts = np.bincount(slots[usable], minlength=SLOTS)
+    pairs, n = np.unique(
+        _packed(symbols, np.flatnonzero(usable & (counts >= least)[slots])), return_counts=True
+    )
     pairs, n = pairs[n >= least], n[n >= least]
-    return pairs[np.lexsort((pairs, -n))][:most]
+    pairs = pairs[np.lexsort((pairs, -n))][:most]
+    # Of pairs that share a slot the most frequent goes first; the others have their turn later.
+    both = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+    own = _pair_slots(both.ravel())[::2]
+    return pairs[np.sort(np.unique(own, return_index=True)[1])]
 
 
-def _replace(symbols: np.ndarray, usable: np.ndarray, pairs: np.ndarray, first: int) -> np.ndarray:
+def _replace(symbols, slots, usable, pairs: np.ndarray, first: int) -> np.ndarray:
     """Replace the pairs from left to right by the symbols from ``first`` on. In a row of overlapping
     matches every other one counts."""
-    left, right = symbols[:-1], symbols[1:]
-    known = np.zeros(1 << 20, bool)
-    known[_pair_hash((pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32))] = True
-    maybe = np.flatnonzero(usable & known[_pair_hash(left, right)])
-    packed = left[maybe].astype(np.uint64) << np.uint64(32) | right[maybe]
-    order = np.argsort(pairs)
-    place = np.minimum(np.searchsorted(pairs[order], packed), len(pairs) - 1)
-    exact = pairs[order][place] == packed
-    at, rule = maybe[exact], order[place[exact]]
+    rule_of = np.full(SLOTS, -1, np.int32)
+    both = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+    rule_of[_pair_slots(both.ravel())[::2]] = np.arange(len(pairs))
+    rule = rule_of[slots]
+    at = np.flatnonzero(usable & (rule >= 0))
+    rule = rule[at]
+    exact = pairs[rule] == _packed(symbols, at)
+    at, rule = at[exact], rule[exact]
     if not len(at):
         return symbols
     starts = np.flatnonzero(np.r_[True, np.diff(at) != 1])
@@ -138,23 +155,28 @@ def _replace(symbols: np.ndarray, usable: np.ndarray, pairs: np.ndarray, first:
     return out[keep]
 
 
+def _sizes(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """How many ids each symbol stands for."""
+    padded = np.r_[lengths, np.uint32(1)].astype(np.int64)
+    return padded[np.where(symbols >= BASE, symbols.astype(np.int64) - BASE, len(lengths))]
+
+
 def compress(ids: np.ndarray, rounds: int = ROUNDS, most: int = MOST_RULES, least: int = LEAST):
     """Symbols, rules (n by 2) and expansion lengths of ids below ``BASE``."""
     symbols = ids.astype(np.uint32)
-    rules = np.zeros((0, 2), np.uint32)
-    lengths = np.zeros(0, np.uint32)
+    rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
     for _ in range(rounds):
         if len(symbols) < 2 * least:
             break
-        usable = (symbols[:-1] != END) & (symbols[1:] != END)
-        pairs = _frequent(symbols, usable, most, least)
+        ends = symbols == END
+        usable, slots = ~(ends[:-1] | ends[1:]), _pair_slots(symbols)
+        pairs = _frequent(symbols, slots, usable, most, least)
         if not len(pairs):
             break
+        symbols = _replace(symbols, slots, usable, pairs, BASE + len(rules))
         new = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-        symbols = _replace(symbols, usable, pairs, BASE + len(rules))
-        each = np.where(new >= BASE, np.r_[lengths, np.uint32(0)][np.where(new >= BASE, new - np.uint32(BASE), len(lengths))], 1)
-        rules = np.concatenate([rules, new])
-        lengths = np.concatenate([lengths, each.sum(1).astype(np.uint32)])
+        each = _sizes(new, lengths).sum(1).astype(np.uint32)
+        rules, lengths = np.concatenate([rules, new]), np.concatenate([lengths, each])
     return symbols, rules, lengths
 
 
@@ -173,11 +195,7 @@ def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
 
 def token_at(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, place: int) -> int:
     """The id at a place of a document, expanding only the symbol that covers it."""
-    sizes = np.where(
-        symbols >= BASE,
-        np.r_[lengths, np.uint32(0)][np.where(symbols >= BASE, symbols - BASE, len(lengths))],
-        1,
-    ).astype(np.int64)
+    sizes = _sizes(symbols, lengths)
     ends = np.cumsum(sizes)
     if place < 0 or not len(ends) or place >= ends[-1]:
         raise IndexError(place)

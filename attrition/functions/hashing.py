@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SPAN = 2**32
@@ -17,6 +17,13 @@ def row_hash(key: Column | str, seed: int, purpose: str = "") -> Column:
     return F.substring(F.md5(F.concat(F.lit(prefix), c.cast("string"))), 1, 8)
 
 
+def key_or_row(df: DataFrame, key: str) -> Column:
+    """The row key as text; a row without a key is known by all its values instead, so rows without
+    keys are spread like any others and equal ones stay together."""
+    whole = F.concat(F.lit("row:"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    return F.coalesce(F.col(f"`{key}`").cast("string"), whole)
+
+
 def threshold(fraction: float) -> str | None:
     """Hex text such that ``row_hash < threshold`` holds for that fraction of keys.
 

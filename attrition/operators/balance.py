@@ -1,7 +1,8 @@
 """Train/test split, class sampling and class weights.
 
 ``method="hash"`` decides on a hash of the row key: the same rows on any partitioning, after any
-retry and in any engine. ``method="native"`` is Spark's own sampler.
+retry and in any engine. A row without a key is hashed by its values. ``method="native"`` is Spark's
+own sampler.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrition.functions.hashing import below, poisson_copies, row_hash
+from attrition.functions.hashing import below, key_or_row, poisson_copies, row_hash
 from attrition.schemas import KEY, LABEL
 
 MAX_CLASSES = 1000
@@ -51,7 +52,7 @@ def random_split(
 ) -> list[DataFrame]:
     if method == "native":
         return df.randomSplit(list(weights), seed)
-    part = split_part(key, weights, seed)
+    part = split_part(key_or_row(df, key), weights, seed)
     return [df.filter(part == i) for i in range(len(weights))]
 
 
@@ -63,7 +64,7 @@ def undersample(
     rows = df.filter(F.col(label) == cls)
     if method == "native":
         return rows.sample(False, fraction, seed)
-    return rows.filter(below(row_hash(key, seed, "under"), fraction))
+    return rows.filter(below(row_hash(key_or_row(df, key), seed, "under"), fraction))
 
 
 def oversample(
@@ -77,7 +78,7 @@ def oversample(
     # The hash is a column of its own, so it is computed once per row for all its comparisons; an
     # empty array drops the row without a filter that would compute it again.
     return (
-        rows.withColumn("_hash", row_hash(key, seed, "over"))
+        rows.withColumn("_hash", row_hash(key_or_row(df, key), seed, "over"))
         .withColumn("_copies", F.array_repeat(F.lit(1), poisson_copies(F.col("_hash"), fraction)))
         .withColumn("_copy", F.explode("_copies"))
         .drop("_hash", "_copies", "_copy")
@@ -102,7 +103,7 @@ def balance_classes(
 
 
 def _two_classes(df: DataFrame, label: str) -> tuple:
-    counts = class_counts(df, label)
+    counts = class_counts(df, label, max_classes=2)
     if len(counts) != 2:
         raise ValueError(f"two classes needed, found {sorted(counts)}")
     small, large = sorted(counts, key=lambda c: (counts[c], -c))
@@ -132,12 +133,14 @@ def undersample_to_ratio(
 
 
 def class_weights(df: DataFrame, label: str = LABEL, output: str = "weight") -> DataFrame:
-    """Weight total / (classes * rows of the class), found by label value."""
-    counts = class_counts(df, label)
-    total = sum(counts.values())
-    chain = None
-    for cls, n in counts.items():
-        chain = (F if chain is None else chain).when(
-            F.col(label) == cls, F.lit(total / (len(counts) * n))
-        )
-    return df.withColumn(output, chain)
+    """Weight total / (classes * rows of the class), for any number of classes; null has none.
+
+    The counts are joined by label; a class with a large share of the rows is split by the
+    adaptive join, or its side is broadcast where Spark finds it small."""
+    counts = class_distribution(df.filter(F.col(label).isNotNull()), label)
+    totals = counts.agg(F.sum("n_rows").alias("total"), F.count(F.lit(1)).alias("classes"))
+    weights = counts.join(F.broadcast(totals)).select(
+        F.col(label).alias("_class"),
+        (F.col("total") / (F.col("classes") * F.col("n_rows"))).alias(output),
+    )
+    return df.drop(output).join(weights, F.col(label) == F.col("_class"), "left").drop("_class")

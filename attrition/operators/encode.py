@@ -8,17 +8,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping
+from fractions import Fraction
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attrition.operators.order_stats import OrderStatistics
-from attrition.sources.scratch import pinned
+from attrition.sources.scratch import pinned, shared_dir
 
 MAX_LEVELS = 1000
 
@@ -35,8 +36,13 @@ def _check_edges(name: str, edges: list[float]) -> list[float]:
     return edges
 
 
-def _bin_probabilities(bins: int) -> list[float]:
-    return [k / bins for k in range(bins + 1)]
+def missing(column: Column) -> Column:
+    """Null, or a number that is none."""
+    return column.isNull() | F.isnan(column.cast("double"))
+
+
+def _bin_probabilities(bins: int) -> list[Fraction]:
+    return [Fraction(k, bins) for k in range(bins + 1)]
 
 
 def _cut_ranks(n: int, bins: int) -> list[int]:
@@ -77,7 +83,7 @@ class QuantileCut(Estimator, _CutParams, DefaultParamsReadable, DefaultParamsWri
 
 
 class QuantileCutModel(Model, _CutParams, DefaultParamsReadable, DefaultParamsWritable):
-    """New values outside the fitted range belong to the first or last bin."""
+    """New values outside the fitted range belong to the first or last bin; null and NaN to none."""
 
     edges = Param(Params._dummy(), "edges", "edges of each column", TypeConverters.toListListFloat)
 
@@ -86,7 +92,7 @@ class QuantileCutModel(Model, _CutParams, DefaultParamsReadable, DefaultParamsWr
         self._set(inputCols=inputCols, outputCols=outputCols, edges=edges)
 
     def bin_of(self, column: Column, edges: list[float]) -> Column:
-        chain = F.when(column.isNull(), F.lit(None).cast("int"))
+        chain = F.when(missing(column), F.lit(None).cast("int"))
         for label, edge in enumerate(edges[1:-1], start=1):
             chain = chain.when(column <= F.lit(edge), F.lit(label))
         return chain.otherwise(F.lit(len(edges) - 1))
@@ -118,11 +124,11 @@ class _RankParams(Params):
 
 def rank_cuts(
     df: DataFrame, column: str, order_col: str, statistics: OrderStatistics, ranks: list[int]
-) -> tuple[list, list[int]]:
+) -> tuple[list, list[int | None]]:
     """(value, tie) pairs of the rows at 0-based ``ranks`` by ``column``, then ``order_col``.
 
-    The tie is -1 where the rank is the last one of its value, so that no row behind it shares
-    the value."""
+    The tie is None where the rank is the last one of its value, so that no row behind it shares
+    the value; otherwise it is the row's order, of any sign."""
     if not isinstance(df.schema[order_col].dataType, T.IntegralType):
         raise TypeError(f"{order_col} must be an integer column")
     rows = statistics.at({column: ranks})[column]
@@ -131,7 +137,7 @@ def rank_cuts(
         for i, r in enumerate(ranks)
         if r - rows[r].below < rows[r].equal - 1
     }
-    ties = [-1] * len(ranks)
+    ties: list[int | None] = [None] * len(ranks)
     if inside:
         wanted: dict[str, list[int]] = {}
         for value, place in inside.values():
@@ -146,21 +152,20 @@ def rank_cuts(
     return [rows[r].value for r in ranks], ties
 
 
-def not_behind(column: Column, order: Column, value, tie: int) -> Column:
+def not_behind(column: Column, order: Column, value: Column, tie: int | None) -> Column:
     """The row is at or before a (value, tie) cut."""
-    if tie < 0:
-        return column <= F.lit(value)
-    return (column < F.lit(value)) | ((column == F.lit(value)) & (order <= F.lit(tie)))
+    if tie is None:
+        return column <= value
+    return (column < value) | ((column == value) & (order <= F.lit(tie)))
 
 
 def _rank_bin_cuts(
     df: DataFrame, column: str, order_col: str, statistics: OrderStatistics, bins: int
-) -> tuple[list[float], list[int]]:
+) -> tuple[list, list[int | None]]:
     n = statistics.counts[column]
     if n < 2:
         raise ValueError("rank bins need at least two rows")
-    values, ties = rank_cuts(df, column, order_col, statistics, _cut_ranks(n, bins))
-    return [float(v) for v in values], ties
+    return rank_cuts(df, column, order_col, statistics, _cut_ranks(n, bins))
 
 
 class RankCut(Estimator, _RankParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -182,12 +187,22 @@ class RankCut(Estimator, _RankParams, DefaultParamsReadable, DefaultParamsWritab
             values, ties = _rank_bin_cuts(
                 part, column, order, OrderStatistics(part, [column]), self.getOrDefault("bins")
             )
-        return RankCutModel(column, self.getOrDefault("outputCol"), order, values, ties)
+        return rank_cut_model(column, self.getOrDefault("outputCol"), order, values, ties)
+
+
+def rank_cut_model(
+    column: str, output: str, order: str, values: list, ties: list[int | None]
+) -> RankCutModel:
+    texts = [repr(v) if isinstance(v, float) else str(v) for v in values]
+    return RankCutModel(column, output, order, texts, ["" if t is None else str(t) for t in ties])
 
 
 class RankCutModel(Model, _RankParams, DefaultParamsReadable, DefaultParamsWritable):
-    values = Param(Params._dummy(), "values", "value ending a bin", TypeConverters.toListFloat)
-    ties = Param(Params._dummy(), "ties", "order ending a bin, -1: none", TypeConverters.toListInt)
+    # As text: a float would not hold every 64-bit integer or decimal.
+    values = Param(Params._dummy(), "values", "value ending a bin", TypeConverters.toListString)
+    ties = Param(
+        Params._dummy(), "ties", "order ending a bin, empty: none", TypeConverters.toListString
+    )
 
     def __init__(self, inputCol=None, outputCol=None, orderCol=None, values=None, ties=None):
         super().__init__()
@@ -199,9 +214,11 @@ class RankCutModel(Model, _RankParams, DefaultParamsReadable, DefaultParamsWrita
         c = F.col(self.getOrDefault("inputCol"))
         order = F.col(self.getOrDefault("orderCol"))
         values, ties = self.getOrDefault("values"), self.getOrDefault("ties")
-        chain = F.when(c.isNull(), F.lit(None).cast("int"))
+        kind = df.schema[self.getOrDefault("inputCol")].dataType
+        chain = F.when(missing(c), F.lit(None).cast("int"))
         for label, (value, tie) in enumerate(zip(values, ties), start=1):
-            chain = chain.when(not_behind(c, order, value, tie), F.lit(label))
+            cut = F.lit(value).cast(kind)
+            chain = chain.when(not_behind(c, order, cut, int(tie) if tie else None), F.lit(label))
         return df.withColumn(
             self.getOrDefault("outputCol"), chain.otherwise(F.lit(len(values) + 1))
         )
@@ -244,24 +261,36 @@ class _OneHotParams(Params):
 class OneHot(Estimator, _OneHotParams, DefaultParamsReadable, DefaultParamsWritable):
     """One boolean column per level, named after the level; a null sets none of them.
 
-    ``dropFirst`` names the columns whose alphabetically first level gets no column."""
+    ``dropFirst`` names the columns whose alphabetically first level gets no column. Two columns may
+    not share a level, nor may a level be named like another column of the input, unless ``prefix`` puts
+    the column's name and an underscore before the level. More than ``maxLevels`` levels in a
+    column raise: each would become a column."""
 
     dropFirst = Param(
         Params._dummy(), "dropFirst", "columns without first level", TypeConverters.toListString
     )
 
-    def __init__(self, inputCols=None, dropFirst=None):
+    prefix = Param(Params._dummy(), "prefix", "name columns by both", TypeConverters.toBoolean)
+    maxLevels = Param(Params._dummy(), "maxLevels", "most levels", TypeConverters.toInt)
+
+    def __init__(self, inputCols=None, dropFirst=None, prefix=False, maxLevels=MAX_LEVELS):
         super().__init__()
-        self._set(inputCols=inputCols, dropFirst=dropFirst or [])
+        self._set(
+            inputCols=inputCols, dropFirst=dropFirst or [], prefix=prefix, maxLevels=maxLevels
+        )
 
     def _fit(self, df: DataFrame) -> OneHotModel:
         names = self.getOrDefault("inputCols")
-        levels = levels_of(df, names)
+        levels = levels_of(df, names, self.getOrDefault("maxLevels"))
         first = set(self.getOrDefault("dropFirst"))
-        return OneHotModel(
-            [c for c in names for _ in levels[c][c in first:]],
-            [v for c in names for v in levels[c][c in first:]],
-        )
+        pairs = [(c, v) for c in names for v in levels[c][c in first:]]
+        outputs = [f"{c}_{v}" if self.getOrDefault("prefix") else v for c, v in pairs]
+        # Names of columns do not differ by the case of their letters.
+        taken = [o.lower() for o in outputs] + [c.lower() for c in df.columns]
+        clashing = sorted({o for o in outputs if taken.count(o.lower()) > 1})
+        if clashing:
+            raise ValueError(f"more than one column would be named {clashing}; set prefix")
+        return OneHotModel([c for c, _ in pairs], [v for _, v in pairs], outputs)
 
 
 class OneHotModel(Model, _OneHotParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -269,41 +298,76 @@ class OneHotModel(Model, _OneHotParams, DefaultParamsReadable, DefaultParamsWrit
         Params._dummy(), "levels", "level of each output column", TypeConverters.toListString
     )
 
-    def __init__(self, inputCols=None, levels=None):
+    outputCols = Param(
+        Params._dummy(), "outputCols", "name of each output column", TypeConverters.toListString
+    )
+
+    def __init__(self, inputCols=None, levels=None, outputCols=None):
         super().__init__()
-        self._set(inputCols=inputCols, levels=levels)
+        self._set(inputCols=inputCols, levels=levels, outputCols=outputCols or levels)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns(
             {
-                level: F.coalesce(F.col(c).cast("string") == F.lit(level), F.lit(False))
-                for c, level in zip(self.getOrDefault("inputCols"), self.getOrDefault("levels"))
+                output: F.coalesce(F.col(c).cast("string") == F.lit(level), F.lit(False))
+                for c, level, output in zip(
+                    self.getOrDefault("inputCols"),
+                    self.getOrDefault("levels"),
+                    self.getOrDefault("outputCols"),
+                )
             }
         )
 
 
-def one_hot(df: DataFrame, columns: Iterable[str], drop_first: Iterable[str] = ()) -> DataFrame:
-    return OneHot(list(columns), list(drop_first)).fit(df).transform(df)
+def one_hot(
+    df: DataFrame, columns: Iterable[str], drop_first: Iterable[str] = (), prefix: bool = False,
+    max_levels: int = MAX_LEVELS,
+) -> DataFrame:
+    return OneHot(list(columns), list(drop_first), prefix, max_levels).fit(df).transform(df)
 
 
-def label_encode(df: DataFrame, columns: Iterable[str], suffix: str = "_code") -> DataFrame:
-    """Alphabetical position 0..k-1 of each category; null stays null."""
-    names = list(columns)
-    levels = levels_of(df, names)
-    return df.withColumns(
-        {
-            c + suffix: (
-                F.nullif(
-                    F.array_position(F.lit(levels[c]), F.col(c).cast("string")), F.lit(0)
-                ) - 1
-            ).cast("int")
-            if levels[c]
-            else F.lit(None).cast("int")
-            for c in names
-        }
+def _level_codes(df: DataFrame, column: str) -> DataFrame:
+    """Each level with its alphabetical position, for any number of levels.
+
+    The levels are range-partitioned and written once; a level's position is its number inside its
+    range plus the levels of the ranges before."""
+    levels = (
+        df.select(F.col(column).cast("string").alias("_level"))
+        .filter(F.col("_level").isNotNull())
+        .distinct()
+    )
+    path = shared_dir(df.sparkSession, "levels")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    levels.repartitionByRange(n, "_level").withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    ranged = df.sparkSession.read.schema("_level string, _part int").parquet(path)
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    before = ranged.groupBy("_part").count().select(
+        "_part", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("_before")
+    )
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("_level"))
+    return ranged.withColumn("_inside", inside).join(before, "_part").select(
+        "_level", (F.col("_before") + F.col("_inside") - 1).cast("int").alias("_code")
     )
 
 
+def label_encode(
+    df: DataFrame, columns: Iterable[str], suffix: str = "_code", listed: int = MAX_LEVELS
+) -> DataFrame:
+    """Alphabetical position 0..k-1 of each category; null stays null. Up to ``listed`` levels are
+    looked up in the row; more are ranked as a table and joined, with the same result."""
+    for c in columns:
+        found = df.select(F.col(c).cast("string").alias("v")).filter("v IS NOT NULL").distinct()
+        few = sorted(r.v for r in found.limit(listed + 1).collect())
+        if len(few) <= listed:
+            code = F.nullif(F.array_position(F.lit(few), F.col(c).cast("string")), F.lit(0)) - 1
+            df = df.withColumn(c + suffix, (code if few else F.lit(None)).cast("int"))
+        else:
+            codes = _level_codes(df, c).withColumnRenamed("_code", c + suffix)
+            same = F.col(c).cast("string") == F.col("_level")
+            df = df.drop(c + suffix).join(codes, same, "left").drop("_level")
+    return df
+
+
 # --- scaling -------------------------------------------------------------------------------
 
 
@@ -401,5 +465,5 @@ def cut_all(
             names, [out for out, _ in quantile_bins.values()],
             [_check_edges(c, edges[c]) for c in names],
         ),
-        RankCutModel(rank_column, rank_output, order_col, values, ties),
+        rank_cut_model(rank_column, rank_output, order_col, values, ties),
     )

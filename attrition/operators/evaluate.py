@@ -147,29 +147,31 @@ def classification_report(
 
 
 def auc_roc(
-    df: DataFrame, score: str, label: str = LABEL, buckets: int = 1024
+    df: DataFrame, score: str, label: str = LABEL, rows_per_range: int = 1_000_000
 ) -> DataFrame:
     """Exact area under the ROC curve: the share of (positive, negative) pairs in right order,
-    ties counting half.
+    ties counting half. Rows whose score is null or NaN are left out.
 
     Rows shrink to one per distinct score, which are written once. Negatives below a score are
-    counted by score ranges: totals of earlier ranges from a table of ``buckets`` rows, the rest
-    within the range.
+    counted by ranges of about ``rows_per_range`` scores: totals of earlier ranges from a table with a
+    row for each range, the rest within the range.
     """
     positive = (F.col(label) == 1).cast("bigint")
+    value = F.col(score).cast("double")
     scores = cut_lineage(
-        df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("score"))
+        df.filter(value.isNotNull() & ~F.isnan(value) & F.col(label).isNotNull())
+        .groupBy(value.alias("score"))
         .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
     )
-    # Range borders only steer the distribution; the result does not depend on them.
-    cuts = scores.agg(
-        F.percentile_approx(
-            F.col("score"),
-            F.lit([i / buckets for i in range(1, buckets)]),
-            F.lit(10 * buckets),
-        )
-    ).first()[0]
+    # Range borders only steer the distribution; the result does not depend on them, so they come
+    # from a sample.
+    rows = scores.count()
+    ranges = max(1, math.ceil(rows / rows_per_range))
+    cuts = None
+    if ranges > 1:
+        sampled = scores.sample(min(1.0, 200 * ranges / rows), seed=1)
+        shares = F.lit([i / ranges for i in range(1, ranges)])
+        cuts = sampled.agg(F.percentile_approx("score", shares, F.lit(20 * ranges))).first()[0]
     ranged = Bucketizer(
         inputCol="score", outputCol="bucket",
         splits=[-math.inf, *sorted(set(cuts or [0.0])), math.inf],

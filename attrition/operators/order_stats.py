@@ -114,8 +114,10 @@ class OrderStatistics:
         """Rank below each quantile and the part of the way to the next rank."""
         places = []
         for p in probabilities:
-            # Exact arithmetic: a product of floats may fall just beside a whole rank.
-            position = Fraction(p).limit_denominator(1_000_000) * max(self.counts[name] - 1, 0)
+            # Exact arithmetic on the number as it is written: a product of floats may fall just
+            # beside a whole rank. Thirds and the like come as fractions.
+            share = p if isinstance(p, Fraction) else Fraction(repr(float(p)))
+            position = share * max(self.counts[name] - 1, 0)
             low = math.floor(position)
             places.append((low, float(position - low)))
         return places

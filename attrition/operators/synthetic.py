@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attrition.operators.balance import class_counts
 from attrition.operators.encode import not_behind, rank_cuts
@@ -100,7 +101,8 @@ def synthetic_rows(
     copies = F.lit(base)
     if extra:
         (value,), (tie,) = rank_cuts(own, "draw", "key", statistics, [extra - 1])
-        copies = copies + not_behind(F.col("draw"), F.col("key"), value, tie).cast("int")
+        behind = not_behind(F.col("draw"), F.col("key"), F.lit(value), tie)
+        copies = copies + behind.cast("int")
     coded = cut_lineage(
         _coded(own.withColumn("copies", copies), value_codes(rows), rows.count())
     )
@@ -126,13 +128,24 @@ def synthetic_rows(
     )
 
 
+def copy_key(kind: T.DataType) -> Column:
+    """Key of a synthetic row: for 64-bit numbers ``-(seed * 1000003 + copy)``, which no customer has,
+    for text the seed and the number; other types cannot hold it and get null."""
+    if isinstance(kind, T.LongType):
+        return -(F.col("seed_key") * F.lit(1_000_003) + F.col("copy"))
+    if isinstance(kind, T.StringType):
+        return F.concat_ws("#", "seed_key", "copy")
+    return F.lit(None).cast(kind)
+
+
 def smoten_oversample(
     df: DataFrame, features: Sequence[str] = FEATURES, k: int = 5, seed: int = 42, key: str = KEY,
     label: str = LABEL, **limits,
 ) -> DataFrame:
     """The given rows and as many synthetic minority rows as bring both classes to parity.
 
-    Synthetic rows have no key. Columns: key, features, label."""
+    A synthetic row's key names its seed row and the number of the copy (:func:`copy_key`).
+    Columns: key, features, label."""
     counts = class_counts(df, label)
     if len(counts) != 2:
         raise ValueError(f"two classes needed, found {sorted(counts)}")
@@ -144,7 +157,7 @@ def smoten_oversample(
     new = synthetic_rows(df, n_new, minority, features, k, seed, key, label, **limits)
     return original.unionByName(
         new.select(
-            F.lit(None).cast(df.schema[key].dataType).alias(key),
+            copy_key(df.schema[key].dataType).alias(key),
             *features,
             F.lit(minority).cast(df.schema[label].dataType).alias(label),
         )

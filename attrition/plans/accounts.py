@@ -1,7 +1,8 @@
 """Customer accounts derived from the customer and order tables.
 
 ``orders`` is reduced to one row per customer before the join, with map-side partial sums, so a
-customer with a third of all orders costs one partial row per task.
+customer with a third of all orders costs one partial row per task. A customer without orders is an
+account with tenure and salary 0.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (
         spark.read.parquet(f"{sf_dir}/customer.parquet")
         .select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
-        .join(orders, F.col("c_custkey") == F.col("o_custkey"))
+        .join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+        .fillna({"n_orders": 0, "top_price": 0.0, "has_p": 0, "recent": 0})
         .select(
             key.alias("CustomerId"),
             F.col("c_name").alias("Surname"),

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from attrition.functions import columns as C
 from attrition.functions import features as X
+from attrition.functions.hashing import key_or_row
 from attrition.operators import balance as B
 from attrition.operators import encode as E
 from attrition.operators import evaluate as V
@@ -326,6 +327,13 @@ def union_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.union_classes(C.filter_class(df, 0), C.filter_class(df, 1))
 
 
+def smoten_then_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per fold and class when balanced rows are dealt to three folds."""
+    rows = S.smoten_oversample(model_input(featured(spark, sf_dir)))
+    fold = B.split_part(key_or_row(rows, "CustomerId"), [1.0] * 3, 42)
+    return rows.groupBy(fold.alias("fold"), LABEL).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def smoten_oversample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.smoten_oversample(model_input(featured(spark, sf_dir)))
 
@@ -399,21 +407,63 @@ def box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- models --------------------------------------------------------------------------------
 
 
+def _judged(scored: DataFrame) -> DataFrame:
+    """What SQL can state about the predictions of a model that has learnt something: each is a
+    class, and they find both classes better than chance does."""
+    hits = scored.agg(
+        F.avg(F.when(F.col(LABEL) == 0, (F.col(PREDICTION) == 0).cast("double"))).alias("kept"),
+        F.avg(F.when(F.col(LABEL) == 1, (F.col(PREDICTION) == 1).cast("double"))).alias("left"),
+    ).first()
+    return scored.select(
+        "CustomerId",
+        LABEL,
+        F.col(PREDICTION).isin(0.0, 1.0).alias("is_class"),
+        F.lit(hits["kept"] + hits["left"] > 1).alias("beats_chance"),
+    )
+
+
 def _trained(train: Callable[[DataFrame], object], balance: str = "none", **settings) -> Query:
-    """Scored test rows of a model trained on the training part."""
+    """Judged test rows of a model trained on the training part."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         _, scored = M.train_and_test(
             training(spark, sf_dir), train, balance=balance, **settings
         )
-        return scored.select("CustomerId", LABEL, PREDICTION)
+        return _judged(cut_lineage(scored.select("CustomerId", LABEL, PREDICTION)))
 
     return query
 
 
+def _searched(summary: DataFrame) -> DataFrame:
+    """The settings, whether each was measured, and how many won on their number alone."""
+    best = summary.agg(F.sum(F.col("is_best").cast("int"))).first()[0]
+    return summary.select(
+        "setting",
+        F.col("avg_metric").between(0.5, 1.0).alias("better_than_chance"),
+        F.lit(best >= 1).alias("has_winner"),
+    )
+
+
 def tune(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = training(spark, sf_dir)
-    return M.model_summary(M.tune(df), df)
+    return _searched(M.model_summary(M.tune(df), df))
+
+
+def tune_save_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole training flow; of its report, what must hold."""
+    _, found = M.tune_save_report(training(spark, sf_dir), shared_dir(spark, "best-model"))
+    return found.select(
+        F.col("accuracy").between(0.5, 1.0).alias("accuracy"),
+        F.col("auc").between(0.5, 1.0).alias("auc"),
+        (F.col("macro_recall") > 0.5).alias("macro_recall"),
+    )
+
+
+def forest_learns_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree that sees a rule's labels predicts the rule."""
+    df = training(spark, sf_dir).withColumn(LABEL, (F.col("Age") >= 50).cast("int"))
+    model = M.train_forest(df, num_trees=1, max_depth=3, subset="all", max_bins=256)
+    return M.predict(model, df).select("CustomerId", PREDICTION)
 
 
 def knn_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -422,12 +472,12 @@ def knn_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = training(spark, sf_dir)
-    return M.predict(M.train_forest(df, num_trees=20, max_depth=5), df)
+    return _judged(cut_lineage(M.predict(M.train_forest(df), df)))
 
 
 def save_and_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = training(spark, sf_dir)
-    model = M.train_forest(df, num_trees=20, max_depth=5)
+    model = M.train_forest(df)
     path = shared_dir(spark, "model")
     M.save_model(model, path)
     both = M.predict(M.load_model(path), M.predict(model, df, "first"))
@@ -451,6 +501,13 @@ class Shift:
         return (matrix - 10.0) / 4.0
 
 
+class ScaledAgeRule:
+    """The same rule behind :class:`Shift`."""
+
+    def predict(self, matrix: np.ndarray) -> np.ndarray:
+        return (matrix[:, FEATURES.index("Age")] >= 10).astype(float)
+
+
 def score_with(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = E.assemble(model_input(featured(spark, sf_dir)), FEATURES)
     return U.score_with(df, AgeRule(), "features").select("CustomerId", PREDICTION)
@@ -476,11 +533,23 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _model_and_messages(spark: SparkSession, sf_dir: str):
     df = cut_lineage(featured(spark, sf_dir))
-    model = M.train_forest(model_input(df), num_trees=10, max_depth=5)
+    model = M.train_forest(model_input(df))
     records = df.select(*SCORING_SCHEMA.fieldNames())
     return records, model, _message_files(records, "records")
 
 
+def _rule_and_messages(spark: SparkSession, sf_dir: str):
+    """A Python model behind a Python scaler, and messages for it."""
+    records = _records(spark, sf_dir)
+    return Z.python_scorer(ScaledAgeRule(), Shift()), _message_files(records, "records")
+
+
+def score_stream_python(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scorer, path = _rule_and_messages(spark, sf_dir)
+    scored = _stream_to_table(Z.score_stream(_file_stream(spark, path), scorer), "ruled")
+    return scored.select("CustomerId", PREDICTION)
+
+
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose prediction differs between the stream and one batch: none."""
     records, model, path = _model_and_messages(spark, sf_dir)
@@ -502,7 +571,7 @@ def _score_files(spark: SparkSession, model, path: str, sinks, **settings) -> No
 
 
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, model, path = _model_and_messages(spark, sf_dir)
+    model, path = _rule_and_messages(spark, sf_dir)
     out = shared_dir(spark, "sinks")
     _score_files(
         spark, model, path,
@@ -521,8 +590,8 @@ def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _half_broken(spark: SparkSession, sf_dir: str) -> tuple:
     """Messages of which those about women are cut off."""
-    df = cut_lineage(featured(spark, sf_dir))
-    model = M.train_forest(model_input(df), num_trees=5, max_depth=3)
+    df = featured(spark, sf_dir)
+    model = Z.python_scorer(ScaledAgeRule(), Shift())
     record = F.to_json(
         F.struct(*SCORING_SCHEMA.fieldNames()), {"ignoreNullFields": "false"}
     )
@@ -550,7 +619,7 @@ def quarantine_passed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sink that always fails: its rows are set aside and the stream goes on."""
-    _, model, path = _model_and_messages(spark, sf_dir)
+    model, path = _rule_and_messages(spark, sf_dir)
     out = shared_dir(spark, "dead")
 
     def failing(df: DataFrame, batch_id: int) -> None:
@@ -633,6 +702,7 @@ def queries() -> dict[str, Query]:
         "class_weights": class_weights,
         "union_classes": union_classes,
         "smoten_oversample": smoten_oversample,
+        "smoten_then_folds": smoten_then_folds,
         "train_forest": _trained(M.train_forest, "double_and_halve"),
         "train_logistic": _trained(M.train_logistic, seed=0),
         "train_linear_svm": _trained(M.train_linear_svm, "oversample", seed=0),
@@ -678,6 +748,9 @@ def queries() -> dict[str, Query]:
         "live_products_by_prediction": _live("products_by_prediction"),
         "stream_records": stream_records,
         "score_stream": score_stream,
+        "score_stream_python": score_stream_python,
+        "tune_save_report": tune_save_report,
+        "forest_learns_rule": forest_learns_rule,
         "fan_out": fan_out,
         "quarantine": quarantine,
         "quarantine_passed": quarantine_passed,
@@ -690,4 +763,4 @@ def queries() -> dict[str, Query]:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts to features to forest to the report of predicted classes."""
     df = cut_lineage(model_input(featured(spark, sf_dir)))
-    return R.prediction_counts(M.predict(M.train_forest(df, num_trees=20, max_depth=5), df))
+    return R.prediction_counts(M.predict(M.train_forest(df), df))

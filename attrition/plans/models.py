@@ -17,12 +17,14 @@ from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
     MulticlassClassificationEvaluator,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.functions.columns import drop_intermediate
+from attrition.functions.hashing import key_or_row
 from attrition.operators.balance import (
     balance_classes,
     class_counts,
@@ -32,11 +34,11 @@ from attrition.operators.balance import (
     split_part,
 )
 from attrition.operators.encode import Standardize
-from attrition.operators.evaluate import summary_metrics
+from attrition.operators.evaluate import auc_roc, summary_metrics
 from attrition.operators.neighbors import knn_classify
 from attrition.operators.synthetic import smoten_oversample, synthetic_rows
 from attrition.schemas import FEATURES, KEY, LABEL, PREDICTION
-from attrition.sources.scratch import pinned
+from attrition.sources.scratch import cut_lineage, pinned
 
 SCALED = "scaled_features"
 ROWS_PER_TASK = 50_000
@@ -59,11 +61,11 @@ def model_pipeline(
 
 def forest(
     num_trees: int = 100, max_depth: int = 10, min_instances: int = 1, subset: str = "auto",
-    seed: int = 42, label: str = LABEL,
+    seed: int = 42, label: str = LABEL, max_bins: int = 32,
 ) -> RandomForestClassifier:
     return RandomForestClassifier(
         featuresCol=SCALED, labelCol=label, seed=seed, numTrees=num_trees, maxDepth=max_depth,
-        minInstancesPerNode=min_instances, featureSubsetStrategy=subset,
+        minInstancesPerNode=min_instances, featureSubsetStrategy=subset, maxBins=max_bins,
     )
 
 
@@ -138,8 +140,10 @@ def train_logistic_l2(
 
 def train_forest_default(
     df: DataFrame, label: str = LABEL, key: str = KEY, features: Sequence[str] = FEATURES,
-    balance: bool = True, seed: int = 42, max_depth: int = 10,
+    balance: bool = True, seed: int = 42, max_depth: int = 30,
 ) -> PipelineModel:
+    """100 trees that grow until their leaves are pure or ``max_depth`` is reached; 30 is the most
+    that Spark's trees allow."""
     return _on_population_scale(
         df, lambda n: [forest(100, max_depth, seed=seed, label=label)],
         features, key, label, balance, seed, few_tasks=False,
@@ -147,7 +151,7 @@ def train_forest_default(
 
 
 def train_poly_svm(
-    df: DataFrame, degree: int = 2, max_iter: int = 100, reg: float = 0.1, label: str = LABEL,
+    df: DataFrame, degree: int = 3, max_iter: int = 100, reg: float = 0.1, label: str = LABEL,
     key: str = KEY, features: Sequence[str] = FEATURES, balance: bool = True, seed: int = 42,
 ) -> PipelineModel:
     """Polynomial features and a linear machine: the primal form of a polynomial kernel, whose
@@ -198,7 +202,7 @@ def tune(
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder.addGrid(classifier.getParam(name), list(values))
-    rows = df.select(*features, label, split_part(key, [1.0] * folds, seed).alias("fold"))
+    rows = df.select(*features, label, split_part(key_or_row(df, key), [1.0] * folds, seed).alias("fold"))
     with pinned(rows) as ready:
         return CrossValidator(
             estimator=model_pipeline(classifier, features),
@@ -232,10 +236,17 @@ def model_summary(tuned: CrossValidatorModel, df: DataFrame) -> DataFrame:
 # --- use -----------------------------------------------------------------------------------
 
 
-def predict(model: PipelineModel, df: DataFrame, output: str = PREDICTION) -> DataFrame:
-    """Append the predicted class; intermediate vectors and scores are dropped."""
+def predict(
+    model: PipelineModel, df: DataFrame, output: str = PREDICTION, score: str | None = None
+) -> DataFrame:
+    """Append the predicted class and, if ``score`` names a column, the number that ranks rows: the
+    probability of class 1, or the margin of a machine without probabilities. Intermediate vectors
+    are dropped."""
     scored = model.transform(df).withColumn(output, F.col("prediction"))
-    given = set(df.columns) | {output}
+    if score:
+        vector = "probability" if "probability" in scored.columns else "rawPrediction"
+        scored = scored.withColumn(score, vector_to_array(vector)[1])
+    given = set(df.columns) | {output} | ({score} if score else set())
     return drop_intermediate(scored, [c for c in scored.columns if c not in given])
 
 
@@ -313,13 +324,17 @@ def train_and_test(
     seed: int = 42,
     balance_test: bool = False,
     leaky: bool = False,
+    score: str | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit on the training part and score the test part: (model, scored test rows).
 
-    The split comes first. ``leaky=True`` balances first, so that copies of one customer may be on
-    both sides, and ``balance_test`` balances the test part as well."""
+    The split comes first. ``leaky=True`` balances and scales all rows first, so that copies of one
+    customer may be on both sides and the training part has seen the test part's scale;
+    ``balance_test`` balances the test part as well. ``score`` as in :func:`predict`."""
     balancer = BALANCERS[balance]
     if leaky:
+        # Written, so that the sampler and the split see plain columns instead of the whole formula.
+        df = cut_lineage(Standardize(list(FEATURES), list(FEATURES)).fit(df).transform(df))
         train_rows, test_rows = random_split(balancer(df, seed=seed), weights, seed, method="native")
     else:
         train_rows, test_rows = random_split(df, weights, seed)
@@ -328,9 +343,27 @@ def train_and_test(
             test_rows = balancer(test_rows, seed=seed)
     with pinned(train_rows) as ready:
         model = train(ready)
-    return model, predict(model, test_rows)
+    return model, predict(model, test_rows, score=score)
+
+
+def report(scored: DataFrame, score: str = "score", label: str = LABEL) -> DataFrame:
+    """One row: the summary metrics of scored rows and the area under the ROC curve."""
+    area = auc_roc(scored, score, label).first()[0]
+    return summary_metrics(scored, label).withColumn("auc", F.lit(area).cast("double"))
 
 
 def train_and_report(df: DataFrame, **settings) -> tuple[PipelineModel, DataFrame]:
-    model, scored = train_and_test(df, **settings)
-    return model, summary_metrics(scored)
+    model, scored = train_and_test(df, **{"score": "score", **settings})
+    return model, report(scored)
+
+
+def tune_save_report(
+    df: DataFrame, path: str, balance: str = "double_and_halve",
+    weights: Sequence[float] = (0.8, 0.2), seed: int = 42, **search,
+) -> tuple[CrossValidatorModel, DataFrame]:
+    """The whole training flow: split, balance the training part, search the grid, save the best
+    model at ``path``, and report on the test part."""
+    train_rows, test_rows = random_split(df, weights, seed)
+    tuned = tune(BALANCERS[balance](train_rows, seed=seed), seed=seed, **search)
+    save_model(tuned.bestModel, path)
+    return tuned, report(predict(load_model(path), test_rows, score="score"))

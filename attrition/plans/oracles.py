@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from attrition.functions.hashing import threshold
+
 ACCOUNTS = """
 WITH o AS (
   SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS top_price,
@@ -14,12 +16,12 @@ b AS (
          CASE c_nationkey % 3 WHEN 0 THEN 'France' WHEN 1 THEN 'Germany' ELSE 'Spain' END AS Geography,
          CASE WHEN c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS Gender,
          CAST(18 + (c_custkey * 7919) % 65 AS INT) AS Age,
-         CAST(n_orders % 11 AS INT) AS Tenure,
+         CAST(coalesce(n_orders, 0) % 11 AS INT) AS Tenure,
          CASE WHEN c_acctbal > 0 THEN c_acctbal ELSE 0.0e0 END AS Balance,
-         CAST(1 + (n_orders + c_custkey) % 4 AS INT) AS NumOfProducts,
-         CAST(has_p AS INT) AS HasCrCard, CAST(recent AS INT) AS IsActiveMember,
-         top_price AS EstimatedSalary
-  FROM customer JOIN o ON c_custkey = o_custkey),
+         CAST(1 + (coalesce(n_orders, 0) + c_custkey) % 4 AS INT) AS NumOfProducts,
+         CAST(coalesce(has_p, 0) AS INT) AS HasCrCard, CAST(coalesce(recent, 0) AS INT) AS IsActiveMember,
+         coalesce(top_price, 0.0e0) AS EstimatedSalary
+  FROM customer LEFT JOIN o ON c_custkey = o_custkey),
 accounts AS (
   SELECT *, CAST(CASE WHEN (Age >= 50 AND IsActiveMember = 0)
                         OR (Balance > 8000 AND NumOfProducts >= 3) THEN 1 ELSE 0 END AS INT) AS Exited
@@ -32,23 +34,23 @@ kept AS (
     AND NOT coalesce(NumOfProducts >= 4, false))"""
 
 ROW_FEATURES = {
-    "BalanceSalary": "Balance / EstimatedSalary",
+    "BalanceSalary": "Balance / nullif(EstimatedSalary, 0)",
     "TenureAge": "Tenure / Age",
     "ScoreAge": "CreditScore / Age",
     "tenure_age": "Tenure / nullif(Age - 17, 0)",
-    "tenure_salary": "Tenure / EstimatedSalary",
+    "tenure_salary": "Tenure / nullif(EstimatedSalary, 0)",
     "score_age": "CreditScore / nullif(Age - 17, 0)",
-    "score_salary": "CreditScore / EstimatedSalary",
+    "score_salary": "CreditScore / nullif(EstimatedSalary, 0)",
     "newAge": "Age - Tenure",
     "newEstimatedSalary": "EstimatedSalary / 12",
     "score_balance": "Balance / CreditScore",
     "age_balance": "Balance / Age",
-    "balance_salary": "Balance / EstimatedSalary",
+    "balance_salary": "Balance / nullif(EstimatedSalary, 0)",
     "age_hascrcard": "HasCrCard / Age",
     "product_utilization_rate_by_year": "CASE WHEN NumOfProducts = 0 THEN 0.0e0 WHEN Tenure = 0 "
     "THEN CAST(NumOfProducts AS DOUBLE) ELSE NumOfProducts / Tenure END",
     "product_utilization_rate_by_salary": "CASE WHEN NumOfProducts = 0 THEN 0.0e0 "
-    "ELSE NumOfProducts / EstimatedSalary END",
+    "ELSE NumOfProducts / nullif(EstimatedSalary, 0) END",
     "countries_monthly_average_salaries": "EstimatedSalary / 12 / CASE Geography "
     "WHEN 'Germany' THEN 4740.0e0 WHEN 'France' THEN 3696.0e0 WHEN 'Spain' THEN 2257.0e0 END",
 }
@@ -218,7 +220,8 @@ seeds AS (
   SELECT CustomerId AS src, n_new // n_own + CASE WHEN row_number() OVER (
     ORDER BY CAST('0x' || substr(md5('{seed}:' || CustomerId), 1, 15) AS BIGINT), CustomerId)
     <= n_new % n_own THEN 1 ELSE 0 END AS copies FROM {source}, needed WHERE Exited = 1),
-spread AS (SELECT vals, unnest(range(CAST(copies AS BIGINT))) AS copy FROM made JOIN seeds USING (src))"""
+spread AS (
+  SELECT src, vals, unnest(range(1, 1 + CAST(copies AS BIGINT))) AS copy FROM made JOIN seeds USING (src))"""
 
 
 _KNN = """
@@ -408,8 +411,14 @@ FROM accounts""",
         "union_classes": f"{ACCOUNTS} SELECT CustomerId, Exited FROM accounts WHERE Exited IN (0, 1)",
         "smoten_oversample": f"""{WIDE}, {_synthetic('wide', 42)}
 SELECT * FROM filled UNION ALL
-SELECT NULL, 1, {', '.join(f'CAST(vals[{i}] AS {_type(c)})' for i, c in enumerate(FE_FEATURES, 1))}
+SELECT -(src * 1000003 + copy), 1,
+  {', '.join(f'CAST(vals[{i}] AS {_type(c)})' for i, c in enumerate(FE_FEATURES, 1))}
 FROM spread""",
+        "smoten_then_folds": f"""{WIDE}, {_synthetic('wide', 42)},
+every AS (SELECT CustomerId, Exited FROM wide UNION ALL SELECT -(src * 1000003 + copy), 1 FROM spread)
+SELECT CAST(CASE WHEN {_hash(42)} < '{threshold(1 / 3)}' THEN 0
+  WHEN {_hash(42)} < '{threshold(2 / 3)}' THEN 1 ELSE 2 END AS INT) AS fold,
+  Exited, count(*) AS n_rows FROM every GROUP BY ALL""",
         "knn_holdout": f"""{WIDE},
 train AS (SELECT * FROM wide WHERE {_hash(0)} < 'cccccccd'),
 test AS (SELECT * FROM wide WHERE {_hash(0)} >= 'cccccccd'),
@@ -511,6 +520,25 @@ SELECT unnest(['messages', 'table']) AS sink, count(*) AS n_rows,
 SELECT '{"CustomerId":' || CustomerId || ',"Age":' AS value FROM fe WHERE Female"""),
         "quarantine_passed": _fe("SELECT CustomerId, Age FROM fe WHERE NOT Female"),
         "dead_letter": _fe("SELECT 'failing' AS sink, CustomerId FROM fe"),
+        "score_stream_python": _fe(
+            "SELECT CustomerId, CASE WHEN Age >= 50 THEN 1.0e0 ELSE 0.0e0 END AS ChurnPrediction FROM fe"
+        ),
+        "forest_learns_rule": _fe(
+            "SELECT CustomerId, CASE WHEN Age >= 50 THEN 1.0e0 ELSE 0.0e0 END AS ChurnPrediction FROM fe"
+        ),
+        **{
+            name: _fe(f"""
+SELECT CustomerId, Exited, true AS is_class, true AS beats_chance FROM fe WHERE {_hash(seed)} >= 'cccccccd'""")
+            for name, seed in (
+                ("train_forest", 42), ("train_logistic", 0), ("train_linear_svm", 0),
+                ("train_logistic_l2", 42), ("train_forest_default", 42), ("train_poly_svm", 42),
+            )
+        },
+        "predict": _fe("SELECT CustomerId, Exited, true AS is_class, true AS beats_chance FROM fe"),
+        "tune": """
+SELECT 'maxDepth=' || d || ', numTrees=' || n AS setting, true AS better_than_chance, true AS has_winner
+FROM (SELECT unnest([5, 10]) AS d), (SELECT unnest([50, 100]) AS n)""",
+        "tune_save_report": "SELECT true AS accuracy, true AS auc, true AS macro_recall",
         "save_and_load_model": _fe("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM fe"),
         "score_with": _fe("SELECT CustomerId, CASE WHEN Age >= 50 THEN 1.0e0 ELSE 0.0e0 END AS ChurnPrediction FROM fe"),
         "scale_with": f"{FEATURED} {_long(('CreditScore', 'Age', 'Balance'), 'fe', '({c} - 10) / 4')}",

@@ -15,15 +15,21 @@ CHURN_NAMES = {0: "Stayed", 1: "Churned"}
 
 
 def prediction_counts(df: DataFrame, prediction: str = PREDICTION) -> DataFrame:
-    """Rows per predicted class; a class without rows is reported as 0. One pass, no join."""
-    counts = [
-        F.struct(
-            F.lit(cls).alias("prediction"),
-            F.count(F.when(F.col(prediction) == cls, 1)).alias("n_rows"),
-        )
-        for cls in CHURN_NAMES
-    ]
-    return df.agg(F.array(*counts).alias("c")).select(F.explode("c").alias("r")).select("r.*")
+    """Rows per predicted class. The known classes are reported even without rows, as 0; any other
+    class, and null, has a row where it occurs."""
+    seen = df.groupBy(F.col(prediction).cast("int").alias("prediction")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+    return seen if df.isStreaming else with_known_classes(seen)
+
+
+def with_known_classes(counts: DataFrame) -> DataFrame:
+    """Counts per class, and 0 for each known class that has none. A stream cannot do this itself:
+    its reader does."""
+    known = counts.sparkSession.createDataFrame(
+        [(cls, 0) for cls in CHURN_NAMES], "prediction int, n_rows long"
+    )
+    return counts.unionByName(known).groupBy("prediction").agg(F.sum("n_rows").alias("n_rows"))
 
 
 def churn_by_gender(df: DataFrame, prediction: str = PREDICTION) -> DataFrame:
@@ -34,8 +40,10 @@ def churn_by_gender(df: DataFrame, prediction: str = PREDICTION) -> DataFrame:
 
 
 def score_range(df: DataFrame, column: str = "CreditScore") -> tuple[float, float]:
-    row = df.agg(F.min(column), F.max(column)).first()
-    return float(row[0]), float(row[1])
+    """Smallest and largest number; (0, 0) without any."""
+    number = F.when(~F.isnan(F.col(column).cast("double")), F.col(column))
+    row = df.agg(F.min(number), F.max(number)).first()
+    return float(row[0] or 0), float(row[1] or 0)
 
 
 def credit_histogram(
@@ -46,24 +54,31 @@ def credit_histogram(
     column: str = "CreditScore",
     prediction: str = PREDICTION,
 ) -> DataFrame:
-    """Rows per bin of equal width and predicted class. The last bin includes ``high``; values
-    beyond the range fall into the outer bins. Without a given range it is measured first (not
-    possible on a stream)."""
+    """Rows per bin of equal width and predicted class. The last bin includes ``high``. Values below
+    the range are counted in bin -1, which has no start, values above it in bin ``bins``, which has
+    no end; null and NaN are in no bin. Without a given range it is measured first (not possible
+    on a stream)."""
     if low is None or high is None:
         low, high = score_range(df, column)
     width = (high - low) / bins or 1.0
-    position = F.floor((F.col(column) - F.lit(low)) / F.lit(width)).cast("int")
+    value = F.col(column)
+    inside = F.floor((value - F.lit(low)) / F.lit(width)).cast("int")
+    position = (
+        F.when(value < low, F.lit(-1))
+        .when(value > high, F.lit(bins))
+        .otherwise(F.least(inside, F.lit(bins - 1)))
+    )
     return (
-        df.filter(F.col(column).isNotNull())
+        df.filter(value.isNotNull() & ~F.isnan(value.cast("double")))
         .groupBy(
-            F.greatest(F.lit(0), F.least(position, F.lit(bins - 1))).alias("bin"),
+            position.alias("bin"),
             mapped(F.col(prediction).cast("int"), CHURN_NAMES).alias("churn_label"),
         )
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .withColumns(
             {
-                "bin_start": F.lit(low) + F.col("bin") * F.lit(width),
-                "bin_end": F.lit(low) + (F.col("bin") + 1) * F.lit(width),
+                "bin_start": F.when(F.col("bin") >= 0, F.lit(low) + F.col("bin") * F.lit(width)),
+                "bin_end": F.when(F.col("bin") < bins, F.lit(low) + (F.col("bin") + 1) * F.lit(width)),
             }
         )
     )

@@ -1,8 +1,9 @@
 """Reports that follow a stream of predictions.
 
 Each report is a grouped aggregate in complete mode: its state has one entry per report row, not
-per prediction. Every batch writes the whole report to a folder of its own; readers take the
-latest finished one.
+per prediction. Every batch writes the whole report to a folder of its own and removes the one that
+is ``KEPT`` batches older; readers take the newest finished folder by its name. One query cannot keep
+the state of several reports, so each report reads the source itself.
 """
 
 from __future__ import annotations
@@ -10,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from attrition.plans.reports import (
@@ -19,9 +19,12 @@ from attrition.plans.reports import (
     credit_histogram,
     prediction_counts,
     products_by_prediction,
+    with_known_classes,
 )
 from attrition.streaming.scoring import start_stream
 
+# Finished states of a report that stay.
+KEPT = 5
 # Range of the score scale. Bins cannot move once a stream has started.
 CREDIT_SCORE_RANGE = (300.0, 850.0)
 
@@ -36,6 +39,16 @@ LIVE_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+# What a report's reader adds to each state.
+FINISH: dict[Callable, Callable[[DataFrame], DataFrame]] = {prediction_counts: with_known_classes}
+
+
+def _folder(spark: SparkSession, path: str):
+    """A folder of the store that Spark uses, and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def start_report(
     predictions: DataFrame,
     report: Callable[[DataFrame], DataFrame],
@@ -45,7 +58,10 @@ def start_report(
 ) -> StreamingQuery:
     def write(df: DataFrame, batch_id: int) -> None:
         # A report is small, so it becomes one file; the exchange keeps the state in parallel tasks.
-        df.repartition(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        state = FINISH.get(report, lambda rows: rows)(df)
+        state.repartition(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        old, store = _folder(df.sparkSession, f"{path}/batch_id={batch_id - KEPT}")
+        store.delete(old, True)
 
     return start_stream(report(predictions), write, checkpoint, output_mode="complete", **trigger)
 
@@ -66,7 +82,18 @@ def live_reports(
 
 
 def latest_report(spark: SparkSession, path: str) -> DataFrame:
-    """The newest state of a report."""
-    every = spark.read.parquet(path)
-    newest = every.agg(F.max("batch_id")).first()[0]
-    return every.filter(F.col("batch_id") == newest).drop("batch_id")
+    """The newest finished state of a report. Only its folder is read."""
+    folder, store = _folder(spark, path)
+    batches = sorted(
+        (
+            int(entry.getPath().getName().removeprefix("batch_id="))
+            for entry in store.listStatus(folder)
+            if entry.getPath().getName().startswith("batch_id=")
+        ),
+        reverse=True,
+    )
+    for batch in batches:
+        finished, _ = _folder(spark, f"{path}/batch_id={batch}/_SUCCESS")
+        if store.exists(finished):
+            return spark.read.parquet(f"{path}/batch_id={batch}")
+    raise FileNotFoundError(f"no finished report in {path}")

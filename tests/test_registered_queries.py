@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from attrition.functions.features import row_features
-from attrition.plans import catalog
+from attrition.plans import catalog, oracles
 from attrition.schemas import FEATURES
 from compare import database, difference
 
@@ -24,6 +24,7 @@ def db():
 
 def test_every_oracle_has_a_query(spark):
     assert set(ORACLES) <= set(entry.queries())
+    assert set(oracles.oracle_sql()) == set(catalog.queries())
     assert catalog.ROW_FEATURE_NAMES == [f for f in FEATURES if f in row_features()]
 
 

@@ -14,9 +14,10 @@ expansion length of each rule. A document is decoded alone from
 its symbols; a place in it is found from the running sum of expansion lengths without decoding what
 comes before.
 
-The tokenizer sees each distinct piece of text once while it is remembered: this tokenizer never
-joins a visible character with the white space after it, nor a letter with the punctuation after
-it, so texts are cut there, and pieces are looked up in a bounded table. Texts with the separators U+001C to U+001F are encoded whole.
+The tokenizer sees each distinct piece of some megabytes of text once: it never joins a visible
+character with the white space after it, nor a letter with the punctuation after it, so texts are
+cut there and the ids of pieces are put together. Texts with the separators U+001C to U+001F are
+encoded whole.
 
 Cases: null and empty texts consist of the end id; null keys come first; rows repeated in the key
 stay and are ordered by text; special tokens in a text are ordinary text; an empty table gives no
@@ -27,14 +28,15 @@ from __future__ import annotations
 
 import os
 import re
-import sys
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain, pairwise
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -46,7 +48,7 @@ END = 2
 BASE = 1 << 16
 SHARD_TOKENS, MOST_RULES, LEAST, ROUNDS = 1_000_000, 8192, 8, 3
 SLOTS = 1 << 20
-PIECES_KEPT, LONGEST_KEPT = 400_000, 40
+TOGETHER, KEPT = 12_000_000, 1_000_000
 PIECE = re.compile(r"\s*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[.,;:!?])|\s*\S+|\s+")
 ODD = re.compile("[\x1c-\x1f]")
 FILES = (
@@ -73,38 +75,91 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Pieces(dict):
-    """Pieces of text and their ids as little-endian unsigned 32-bit integers. Long pieces are not
-    remembered. When there are ``kept`` pieces, they become the older half, and the half that was
-    older is forgotten, except for what is used again."""
-
-    def __init__(self, path: str, kept: int = PIECES_KEPT) -> None:
-        self.encode, self.kept, self.older = _tokenizer(path).encode, kept, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            found = array("I", self.encode(piece, add_special_tokens=False).ids)
-            if sys.byteorder == "big":
-                found.byteswap()
-            ids = found.tobytes()
-        if len(piece) <= LONGEST_KEPT:
-            if len(self) >= self.kept:
-                self.older = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
-
-    def of(self, text: str) -> bytes:
-        """The ids of a text, without the end id."""
-        pieces = [text] * bool(text) if ODD.search(text) else PIECE.findall(text)
-        return b"".join(map(self.__getitem__, pieces))
+class Encoder:
+    """Ids of many texts at once. The texts are cut into pieces that the tokenizer never joins, and
+    each distinct piece is encoded once while it is remembered. What is remembered are at most
+    ``KEPT`` pieces, or the pieces of the last texts, as arrays."""
+
+    def __init__(self, path: str) -> None:
+        self.tokenizer = _tokenizer(path)
+        vocabulary = self.tokenizer.get_vocab()
+        # A token of this kind is written with one character for each of its bytes.
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.n_bytes[list(vocabulary.values())] = list(map(len, vocabulary))
+        self.known = pa.array([], pa.large_string())
+        self.pool, self.starts, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def ids(self, text: str) -> np.ndarray:
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, "<u4")
+
+    def of_all(self, texts: Sequence[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers, without the end id."""
+        cut = [[t] * bool(t) if ODD.search(t) else PIECE.findall(t) for t in texts]
+        coded = pa.array(chain.from_iterable(cut), pa.large_string()).dictionary_encode()
+        pool, starts, sizes = self._looked_up(coded.dictionary)
+        codes = coded.indices.to_numpy()
+        each = sizes[codes]
+        ends = np.cumsum(each)
+        # Where each id of the texts stands in the pool.
+        at = np.repeat(starts[codes] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
+        ids = pool[at].tobytes()
+        last = np.r_[0, ends][np.cumsum([0, *map(len, cut)])] * 4
+        return [ids[i:j] for i, j in pairwise(last.tolist())]
+
+    def _looked_up(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids in one array, and where those of each piece begin and how many they are."""
+        found = pc.index_in(pieces, value_set=self.known)
+        missing = found.is_null()
+        new = pieces.filter(missing)
+        pool, starts, sizes = self._encoded(new.to_pylist())
+        pool = np.concatenate([self.pool, pool])
+        starts = np.concatenate([self.starts, starts + len(self.pool)])
+        sizes = np.concatenate([self.sizes, sizes])
+        at = found.fill_null(0).to_numpy().astype(np.int64)
+        at[missing.to_numpy(zero_copy_only=False)] = np.arange(len(self.known), len(sizes))
+        if len(sizes) <= KEPT:
+            self.known = pa.concat_arrays([self.known, new])
+            self.pool, self.starts, self.sizes = pool, starts, sizes
+        else:
+            self.known, self.sizes = pieces, sizes[at]
+            self.starts = np.cumsum(self.sizes) - self.sizes
+            shift = np.repeat(starts[at] - self.starts, self.sizes)
+            self.pool = pool[shift + np.arange(len(shift))]
+        return pool, starts[at], sizes[at]
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for pieces that are not known. What begins with white space and ends with something visible is encoded
+        side by side, as the tokenizer joins it with nothing; other pieces are encoded alone."""
+        together = np.array(
+            [p[0] in " \n" and not p.isspace() and not ODD.search(p) for p in pieces], bool
+        )
+        starts, sizes = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        pool, held = [], 0
+        for some in np.array_split(np.flatnonzero(together), 1 + together.sum() // 50_000):
+            texts = [pieces[i] for i in some]
+            ids = self.ids("".join(texts))
+            ends = np.cumsum(self.n_bytes[ids])
+            wanted = np.cumsum([len(t.encode()) for t in texts], dtype=np.int64)
+            last = np.searchsorted(ends, wanted) + 1
+            if len(ids) and not (last[-1] == len(ids) and (ends[last - 1] == wanted).all()):
+                together[some] = False
+                continue
+            starts[some] = held + np.r_[0, last[:-1]][: len(some)]
+            sizes[some] = np.diff(np.r_[0, last])
+            pool.append(ids)
+            held += len(ids)
+        for i in np.flatnonzero(~together):
+            ids = self.ids(pieces[i])
+            starts[i], sizes[i] = held, len(ids)
+            pool.append(ids)
+            held += len(ids)
+        return np.concatenate([*pool, np.zeros(0, "<u4")]), starts, sizes
 
 
 @lru_cache(maxsize=2)
-def pieces_of(path: str) -> Pieces:
-    """One table for all tasks of a Python worker."""
-    return Pieces(path)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def _pair_slots(symbols: np.ndarray) -> np.ndarray:
@@ -235,11 +290,18 @@ def opened(width: int, alphabet: bytes, symbols: bytes, rules: bytes) -> tuple[n
     return table[np.frombuffer(symbols, kind)], table[np.frombuffer(rules, kind).reshape(-1, 2)]
 
 
+def _parts(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows whose texts have about ``TOGETHER`` characters; a longer text is a part of its own."""
+    number = batch["_text"].str.len().cumsum() // TOGETHER
+    for _, part in batch.groupby(number, sort=True):
+        yield part
+
+
 def _encoded(path: str, shard_tokens: int):
     end = np.array([END], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, part = pieces_of(path).of, TaskContext.get().partitionId()
+        encode, part = encoder(path).of_all, TaskContext.get().partitionId()
         number = before = held = 0
         keys: list = []
         documents: list[bytes] = []
@@ -254,12 +316,13 @@ def _encoded(path: str, shard_tokens: int):
             return pd.DataFrame([row], columns=names)
 
         for batch in batches:
-            for key, null, text in zip(batch["_key"], batch["_null"], batch["_text"]):
-                keys.append(None if null else int(key))
-                documents.append(encode(text) + end)
-                held += len(documents[-1]) // 4
-                if held >= shard_tokens:
-                    yield shard()
+            for some in _parts(batch):
+                for key, null, ids in zip(some["_key"], some["_null"], encode(some["_text"].tolist())):
+                    keys.append(None if null else int(key))
+                    documents.append(ids + end)
+                    held += len(documents[-1]) // 4
+                    if held >= shard_tokens:
+                        yield shard()
         if documents:
             yield shard()
 

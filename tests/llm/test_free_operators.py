@@ -310,3 +310,16 @@ def test_network_tells_keys_from_words():
     net = secret_scan.train_network(np.stack(windows), np.array(labels))
     scores = net.scores(np.stack(windows))
     assert np.mean(scores[np.array(labels) == 1] >= net.threshold) >= 0.9 and net.threshold > scores[np.array(labels) == 0].max()
+
+
+def test_encoder_remembers_and_forgets(monkeypatch):
+    monkeypatch.setattr(token_files, "KEPT", 40)
+    encoder = token_files.Encoder(token_files.tokenizer_path())
+    rng = random.Random(8)
+    parts = ["the", "Ünder", "日本", "x1", "don't", "##", ",", "…", "\xa0", "\n", "  ", "\t", "<|endoftext|>", "é", "²", "a_b", "\x1d", ".5"]
+    for _ in range(30):
+        texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "\n"]) for _ in range(rng.randint(0, 40))) for _ in range(12)]
+        texts += ["w%d " % rng.randint(0, 99) * 3, ""]
+        want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert encoder.of_all(texts) == want
+        assert len(encoder.known) == len(encoder.sizes) and encoder.sizes.sum() == len(encoder.pool)

@@ -21,7 +21,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm.common import fresh, partitions, read, without
+from attrition.llm.common import fresh, partitions, read, without, written
 
 PART = 16.0
 #: Upper end of the inversion for one draw of mean PART; the chance to exceed it is below 1e-18.
@@ -84,12 +84,11 @@ def source_rates(
         weighted = counts.join(
             table, F.col("_source").eqNullSafe(F.col("_name")), "left"
         ).select("_source", "_docs", F.coalesce("_weight", F.lit(0.0)).alias("_weight"))
-    totals = weighted.agg(F.sum("_docs").alias("_all"), F.sum("_weight").alias("_weights"))
-    rate = F.when(
-        F.col("_weight") > 0,
-        F.col("_weight") / F.col("_weights") * F.col("_all") * F.lit(epochs) / F.col("_docs"),
-    ).otherwise(F.lit(0.0))
-    return weighted.join(F.broadcast(totals)).select("_source", "_docs", rate.alias("_rate"))
+    weighted = written(weighted, "source-weights")
+    every, weight = weighted.agg(F.sum("_docs"), F.sum("_weight")).first()
+    share = F.col("_weight") / F.lit(float(weight or 1)) * F.lit(float(every or 0) * epochs)
+    rate = F.when(F.col("_weight") > 0, share / F.col("_docs")).otherwise(F.lit(0.0))
+    return weighted.select("_source", "_docs", rate.alias("_rate"))
 
 
 def mix_sources(

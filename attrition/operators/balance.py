@@ -138,9 +138,9 @@ def class_weights(df: DataFrame, label: str = LABEL, output: str = "weight") ->
     The counts are joined by label; a class with a large share of the rows is split by the
     adaptive join, or its side is broadcast where Spark finds it small."""
     counts = class_distribution(df.filter(F.col(label).isNotNull()), label)
-    totals = counts.agg(F.sum("n_rows").alias("total"), F.count(F.lit(1)).alias("classes"))
-    weights = counts.join(F.broadcast(totals)).select(
+    total, classes = counts.agg(F.sum("n_rows"), F.count(F.lit(1))).first()
+    weights = counts.select(
         F.col(label).alias("_class"),
-        (F.col("total") / (F.col("classes") * F.col("n_rows"))).alias(output),
+        (F.lit(total or 0) / (F.lit(classes or 1) * F.col("n_rows"))).alias(output),
     )
     return df.drop(output).join(weights, F.col(label) == F.col("_class"), "left").drop("_class")

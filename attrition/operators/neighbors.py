@@ -26,6 +26,7 @@ CHUNK_ROWS = 16_384
 MAX_PIVOTS = 1024
 PIVOT_BYTES = 32 * 2**20
 SLICE_CELLS = 4_000_000
+ROUTED_ROWS = 50_000
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -117,6 +118,15 @@ def _top_k(q_ids, q, c_ids, c, k: int, exclude_self: bool, digits: int | None):
     return tuple(np.concatenate(parts) for parts in zip(*found))
 
 
+def _slices(batches: Iterator[pd.DataFrame], targets: int) -> Iterator[pd.DataFrame]:
+    """Queries in pieces so small that they make at most ``ROUTED_ROWS`` rows, even if each is sent
+    to all ``targets``."""
+    step = max(1, ROUTED_ROWS // max(1, targets))
+    for batch in batches:
+        for i in range(0, len(batch), step):
+            yield batch.iloc[i : i + step].reset_index(drop=True)
+
+
 def _drop_far_copies(corpus: DataFrame, k: int) -> DataFrame:
     """Of equal vectors only the k smallest ids can be among the k nearest of anything. The row
     limit is applied before the shuffle too, so a vector with very many copies stays cheap."""
@@ -140,6 +150,7 @@ def knn(
 
     Equal distances rank by smaller id; with ``digits``, distances are rounded before ranking.
     ``carry`` names corpus columns to return with each neighbour. Rows without vector are left out.
+    Ids of query rows must be unique: rows that share one share an answer.
     """
     spark = query.sparkSession
     keep = k + 1 if exclude_self else k
@@ -231,7 +242,8 @@ def knn(
             )
 
     corpus_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    assigned = rows.mapInPandas(assign, f"{corpus_ddl}, cell int, apart double")
+    # Written once: the counts and both searches read it.
+    assigned = cut_lineage(rows.mapInPandas(assign, f"{corpus_ddl}, cell int, apart double"))
     stats = (
         assigned.groupBy("cell")
         .agg(
@@ -279,14 +291,14 @@ def knn(
 
     def route_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
-        for batch in batches:
+        for batch in _slices(batches, len(known.counts)):
             to_pivot = _distances(_matrix(batch["vec"]), known.pivots)
             yield send(batch, known.home(to_pivot, keep), known, False)
 
     def route_rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
         slack = 1e-9 if digits is None else 1e-9 + 10.0**-digits
-        for batch in batches:
+        for batch in _slices(batches, int(known.parts.sum())):
             to_pivot = _distances(_matrix(batch["vec"]), known.pivots)
             reach = batch["reach"].fillna(np.inf).to_numpy() * (1 + 1e-9) + slack
             near = (known.lower_bound(to_pivot) <= reach[:, None]) & (known.counts > 0)

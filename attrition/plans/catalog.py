@@ -561,13 +561,29 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _score_files(spark: SparkSession, model, path: str, sinks, **settings) -> None:
+def _score_files(spark: SparkSession, model, path: str, sinks, stream=None, **settings) -> None:
     checkpoint = shared_dir(spark, "checkpoint")
+    source = _file_stream(spark, path) if stream is None else stream
     Z.await_stream(
-        Z.start_scoring(
-            _file_stream(spark, path), model, sinks, checkpoint, available_now=True, **settings
-        )
+        Z.start_scoring(source, model, sinks, checkpoint, available_now=True, **settings)
+    )
+
+
+def last_message_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer sends two messages, the first of them with another age; the later one counts."""
+    records = _records(spark, sf_dir)
+    first = records.withColumn("Age", F.lit(20).cast(records.schema["Age"].dataType))
+    path, out = shared_dir(spark, "twice"), shared_dir(spark, "last")
+    message = F.to_json(F.struct(*SCORING_SCHEMA.fieldNames()), {"ignoreNullFields": "false"})
+    both = [rows.select(message.alias("value"), F.lit(at).alias("offset")) for at, rows in ((7, records), (3, first))]
+    both[0].unionByName(both[1]).repartition(1).write.parquet(path)
+    schema = T.StructType.fromDDL("value string, offset int")
+    stream = J.stream_source(spark, "parquet", {"path": path}, schema)
+    _score_files(
+        spark, Z.python_scorer(ScaledAgeRule(), Shift()), path,
+        {"last": Z.latest_files_sink(out, "offset")}, stream, keep=["offset"],
     )
+    return spark.read.parquet(out).select("CustomerId", "Age", PREDICTION)
 
 
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -749,6 +765,7 @@ def queries() -> dict[str, Query]:
         "stream_records": stream_records,
         "score_stream": score_stream,
         "score_stream_python": score_stream_python,
+        "last_message_wins": last_message_wins,
         "tune_save_report": tune_save_report,
         "forest_learns_rule": forest_learns_rule,
         "fan_out": fan_out,

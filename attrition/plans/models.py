@@ -280,6 +280,8 @@ def knn_holdout(
                 new.withColumns({key: number, label: F.lit(minority)}).select(key, *names, label)
             )
         )
+    # The search reads its corpus several times; the synthetic rows in it are a search themselves.
+    corpus = cut_lineage(corpus)
     votes = knn_classify(points(test_rows), corpus, k, label, key, "point", **limits)
     return test_rows.join(
         votes.select(key, F.col("prediction").cast("double").alias(PREDICTION)), key

@@ -520,6 +520,9 @@ SELECT unnest(['messages', 'table']) AS sink, count(*) AS n_rows,
 SELECT '{"CustomerId":' || CustomerId || ',"Age":' AS value FROM fe WHERE Female"""),
         "quarantine_passed": _fe("SELECT CustomerId, Age FROM fe WHERE NOT Female"),
         "dead_letter": _fe("SELECT 'failing' AS sink, CustomerId FROM fe"),
+        "last_message_wins": _fe(
+            "SELECT CustomerId, Age, CASE WHEN Age >= 50 THEN 1.0e0 ELSE 0.0e0 END AS ChurnPrediction FROM fe"
+        ),
         "score_stream_python": _fe(
             "SELECT CustomerId, CASE WHEN Age >= 50 THEN 1.0e0 ELSE 0.0e0 END AS ChurnPrediction FROM fe"
         ),

@@ -20,14 +20,18 @@ def store_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return lower_columns(df.select(*(columns or PREDICTION_SCHEMA.fieldNames())))
 
 
-def last_per_key(df: DataFrame, key: str = KEY, order_by: str | None = None) -> DataFrame:
-    """One record per key: the last by ``order_by``, else any one of the records.
+def last_per_key(
+    df: DataFrame, key: str = KEY, order_by: str | Sequence[str] | None = None
+) -> DataFrame:
+    """One record per key: the last by ``order_by`` (one column or several), else any one of the
+    records.
 
     Records of a key shrink map-side (``max_by`` is a partial aggregate), so a key with very many
     records does not gather in one task."""
     others = [c for c in df.columns if c != key]
     record = F.struct(*[F.col(c) for c in others])
-    order = F.col(order_by) if order_by else F.xxhash64(*[F.col(c) for c in df.columns])
+    by = [order_by] if isinstance(order_by, str) else list(order_by or [])
+    order = F.struct(*by) if by else F.xxhash64(*[F.col(c) for c in df.columns])
     last = df.groupBy(key).agg(F.max_by(record, order).alias("_last"))
     return last.select(
         *[F.col(c) if c == key else F.col("_last")[c].alias(c) for c in df.columns]
@@ -99,7 +103,7 @@ def write_jdbc(
     properties: Mapping[str, str] | None = None,
     columns: Sequence[str] | None = None,
     upsert: bool = False,
-    order_by: str | None = None,
+    order_by: str | Sequence[str] | None = None,
     dialect: str = "merge",
     text_type: str = "TEXT",
 ) -> None:
@@ -114,9 +118,10 @@ def write_jdbc(
     rows = store_columns(last_per_key(df, order_by=order_by), columns)
     staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
     options = jdbc_write_options(url, staging, properties, text_type, columns)
-    rows.write.format("jdbc").options(**options).mode("append").save()
-    execute_statements(
-        df.sparkSession, url,
-        [merge_statement(table, staging, rows.columns, dialect=dialect), f"DROP TABLE {staging}"],
-        properties,
-    )
+    merge = merge_statement(table, staging, rows.columns, dialect=dialect)
+    try:
+        rows.write.format("jdbc").options(**options).mode("append").save()
+        execute_statements(df.sparkSession, url, [merge], properties)
+    finally:
+        # Also after a failure, so that nothing is left behind.
+        execute_statements(df.sparkSession, url, [f"DROP TABLE IF EXISTS {staging}"], properties)

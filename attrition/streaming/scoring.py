@@ -14,8 +14,8 @@ from attrition.functions.columns import is_empty
 from attrition.operators.udf import scale_with, score_with
 from attrition.plans.models import predict
 from attrition.plans.preparation import model_input
-from attrition.schemas import FEATURES, PREDICTION, PREDICTION_SCHEMA
-from attrition.sources.database import write_jdbc
+from attrition.schemas import FEATURES, KEY, PREDICTION, PREDICTION_SCHEMA
+from attrition.sources.database import last_per_key, write_jdbc
 from attrition.sources.messages import CORRUPT, decode_json, write_topic
 from attrition.sources.scratch import pinned
 
@@ -52,15 +52,17 @@ def score_records(records: DataFrame, model: Scorer) -> DataFrame:
 
 
 def score_stream(
-    source: DataFrame, model: Scorer, compat: bool = False, keep_corrupt: bool = False
+    source: DataFrame, model: Scorer, compat: bool = False, keep_corrupt: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """``value`` messages to prediction records, as one plan without state.
 
     Broken messages are left out, or returned with their text in ``_corrupt_record`` if
-    ``keep_corrupt``. ``compat`` scores them as records full of zeros instead."""
+    ``keep_corrupt``. ``compat`` scores them as records full of zeros instead. ``keep`` names columns
+    of the source, such as a topic's offset and timestamp, that stay behind the record."""
     if compat:
-        return score_records(decode_json(source), model)
-    scored = score_records(decode_json(source, corrupt=True), model)
+        return score_records(decode_json(source, keep=keep), model)
+    scored = score_records(decode_json(source, corrupt=True, keep=keep), model)
     return scored if keep_corrupt else scored.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
@@ -85,6 +87,15 @@ def files_sink(path: str, fmt: str = "parquet") -> Sink:
     return write
 
 
+def latest_files_sink(path: str, order_by: str | Sequence[str], key: str = KEY) -> Sink:
+    """As :func:`files_sink`, with the last record of each key only."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        files_sink(path)(last_per_key(df, key, order_by), batch_id)
+
+    return write
+
+
 def messages_sink(path: str) -> Sink:
     """JSON lines, one folder per batch: a topic's stand-in on files."""
 
@@ -104,7 +115,9 @@ def topic_sink(options: Mapping[str, str], key: str | None = None) -> Sink:
 
 
 def jdbc_sink(url: str, table: str, **settings) -> Sink:
-    """Merge into the prediction store; repeating a batch changes nothing."""
+    """Merge into the prediction store; repeating a batch changes nothing. Give ``order_by`` columns
+    that the stream keeps (``keep``), such as timestamp and offset, so that the last record of a
+    customer wins."""
 
     def write(df: DataFrame, batch_id: int) -> None:
         write_jdbc(df, url, table, **{"upsert": True, **settings})
@@ -191,11 +204,12 @@ def start_scoring(
     broken: Sink | None = None,
     compat: bool = False,
     dead_letter: Callable[[str], Sink] | None = None,
+    keep: Sequence[str] = (),
     **trigger,
 ) -> StreamingQuery:
     """Score a message stream into ``sinks``. Row counts of each batch are in the query's progress
     under ``scoring``."""
-    scored = score_stream(source, model, compat=compat, keep_corrupt=True)
+    scored = score_stream(source, model, compat=compat, keep_corrupt=True, keep=keep)
     bad = F.count(F.col(CORRUPT)) if CORRUPT in scored.columns else F.lit(0).cast("bigint")
     observed = scored.observe(
         "scoring",

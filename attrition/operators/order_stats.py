@@ -153,18 +153,30 @@ class OrderStatistics:
         return _Interval(name, None, None, 0, self.counts[name], self._distinct[name], ranks)
 
     def _cuts(self, intervals: list[_Interval]) -> list[list[float]]:
-        """Approximate quantiles of each interval's values."""
+        """Approximate quantiles of each interval's values.
+
+        Each interval is sampled by its own size, so one small interval does not make the digests
+        of the large ones take all rows: what tasks send to the final merge stays bounded by the
+        samples, however many tasks there are."""
         grid = F.lit([i / self._buckets for i in range(1, self._buckets)])
-        share = SAMPLE_ROWS * self._buckets / min(i.size for i in intervals)
-        for rows in (self._df.sample(share, seed=0) if share < 1 else self._df, self._df):
-            cuts = rows.agg(
-                *[
-                    F.percentile_approx(self._member(i), grid, F.lit(10 * self._buckets))
-                    for i in intervals
-                ]
-            ).first()
-            if all(cuts):
-                break
+
+        def quantiles(of: list[_Interval], sampled: bool) -> list:
+            values = []
+            for i, interval in enumerate(of):
+                share = SAMPLE_ROWS * self._buckets / interval.size
+                value = self._member(interval)
+                if sampled and share < 1:
+                    value = F.when(F.rand(i) < share, value)
+                values.append(value.alias(f"v{i}"))
+            size = F.lit(10 * self._buckets)
+            wanted = [F.percentile_approx(f"v{i}", grid, size) for i in range(len(of))]
+            return list(self._df.select(*values).agg(*wanted).first())
+
+        cuts = quantiles(intervals, True)
+        empty = [i for i, c in enumerate(cuts) if not c]
+        if empty:
+            for i, c in zip(empty, quantiles([intervals[i] for i in empty], False)):
+                cuts[i] = c
         return [list(c) for c in cuts]
 
     def _member(self, interval: _Interval) -> Column:

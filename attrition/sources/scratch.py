@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _local_base: str | None = None
+_made: list[str] = []
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -29,11 +30,25 @@ def shared_base(spark: SparkSession) -> str:
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, unused folder path below the shared base."""
-    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def remove_shared_dirs(spark: SparkSession) -> int:
+    """Remove the folders that this process has had made, once nothing reads them any more: call it
+    when the results are written. Returns how many there were."""
+    removed = 0
+    while _made:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        removed += bool(store.delete(folder, True))
+    return removed
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later jobs read the written data, also after an executor is lost."""
+    """Reliable checkpoint: later jobs read the written data, also after an executor is lost. With
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` Spark removes it when it is no longer used."""
     spark = df.sparkSession
     base = shared_base(spark)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -235,9 +235,7 @@ def compress(ids: np.ndarray, rounds: int = ROUNDS, most: int = MOST_RULES, leas
     return symbols, rules, lengths
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
-    """The ids behind the symbols."""
-    symbols = symbols.astype(np.uint32)
+def _unfolded(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
     while (composed := symbols >= BASE).any():
         sizes = np.where(composed, 2, 1)
         out = np.repeat(symbols, sizes)
@@ -248,6 +246,19 @@ def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
     return symbols
 
 
+def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The ids behind the symbols: the rules are unfolded once and copied where they stand."""
+    unfolded = _unfolded(BASE + np.arange(len(rules), dtype=np.uint32), rules)
+    pool = np.concatenate([unfolded, np.arange(BASE, dtype=np.uint32)])
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    composed = symbols >= BASE
+    rule = np.where(composed, symbols.astype(np.int64) - BASE, 0)
+    each = _sizes(symbols, lengths)
+    begin = np.where(composed, np.r_[starts, 0][rule], len(unfolded) + symbols.astype(np.int64))
+    ends = np.cumsum(each)
+    return pool[np.repeat(begin - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 def token_at(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, place: int) -> int:
     """The id at a place of a document, expanding only the symbol that covers it."""
     sizes = _sizes(symbols, lengths)
@@ -351,7 +362,7 @@ def _decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for row in batch.itertuples(index=False):
             symbols, rules = opened(row.width, row.alphabet, row.symbols, row.rules)
-            ids = expand(symbols, rules).astype("<u4")
+            ids = expand(symbols, rules, np.frombuffer(row.lengths, "<u4")).astype("<u4")
             ends = np.cumsum(np.asarray(row.token_counts, np.int64))
             starts = ends - np.asarray(row.token_counts, np.int64)
             raw = memoryview(ids.tobytes())

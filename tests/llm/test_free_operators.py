@@ -173,12 +173,12 @@ def test_token_files_round_trip(spark):
     large = max(files, key=lambda f: len(f["rules"]))
     symbols, rules = token_files.opened(large["width"], large["alphabet"], large["symbols"], large["rules"])
     lengths = np.frombuffer(large["lengths"], "<u4")
-    ids = token_files.expand(symbols, rules)
+    ids = token_files.expand(symbols, rules, lengths)
     ends = np.cumsum(large["symbol_counts"])
     at = 0
     for size, end, count in zip(large["token_counts"], ends, large["symbol_counts"]):
         own = symbols[end - count : end]
-        assert np.array_equal(token_files.expand(own, rules), ids[at : at + size])
+        assert np.array_equal(token_files.expand(own, rules, lengths), ids[at : at + size])
         for place in range(0, size, max(1, size // 7)):
             assert token_files.token_at(own, rules, lengths, place) == ids[at + place]
         at += size
@@ -188,8 +188,8 @@ def test_token_files_round_trip(spark):
 def test_grammar_on_runs_and_overlaps():
     for ids in ([5] * 999, [7, 8] * 500 + [2] + [7, 8] * 3, [2] * 50, [1], [], list(range(100)) * 30):
         symbols, rules, lengths = token_files.compress(np.array(ids, np.uint32), least=2)
-        assert token_files.expand(symbols, rules).tolist() == ids
-        assert [len(token_files.expand(np.array([token_files.BASE + i], np.uint32), rules)) for i in range(len(rules))] == lengths.tolist()
+        assert token_files.expand(symbols, rules, lengths).tolist() == ids
+        assert [len(token_files._unfolded(np.array([token_files.BASE + i], np.uint32), rules)) for i in range(len(rules))] == lengths.tolist()
 
 
 def test_token_files_of_nothing(spark):

@@ -49,7 +49,8 @@ BASE = 1 << 16
 SHARD_TOKENS, MOST_RULES, LEAST, ROUNDS = 1_000_000, 8192, 8, 3
 SLOTS = 1 << 20
 TOGETHER, KEPT = 12_000_000, 1_000_000
-PIECE = re.compile(r"\s*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[.,;:!?])|\s*\S+|\s+")
+LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+PIECE = re.compile(rf"\s*[{LETTERS}]+(?:(?=[.,;:!?])|\S*)|\s*\S+|\s+")
 ODD = re.compile("[\x1c-\x1f]")
 FILES = (
     "part int, number int, before long, keys array<long>, symbol_counts array<int>, "
@@ -165,44 +166,45 @@ def encoder(path: str) -> Encoder:
 def _pair_slots(symbols: np.ndarray) -> np.ndarray:
     """A slot below ``SLOTS`` for each pair of neighbours."""
     left, right = symbols[:-1] * np.uint32(0x9E3779B1), symbols[1:] * np.uint32(0x85EBCA6B)
-    return (left ^ right) >> np.uint32(12)
+    return ((left ^ right) >> np.uint32(12)).astype(np.intp)
 
 
 def _packed(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
     return symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
 
 
-def _frequent(symbols, slots, usable, most: int, least: int) -> np.ndarray:
+def _frequent(symbols: np.ndarray, slots: np.ndarray, most: int, least: int) -> np.ndarray:
     """The most frequent pairs, as left << 32 | right. A table of hashed counts leaves out the rare
-    ones before the exact count."""
-    counts = np.bincount(slots[usable], minlength=SLOTS)
-    pairs, n = np.unique(
-        _packed(symbols, np.flatnonzero(usable & (counts >= least)[slots])), return_counts=True
-    )
+    ones before the exact count. The slot ``SLOTS`` is for pairs that are not to be counted."""
+    likely = np.bincount(slots, minlength=SLOTS + 1) >= least
+    likely[SLOTS] = False
+    pairs, n = np.unique(_packed(symbols, np.flatnonzero(likely[slots])), return_counts=True)
     pairs, n = pairs[n >= least], n[n >= least]
     pairs = pairs[np.lexsort((pairs, -n))][:most]
     # Of pairs that share a slot the most frequent goes first; the others have their turn later.
-    both = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-    own = _pair_slots(both.ravel())[::2]
+    own = _pair_slots(_both(pairs).ravel())[::2]
     return pairs[np.sort(np.unique(own, return_index=True)[1])]
 
 
-def _replace(symbols, slots, usable, pairs: np.ndarray, first: int) -> np.ndarray:
+def _both(pairs: np.ndarray) -> np.ndarray:
+    return np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+
+
+def _replace(symbols: np.ndarray, slots: np.ndarray, pairs: np.ndarray, first: int) -> np.ndarray:
     """Replace the pairs from left to right by the symbols from ``first`` on. In a row of overlapping
     matches every other one counts."""
-    rule_of = np.full(SLOTS, -1, np.int32)
-    both = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-    rule_of[_pair_slots(both.ravel())[::2]] = np.arange(len(pairs))
-    rule = rule_of[slots]
-    at = np.flatnonzero(usable & (rule >= 0))
-    rule = rule[at]
+    own = _pair_slots(_both(pairs).ravel())[::2]
+    taken, rule_of = np.zeros(SLOTS + 1, bool), np.zeros(SLOTS + 1, np.int32)
+    taken[own], rule_of[own] = True, np.arange(len(pairs))
+    at = np.flatnonzero(taken[slots])
+    rule = rule_of[slots[at]]
     exact = pairs[rule] == _packed(symbols, at)
     at, rule = at[exact], rule[exact]
     if not len(at):
         return symbols
     starts = np.flatnonzero(np.r_[True, np.diff(at) != 1])
-    within = np.arange(len(at)) - np.repeat(starts, np.diff(np.r_[starts, len(at)]))
-    at, rule = at[within % 2 == 0], rule[within % 2 == 0]
+    odd = (np.arange(len(at)) - np.repeat(starts, np.diff(np.r_[starts, len(at)]))) % 2 == 1
+    at, rule = at[~odd], rule[~odd]
     out = symbols.copy()
     out[at] = (first + rule).astype(np.uint32)
     keep = np.ones(len(out), bool)
@@ -223,13 +225,14 @@ def compress(ids: np.ndarray, rounds: int = ROUNDS, most: int = MOST_RULES, leas
     for _ in range(rounds):
         if len(symbols) < 2 * least:
             break
-        ends = symbols == END
-        usable, slots = ~(ends[:-1] | ends[1:]), _pair_slots(symbols)
-        pairs = _frequent(symbols, slots, usable, most, least)
+        slots, ends = _pair_slots(symbols), np.flatnonzero(symbols == END)
+        slots[ends[ends < len(slots)]] = SLOTS
+        slots[ends[ends > 0] - 1] = SLOTS
+        pairs = _frequent(symbols, slots, most, least)
         if not len(pairs):
             break
-        symbols = _replace(symbols, slots, usable, pairs, BASE + len(rules))
-        new = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+        symbols = _replace(symbols, slots, pairs, BASE + len(rules))
+        new = _both(pairs)
         each = _sizes(new, lengths).sum(1).astype(np.uint32)
         rules, lengths = np.concatenate([rules, new]), np.concatenate([lengths, each])
     return symbols, rules, lengths

@@ -48,7 +48,7 @@ END = 2
 BASE = 1 << 16
 SHARD_TOKENS, MOST_RULES, LEAST, ROUNDS = 1_000_000, 8192, 8, 3
 SLOTS = 1 << 20
-TOGETHER, KEPT = 12_000_000, 1_000_000
+TOGETHER, KEPT = 4_000_000, 600_000
 LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 PIECE = re.compile(rf"\s*[{LETTERS}]+(?:(?=[.,;:!?])|\S*)|\s*\S+|\s+")
 ODD = re.compile("[\x1c-\x1f]")

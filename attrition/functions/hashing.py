@@ -18,9 +18,10 @@ def row_hash(key: Column | str, seed: int, purpose: str = "") -> Column:
 
 
 def key_or_row(df: DataFrame, key: str) -> Column:
-    """The row key as text; a row without a key is known by all its values instead, so rows without
-    keys are spread like any others and equal ones stay together."""
-    whole = F.concat(F.lit("row:"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    """The row key as text; a row without a key is known by its values instead, so rows without keys
+    are spread like any others and equal ones stay together. Maps have no hash and are left out."""
+    values = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    whole = F.concat(F.lit("row:"), F.xxhash64(*values).cast("string"))
     return F.coalesce(F.col(f"`{key}`").cast("string"), whole)
 
 

@@ -7,9 +7,10 @@ both alone. With s the sum of a document's vectors, all pairs cost no more than
 
 The model is fitted on a sample of the labelled rows, bounded by ``max_rows``: terms are hashed on
 the cluster, and index arrays come to the driver, where minibatches with adaptive steps run. Terms
-that occur fewer than ``MIN_DOCS`` times, or on which the label does not depend, have no weight. The last
-fifth of the sample calibrates the scores to probabilities. Every document of the table is scored whole, batch by batch, in one pass
-without a shuffle; the model has a fixed size (about 10 MB) and travels with the tasks.
+that occur fewer than ``MIN_DOCS`` times, or on which the label does not depend, have no weight. Five
+machines, each fitted without a fifth of the sample, calibrate the scores to probabilities. Every
+document of the table is scored whole, batch by batch, in one pass without a shuffle; the model has
+a fixed size (about 10 MB) and travels with the tasks.
 
 Cases: null and empty texts have no terms and get the model's base score; a null key is no row of
 the sample and counts as not held out; rows repeated in the labels are one label, contradicting ones
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from attrition.llm.common import fresh, read, without, words_of
 
 SLOTS, FACTORS, MIN_DOCS, LEAST_RATIO = 1 << 18, 8, 3, 12.0
-PAIR_SCALE, STEPS = 1.0, 2000
+PAIR_SCALE, STEPS, FOLDS = 1.0, 2000, 5
 THRESHOLD = 0.7
 MAX_ROWS = 20_000
 
@@ -123,16 +124,36 @@ def informative(documents: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
 def fit_machine(
     documents: list[np.ndarray], labels: np.ndarray, epochs: int | None = None, seed: int = 7
 ) -> Machine:
-    """Adaptive minibatch steps on the logistic loss; the last fifth calibrates."""
-    rng = np.random.default_rng(seed)
-    order = rng.permutation(len(documents))
-    documents, labels = [documents[i] for i in order], labels[order].astype(np.float64)
-    train = max(1, len(documents) * 4 // 5)
-    values = informative(documents[:train], labels[:train])
+    """Fit on all documents. Each fifth of them is also scored by a machine fitted on the others;
+    these scores, which no document had a part in, calibrate."""
+    labels = labels.astype(np.float64)
+    fold = np.random.default_rng(seed).permutation(len(documents)) % FOLDS
+    raw = np.zeros(len(documents))
+    for f in range(FOLDS):
+        own, rest = np.flatnonzero(fold == f), np.flatnonzero(fold != f)
+        if len(own) and len(rest):
+            part = _fit([documents[i] for i in rest], labels[rest], epochs, seed)
+            raw[own] = part.raw(*_flat([documents[i] for i in own]))
+    model = _fit(documents, labels, epochs, seed)
+    model.slope, model.shift = _platt(raw, labels)
+    return model
+
+
+def _flat(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    slots = np.concatenate([*documents, np.zeros(0, np.int32)]).astype(np.int64)
+    return slots, np.array([len(d) for d in documents], np.int64)
+
+
+def _fit(
+    documents: list[np.ndarray], labels: np.ndarray, epochs: int | None, seed: int
+) -> Machine:
+    """Adaptive minibatch steps on the logistic loss, without calibration."""
+    rng, train = np.random.default_rng(seed), len(documents)
+    values = informative(documents, labels)
     documents = [d[values[d] > 0] for d in documents]
     batches = max(1, train // 128)
     epochs = epochs or max(8, STEPS // batches)
-    rate = np.clip(labels[:train].mean(), 1e-4, 1 - 1e-4)
+    rate = np.clip(labels.mean(), 1e-4, 1 - 1e-4)
     model = Machine(
         float(np.log(rate / (1 - rate))),
         np.zeros(SLOTS, np.float32),
@@ -162,10 +183,6 @@ def fit_machine(
             pairs[used] += gv**2
             model.weights[used] -= (0.2 * gw / np.sqrt(squares[used])).astype(np.float32)
             model.factors[used] -= (0.02 * gv / np.sqrt(pairs[used])).astype(np.float32)
-    if train < len(documents):
-        rest = documents[train:]
-        raw = model.raw(np.concatenate([*rest, np.zeros(0, np.int32)]).astype(np.int64), np.array([len(d) for d in rest]))
-        model.slope, model.shift = _platt(raw, labels[train:])
     return model
 
 

@@ -23,7 +23,7 @@ only key and text are read, so other columns may have any name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -233,48 +233,73 @@ def hex16(value: Column) -> Column:
     return F.lpad(F.lower(F.hex(value)), 16, "0")
 
 
-def near_duplicates(
-    docs: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """One row for each document: key, fingerprint, and the smallest key of its group."""
-    marked = written(
-        docs.select(F.col(f"`{key}`").alias(key), fingerprints(F.col(f"`{text}`")).alias("_print")),
-        "fingerprints",
-    )
+def grouped(marked: DataFrame, links: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
+    """``marked`` has key and ``_print``; ``links`` finds the links among the distinct ``_print``.
+    Adds ``_root``, the group's smallest fingerprint, and ``component_id``, its smallest key."""
     prints = written(
         marked.groupBy("_print").agg(F.min(key).alias("_least")), "distinct-fingerprints"
     )
-    roots = components(print_links(prints.select("_print"), radius, chunk))
+    roots = components(links(prints.select("_print")))
     rooted = prints.join(roots, F.col("_print") == F.col("_node"), "left").select(
         "_print", "_least", F.coalesce("_root", "_print").alias("_root")
     )
     groups = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    by_print = written(rooted.join(groups, "_root").select("_print", "component_id"), "groups")
-    return marked.join(by_print, "_print").select(
-        key, hex16(F.col("_print")).alias("fingerprint"), "component_id"
+    by_print = written(rooted.join(groups, "_root").select("_print", "_root", "component_id"), "groups")
+    return marked.select(key, "_print").join(by_print, "_print")
+
+
+def _near(docs: DataFrame, radius: int, chunk: int, key: str, text: str) -> DataFrame:
+    marked = written(
+        docs.select(F.col(f"`{key}`").alias(key), fingerprints(F.col(f"`{text}`")).alias("_print")),
+        "fingerprints",
     )
+    return grouped(marked, lambda prints: print_links(prints, radius, chunk), key)
 
 
-def one_of_each_group(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", **options
+def near_duplicates(
+    docs: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The document with the smallest key of each group, with all its columns. Of several rows with
-    that key one stays. A document without a key stays only if nothing in its group has one, and
-    then once for each fingerprint."""
-    groups = written(near_duplicates(docs, key=key, text=text, **options), "near-duplicates")
+    """One row for each document: key, fingerprint, and the smallest key of its group."""
+    return _near(docs, radius, chunk, key, text).select(
+        key, hex16(F.col("_print")).alias("fingerprint"), "component_id"
+    )
+
+
+def representatives(docs: DataFrame, groups: DataFrame, mark: Column, key: str) -> DataFrame:
+    """One document of each group, with all its columns: the one with the smallest key, of several
+    with that key the one with the smallest fingerprint. A document without a key stays only if
+    nothing in its group has one, and then once for each fingerprint. ``mark`` is a document's
+    fingerprint; a key may repeat in other groups or with other texts."""
+    rows = written(groups.groupBy("_root", key, "_print").agg(F.count("*").alias("_n")), "group-rows")
+    named = rows.where(F.col(key).isNotNull())
+    best = named.groupBy("_root").agg(F.min(F.struct(key, "_print", "_n")).alias("_best"))
+    nameless = rows.join(named.select("_root").distinct(), "_root", "left_anti")
+    kept = best.select(f"_best.{key}", "_best._print", "_best._n").unionByName(
+        nameless.select(key, "_print", "_n")
+    )
+    kept = written(kept, "kept")
     own = fresh(docs, "_kept")
-    kept = groups.where(F.col(key) == F.col("component_id")).select(F.col(key).alias(own))
-    chosen = docs.join(kept, F.col(f"`{key}`") == F.col(own), "left_semi")
-    if not kept.groupBy(own).count().where("count > 1").isEmpty():
-        chosen = chosen.dropDuplicates([key])
-    nameless = groups.where(F.col(key).isNull() & F.col("component_id").isNull())
-    if nameless.isEmpty():
-        return chosen
-    rest = docs.where(F.col(f"`{key}`").isNull()).withColumn(
-        own, hex16(fingerprints(F.col(f"`{text}`")))
+    name, its = fresh(docs, "_name"), fresh(docs, "_its")
+    chosen = docs.withColumn(own, mark).join(
+        kept.select(F.col(key).alias(name), F.col("_print").alias(its)),
+        F.col(f"`{key}`").eqNullSafe(F.col(name)) & (F.col(own) == F.col(its)),
+        "left_semi",
     )
-    rest = rest.join(nameless.select(F.col("fingerprint").alias(own)), own, "left_semi")
-    return chosen.unionByName(rest.dropDuplicates([own]).select(*without(docs)))
+    if not kept.where("_n > 1").isEmpty():
+        chosen = chosen.dropDuplicates([key, own])
+    return chosen.select(*without(docs))
+
+
+def one_of_each_group(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    radius: int = RADIUS,
+    chunk: int = CHUNK,
+) -> DataFrame:
+    """One document of each group, see ``representatives``."""
+    groups = _near(docs, radius, chunk, key, text)
+    return representatives(docs, groups, fingerprints(F.col(f"`{text}`")), key)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,6 +108,18 @@ def test_one_of_each_group_with_repeated_rows(spark):
     assert sorted(r.doc_id or -1 for r in simhash.one_of_each_group(df).collect()) == [-1, 3]
 
 
+def test_one_of_each_group_with_a_key_of_several_texts(spark):
+    a, near_a, b = (" ".join(f"{p}{i}" for i in range(400)) for p in "xyz")
+    near_a = next(c for i in range(399) if 0 < (print_of(c := a.replace(f"x{i} ", f"y{i} ")) ^ print_of(a)).bit_count() <= 2)
+    same = lambda rows: sorted(map(tuple, simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert (print_of(a) ^ print_of(b)).bit_count() > 2
+    assert same([(5, a), (5, b)]) == sorted([(5, a), (5, b)])
+    assert same([(3, near_a), (5, a), (5, b), (5, b)]) == [(3, near_a), (5, b)]
+    assert len(same([(5, a), (5, near_a)])) == 1
+    hot = [(7, f"only {i} w{i} {i * i} v{i} u{i * 7}") for i in range(30)]
+    assert len(same(hot)) == len(set(groups_of([print_of(t) for _, t in hot], 2)))
+
+
 # --- nearest neighbours
 
 

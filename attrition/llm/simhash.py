@@ -148,6 +148,24 @@ def _links(radius: int):
     return run
 
 
+def cells(members: DataFrame, chunk: int) -> DataFrame:
+    """Deals ``_print`` in shards ``_shard`` of ``count`` members (null if small) to cells."""
+    dealt = members.withColumn(
+        "_chunks", F.coalesce(F.ceil(F.col("count") / chunk), F.lit(1)).cast("int")
+    )
+    own = F.pmod(F.xxhash64("_print"), F.col("_chunks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
+    return (
+        dealt.withColumn("_own", own)
+        .withColumn("_other", other)
+        .select(
+            F.xxhash64("_shard", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("_cell"),
+            (F.col("_own") > F.col("_other")).cast("int").alias("_side"),
+            "_print",
+        )
+    )
+
+
 def print_links(prints: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
     """Links ``_a``, ``_b`` that connect the fingerprints in column ``_print``, all distinct."""
     blocks, agree = radius + 3, 3
@@ -167,23 +185,10 @@ def print_links(prints: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) ->
         "_print", F.xxhash64("_shard.choice", "_shard.value").alias("_shard")
     )
     large = members.groupBy("_shard").count().where(F.col("count") > chunk)
-    dealt = members.join(large, "_shard", "left").withColumn(
-        "_chunks", F.coalesce(F.ceil(F.col("count") / chunk), F.lit(1)).cast("int")
-    )
-    own = F.pmod(F.xxhash64("_print"), F.col("_chunks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
-    cells = (
-        dealt.withColumn("_own", own)
-        .withColumn("_other", other)
-        .select(
-            F.xxhash64("_shard", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("_cell"),
-            (F.col("_own") > F.col("_other")).cast("int").alias("_side"),
-            "_print",
-        )
-    )
+    dealt = cells(members.join(large, "_shard", "left"), chunk)
     n = partitions(prints.sparkSession)
     return (
-        cells.repartition(n, "_cell")
+        dealt.repartition(n, "_cell")
         .sortWithinPartitions("_cell", "_side", "_print")
         .mapInPandas(_links(radius), "_a long, _b long")
         .distinct()

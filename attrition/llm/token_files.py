@@ -4,7 +4,7 @@ Documents are range-partitioned by key, so the files hold them in ascending orde
 a public tokenizer; each document ends with ``END``. Successive documents of a partition form shards
 of about ``shard_tokens`` ids; a document is never split. In each shard, frequent pairs of ids are
 replaced by nonterminals, again and again: in each round the pairs that occur at least ``LEAST`` times,
-the most frequent ``MOST_RULES`` of them. The end id takes part in no pair, so documents stay separate.
+the most frequent ``MOST_RULES`` of them, until no pair occurs so often. The end id takes part in no pair, so documents stay separate.
 
 File format: a Parquet table with one row for each shard, so that Spark's readers and writers move
 it to any store: partition, number in it, ids in the shards before it in its partition, the keys and
@@ -46,7 +46,7 @@ from attrition.llm.common import partitions, read, written
 
 END = 2
 BASE = 1 << 16
-SHARD_TOKENS, MOST_RULES, LEAST, ROUNDS = 1_000_000, 8192, 8, 3
+SHARD_TOKENS, MOST_RULES, LEAST = 1_000_000, 8192, 8
 SLOTS = 1 << 20
 TOGETHER, KEPT = 4_000_000, 600_000
 LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -218,13 +218,12 @@ def _sizes(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return padded[np.where(symbols >= BASE, symbols.astype(np.int64) - BASE, len(lengths))]
 
 
-def compress(ids: np.ndarray, rounds: int = ROUNDS, most: int = MOST_RULES, least: int = LEAST):
-    """Symbols, rules (n by 2) and expansion lengths of ids below ``BASE``."""
+def compress(ids: np.ndarray, most: int = MOST_RULES, least: int = LEAST):
+    """Symbols, rules (n by 2) and expansion lengths of ids below ``BASE``. Each round makes the
+    symbols fewer, so the rounds come to an end."""
     symbols = ids.astype(np.uint32)
     rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
-    for _ in range(rounds):
-        if len(symbols) < 2 * least:
-            break
+    while len(symbols) > least:
         slots, ends = _pair_slots(symbols), np.flatnonzero(symbols == END)
         slots[ends[ends < len(slots)]] = SLOTS
         slots[ends[ends > 0] - 1] = SLOTS

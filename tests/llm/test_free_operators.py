@@ -368,3 +368,13 @@ def test_encoder_remembers_and_forgets(monkeypatch):
         want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
         assert encoder.of_all(texts) == want
         assert len(encoder.known) == len(encoder.sizes) and encoder.sizes.sum() == len(encoder.pool)
+
+
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(10, 40_000, 5000)
+    ids = np.concatenate([x for _ in range(9) for x in (passage, rng.integers(10, 300, 700), [token_files.END])]).astype(np.uint32)
+    symbols, rules, lengths = token_files.compress(ids)
+    assert (token_files.expand(symbols, rules, lengths) == ids).all() and lengths.max() > 1000
+    pairs = Counter(p for p in zip(symbols.tolist(), symbols[1:].tolist()) if token_files.END not in p)
+    assert max(pairs.values()) < token_files.LEAST

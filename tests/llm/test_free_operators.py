@@ -378,3 +378,15 @@ def test_no_frequent_pair_is_left():
     assert (token_files.expand(symbols, rules, lengths) == ids).all() and lengths.max() > 1000
     pairs = Counter(p for p in zip(symbols.tolist(), symbols[1:].tolist()) if token_files.END not in p)
     assert max(pairs.values()) < token_files.LEAST
+
+
+def test_whole_runs_are_judged(spark):
+    # Weighs whether a Z stands in the window.
+    net = secret_scan.Network(np.zeros((secret_scan.SYMBOLS, 8)), np.zeros((40, 24)), np.zeros(24), np.zeros(24), -0.5, 10.0, 0.0, 0.5)
+    net.embedding[ord("Z") - 31, 0] = net.kernel[0, 0] = net.weights[0] = 1.0
+    long = "some/path/to/" * 9
+    texts = [f"see {long}xZx{long} end", f"see {long}Z", "abcdefghijKLMNOZ", "ABCDEFGHIJKLMNOZ", f"see {long}", "Z" * 100_000]
+    spans = [[(m.start(), m.end()) for m in re.finditer("[A-Za-z0-9/]{12,}", t) if "Z" in m.group()] for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.scan_secrets(df, net).collect()}
+    assert got == {i: ",".join(f"net:{s}:{e}" for s, e in x) for i, x in enumerate(spans)}

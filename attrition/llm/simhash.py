@@ -55,9 +55,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(table)).tobytes(), "big", signed=True)
 
 
-@F.pandas_udf(T.LongType())
-def fingerprints(text: pd.Series) -> pd.Series:
-    return pd.Series([fingerprint(t) for t in text], dtype="int64")
+def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
+    @F.pandas_udf(T.LongType())
+    def of_each(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+
+    return of_each(text)
 
 
 class BKTree:
@@ -253,19 +256,22 @@ def grouped(marked: DataFrame, links: Callable[[DataFrame], DataFrame], key: str
     return marked.select(key, "_print").join(by_print, "_print")
 
 
-def _near(docs: DataFrame, radius: int, chunk: int, key: str, text: str) -> DataFrame:
-    marked = written(
-        docs.select(F.col(f"`{key}`").alias(key), fingerprints(F.col(f"`{text}`")).alias("_print")),
-        "fingerprints",
-    )
+def _near(docs: DataFrame, radius: int, chunk: int, key: str, text: str, shingle: int) -> DataFrame:
+    mark = fingerprints(F.col(f"`{text}`"), shingle)
+    marked = written(docs.select(F.col(f"`{key}`").alias(key), mark.alias("_print")), "fingerprints")
     return grouped(marked, lambda prints: print_links(prints, radius, chunk), key)
 
 
 def near_duplicates(
-    docs: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    radius: int = RADIUS,
+    chunk: int = CHUNK,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
 ) -> DataFrame:
     """One row for each document: key, fingerprint, and the smallest key of its group."""
-    return _near(docs, radius, chunk, key, text).select(
+    return _near(docs, radius, chunk, key, text, shingle).select(
         key, hex16(F.col("_print")).alias("fingerprint"), "component_id"
     )
 
@@ -301,10 +307,11 @@ def one_of_each_group(
     text: str = "text",
     radius: int = RADIUS,
     chunk: int = CHUNK,
+    shingle: int = SHINGLE,
 ) -> DataFrame:
     """One document of each group, see ``representatives``."""
-    groups = _near(docs, radius, chunk, key, text)
-    return representatives(docs, groups, fingerprints(F.col(f"`{text}`")), key)
+    groups = _near(docs, radius, chunk, key, text, shingle)
+    return representatives(docs, groups, fingerprints(F.col(f"`{text}`"), shingle), key)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

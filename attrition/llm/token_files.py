@@ -1,7 +1,7 @@
 """Token-ID files with Re-Pair grammar compression.
 
-Documents are range-partitioned by key, so the files hold them in ascending order, and encoded with
-a public tokenizer; each document ends with ``END``. Successive documents of a partition form shards
+Documents are range-partitioned by key, so the files hold them in ascending order, or left in the
+order in which they come, and encoded with a public tokenizer; each document ends with ``END``. Successive documents of a partition form shards
 of about ``shard_tokens`` ids; a document is never split. In each shard, frequent pairs of ids are
 replaced by nonterminals, again and again: in each round the pairs that occur at least ``LEAST`` times,
 the most frequent ``MOST_RULES`` of them, until no pair occurs so often. The end id takes part in no pair, so documents stay separate.
@@ -84,6 +84,8 @@ class Encoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
         vocabulary = self.tokenizer.get_vocab()
+        if max(vocabulary.values()) >= BASE:
+            raise ValueError(f"ids of {BASE} and above stand for rules")
         # A token of this kind is written with one character for each of its bytes.
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.n_bytes[list(vocabulary.values())] = list(map(len, vocabulary))
@@ -348,14 +350,16 @@ def token_files(
     key: str = "doc_id",
     text: str = "text",
     shard_tokens: int = SHARD_TOKENS,
+    ascending: bool = True,
 ) -> DataFrame:
-    """Write the files to the shared folder and return the table read from them."""
+    """Write the files to the shared folder and return the table read from them. ``ascending`` keys
+    take a shuffle; without it the documents stay in the order of the input and of its partitions."""
     name = F.col(f"`{key}`").cast("long")
-    ordered = (
-        docs.select(name.alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
-        .repartitionByRange(partitions(docs.sparkSession), "_key", F.xxhash64("_text"))
-        .sortWithinPartitions("_key", "_text")
-    )
+    ordered = docs.select(name.alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+    if ascending:
+        ordered = ordered.repartitionByRange(
+            partitions(docs.sparkSession), "_key", F.xxhash64("_text")
+        ).sortWithinPartitions("_key", "_text")
     rows = ordered.select(F.coalesce("_key", F.lit(0)).alias("_key"), F.col("_key").isNull().alias("_null"), "_text")
     return written(rows.mapInPandas(_encoded(path or tokenizer_path(), shard_tokens), FILES), "token-files")
 

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from attrition.llm import language_id, near_copies, secret_scan, simhash, token_files, toxicity, vantage
+from attrition.llm import language_id, secret_scan, simhash, token_files, toxicity, vantage
 from attrition.llm.common import read
 
 SMALL = "/root/testdata/sf0.01"
@@ -120,39 +120,6 @@ def test_one_of_each_group_with_a_key_of_several_texts(spark):
     assert len(same(hot)) == len(set(groups_of([print_of(t) for _, t in hot], 2)))
 
 
-def test_near_copies_equal_brute_force(spark):
-    rng = random.Random(12)
-    line = [f"common{i}" for i in range(12)]
-    rows = [(1, None), (2, " "), (3, "one two"), (4, "One  two"), (5, "one three"), (None, "one two")]
-    for i in range(40):
-        words = [f"w{rng.randrange(400)}" for _ in range(rng.randint(5, 150))] + line
-        rows.append((100 * i + 100, " ".join(words)))
-        for j in range(rng.randint(0, 7)):
-            other = list(words)
-            for _ in range(rng.randint(1, 6)):
-                other[rng.randrange(len(other))] = f"n{rng.randrange(9)}"
-            rows.append((100 * i + 101 + j, " ".join(other)))
-    shingles = []
-    for _, t in rows:
-        w = (t or "").lower().split()
-        shingles.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
-    root = list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in range(i):
-            if 5 * len(shingles[i] & shingles[j]) >= 4 * len(shingles[i] | shingles[j]):
-                root = [root[j] if r == root[i] else r for r in root]
-    least = {}
-    for (k, _), g in zip(rows, root):
-        least[g] = min(least.get(g, k or 10**9), k or 10**9)
-    want = Counter((k, least[g]) for (k, _), g in zip(rows, root))
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    for chunk in (3, 4096):
-        assert Counter((r.doc_id, r.component_id) for r in near_copies.near_copies(df, chunk=chunk).collect()) == want
-    assert len(least) < len({r.component_id for r in simhash.near_duplicates(df).collect()})
-    assert sorted(r.doc_id for r in near_copies.one_of_near_copies(df).collect()) == sorted(least.values())
-    assert near_copies.near_copies(df.limit(0)).count() == 0
-
-
 # --- nearest neighbours
 
 
@@ -230,6 +197,24 @@ def test_token_files_round_trip(spark):
     assert len(rules) and len(symbols) < len(ids)
 
 
+def test_token_files_in_the_order_given(spark):
+    rows = [(i * 37 % 101, f"text {i}") for i in range(101)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    files = token_files.token_files(df, ascending=False)
+    assert [k for r in files.collect() for k in r["keys"]] == [k for k, _ in rows]
+    either = [
+        sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in token_files.token_report(f).collect())
+        for f in (files, token_files.token_files(df))
+    ]
+    assert either[0] == either[1]
+
+
+def test_ids_beyond_the_symbols_of_rules_are_refused(monkeypatch):
+    monkeypatch.setattr(token_files, "BASE", 100)
+    with pytest.raises(ValueError, match="ids"):
+        token_files.Encoder(token_files.tokenizer_path())
+
+
 def test_grammar_on_runs_and_overlaps():
     for ids in ([5] * 999, [7, 8] * 500 + [2] + [7, 8] * 3, [2] * 50, [1], [], list(range(100)) * 30):
         symbols, rules, lengths = token_files.compress(np.array(ids, np.uint32), least=2)

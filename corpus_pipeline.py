@@ -1,6 +1,12 @@
 """Clean a corpus and write it as token files: ``run`` applies the stages to the documents.
 
-Each stage works on all that the one before it kept. The last returns what the token files hold."""
+Each stage works on all that the one before it kept. The last returns what the token files hold.
+
+Cases: null and empty texts are not toxic unless the model's base score says so, form one group of
+which one document stays, hold no benchmark span, and become the end id alone; a null key never
+stands for its group while another document does; rows repeated in key and text are one group; a null
+source is a source of its own; extra columns are carried up to the token files; an empty table gives an
+empty result."""
 
 from __future__ import annotations
 
@@ -9,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from attrition.llm.common import read, written
 from attrition.llm.decontaminate import clean_documents
 from attrition.llm.mixing import mix_sources
-from attrition.llm.near_copies import one_of_near_copies
+from attrition.llm.simhash import RADIUS, SHINGLE, one_of_each_group
 from attrition.llm.token_files import token_files, token_report
 from attrition.llm.toxicity import not_toxic
 
@@ -20,8 +26,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays; documents that share 0.8 of their five-word shingles are linked."""
-    return one_of_near_copies(docs)
+    """One document of each group of linked fingerprints stays."""
+    return one_of_each_group(docs, radius=RADIUS, shingle=SHINGLE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +41,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files, and what they hold of each document."""
-    return token_report(token_files(docs.select("doc_id", "text")))
+    """Token files in the order of the mix, and what they hold of each document."""
+    return token_report(token_files(docs.select("doc_id", "text"), ascending=False))
 
 
 STAGES = [

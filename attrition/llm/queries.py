@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from attrition.llm import (
+    bpe,
     decontaminate,
     language_id,
     license_scan,
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": secret_scan.op8_secret_scan,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_mix_sources": mixing.op10_mix_sources,
+        "op13_bpe": bpe.op13_bpe,
     }
 
 

@@ -63,5 +63,5 @@ def test_stages_on_odd_rows(spark, tmp_path):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)

@@ -12,6 +12,7 @@ from attrition.llm import (
     language_id,
     license_scan,
     mixing,
+    periodic,
     secret_scan,
     simhash,
     token_files,
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": secret_scan.op8_secret_scan,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_mix_sources": mixing.op10_mix_sources,
+        "op12_periodic_runs": periodic.op12_periodic_runs,
         "op13_bpe": bpe.op13_bpe,
     }
 

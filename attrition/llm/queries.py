@@ -17,6 +17,7 @@ from attrition.llm import (
     simhash,
     token_files,
     toxicity,
+    treap,
     url_filter,
     vantage,
 )
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": secret_scan.op8_secret_scan,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_mix_sources": mixing.op10_mix_sources,
+        "op11_ranked_search": treap.op11_ranked_search,
         "op12_periodic_runs": periodic.op12_periodic_runs,
         "op13_bpe": bpe.op13_bpe,
     }
@@ -46,4 +48,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontaminate": decontaminate.ORACLE,
         "op5_nearest": vantage.ORACLE,
         "op10_mix_sources": mixing.ORACLE,
+        "op11_ranked_search": treap.ORACLE,
     }

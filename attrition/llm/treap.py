@@ -118,73 +118,92 @@ class Treap:
 
     def search(self, rows: np.ndarray, weights: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``top`` columns with the highest sums of weight times impact above 0, and these sums, highest first,
-        equal ones by column."""
+        equal ones by column. A range of columns has a first column, a level, a bound, and a stretch of
+        ``cell`` and ``term``: the cells on the paths of those terms that the range holds."""
         found, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if not len(self.children) or not len(rows):
             return found, sums
-        cells = np.zeros((1, len(rows)), np.int32)
-        if self.children[0] == 0:
-            cells[0, self.rows[0] != rows] = -1
-        level, start = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        bound = self._bound(cells, weights)
-        while len(bound):
-            if len(found) == top:
-                able = (bound > sums[-1]) | (bound == sums[-1]) & (start < found[-1])
-                cells, level, start, bound = cells[able], level[able], start[able], bound[able]
-            if len(bound) > WIDTH:
-                first = np.lexsort((start, -bound))
-                now, later = first[:WIDTH], first[WIDTH:]
-            else:
-                now, later = np.arange(len(bound)), np.zeros(0, np.int64)
-            taken = cells[now]
-            done = ~((taken >= 0) & (self.children[taken] > 0)).any(1)
-            if done.any():
-                found, sums = self._scored(taken[done], weights, found, sums, top)
-            more = now[~done]
-            halves = np.concatenate([self._half(taken[~done], rows, level[more], side) for side in (0, 1)])
-            width = np.int64(1) << (self.bits - 1 - level[more])
-            bounds = self._bound(halves, weights)
-            keep = bounds > 0
-            cells = np.concatenate([cells[later], halves[keep]])
-            start = np.concatenate([start[later], np.concatenate([start[more], start[more] + width])[keep]])
-            level = np.concatenate([level[later], np.tile(level[more] + 1, 2)[keep]])
-            bound = np.concatenate([bound[later], bounds[keep]])
+        term = np.arange(len(rows)) if self.children[0] else np.flatnonzero(rows == self.rows[0])
+        cell = np.zeros(len(term), np.int32)
+        size, start, level = np.array([len(term)]), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        bound = self._bounds(cell, term, size, weights)
+        while (able := self._able(bound, start, found, sums, top)).any():
+            first = np.flatnonzero(able)
+            first = first[np.lexsort((start[first], -bound[first]))]
+            now, later = first[:WIDTH], np.sort(first[WIDTH:])
+            own, rest = _stretches(size, now), _stretches(size, later)
+            state = cell[rest], term[rest], size[later], start[later], level[later], bound[later]
+            cell, term, size, start, level = cell[own], term[own], size[now], start[now], level[now]
+            owner = np.repeat(np.arange(len(size)), size)
+            more = np.bincount(owner, self.children[cell] > 0, len(size)) > 0
+            if not more.all():
+                found, sums = self._scored(cell[~more[owner]], term[~more[owner]], weights, found, sums, top)
+                cell, term = cell[more[owner]], term[more[owner]]
+                size, start, level = size[more], start[more], level[more]
+            halves = [state]
+            for side, (child, held, n) in enumerate(self._halves(cell, term, size, level, rows)):
+                there = n > 0
+                halves.append((
+                    child, held, n[there], (start + side * (np.int64(1) << (self.bits - 1 - level)))[there],
+                    level[there] + 1, self._bounds(child, held, n[there], weights),
+                ))
+            cell, term, size, start, level, bound = map(np.concatenate, zip(*halves))
         return found, sums
 
-    def _bound(self, cells: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        return (np.where(cells >= 0, self.greatest[cells], 0) * weights).sum(1, dtype=np.int64)
-
-    def _half(self, cells: np.ndarray, rows: np.ndarray, level: np.ndarray, side: int) -> np.ndarray:
-        """The cells on the rows' paths in one half of the columns; -1 where there is none."""
-        shift = (self.bits - 1 - level)[:, None]
-        children, link = self.children[cells], self.link[cells]
-        quadrant = (rows[None, :] >> shift & 1) * 2 + side
-        inner = children > 0
-        there = (cells >= 0) & inner & (children >> quadrant & 1 > 0)
-        child = np.where(there, link + _BEFORE[children, quadrant], 0).astype(np.int32)
-        # A single posting belongs to the path if it is in the row; it stays in the half that it lies in.
-        posting = np.where(there, self.link[child], 0)
-        stray = there & (self.children[child] == 0)
-        stray &= self.rows[np.where(stray, posting, 0)] != rows[None, :]
-        held = (cells >= 0) & ~inner
-        stays = held & ((self.columns[np.where(held, link, 0)] >> shift & 1) == side)
-        return np.where(stays, cells, np.where(there & ~stray, child, -1)).astype(np.int32)
+    def _bounds(self, cell: np.ndarray, term: np.ndarray, size: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The sum for each stretch, none of which is empty."""
+        each = self.greatest[cell] * weights[term]
+        return np.add.reduceat(each, np.cumsum(size) - size) if len(each) else np.zeros(len(size), np.int64)
+
+    @staticmethod
+    def _able(bound: np.ndarray, start: np.ndarray, found: np.ndarray, sums: np.ndarray, top: int) -> np.ndarray:
+        """Which ranges may hold one of the best."""
+        if len(found) < top:
+            return bound > 0
+        return (bound > sums[-1]) | (bound == sums[-1]) & (start < found[-1])
+
+    def _halves(
+        self, cell: np.ndarray, term: np.ndarray, size: np.ndarray, level: np.ndarray, rows: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each half of the columns: the cells on the paths, their terms, and how many each range has."""
+        owner = np.repeat(np.arange(len(size)), size)
+        shift = (self.bits - 1 - level)[owner]
+        children, link, row = self.children[cell], self.link[cell], rows[term]
+        single = children == 0
+        left = (row >> shift & 1) * 2
+        child = np.where(single, cell, link + _BEFORE[children, left])
+        right_column = single & (self.columns[np.where(single, link, 0)] >> shift & 1 > 0)
+        in_left = np.where(single, ~right_column, children >> left & 1 > 0)
+        in_right = np.where(single, right_column, children >> left & 2 > 0)
+        for there, own in ((in_left, child), (in_right, child + (in_left & ~single))):
+            own, held, of, wanted = own[there], term[there], owner[there], row[there]
+            # A single posting belongs to the path if it is in the row.
+            at = np.flatnonzero(self.children[own] == 0)
+            stray = at[self.rows[self.link[own[at]]] != wanted[at]]
+            if len(stray):
+                own, held, of = (np.delete(x, stray) for x in (own, held, of))
+            yield own, held, np.bincount(of, minlength=len(size))
 
     def _scored(
-        self, cells: np.ndarray, weights: np.ndarray, found: np.ndarray, sums: np.ndarray, top: int
+        self, cell: np.ndarray, term: np.ndarray, weights: np.ndarray, found: np.ndarray, sums: np.ndarray, top: int
     ) -> tuple[np.ndarray, np.ndarray]:
         """The best of those found and of the documents in ranges where only single postings are left."""
-        at, term = np.nonzero(cells >= 0)
-        own = cells[at, term]
-        column, place = np.unique(self.columns[self.link[own]], return_inverse=True)
+        column, place = np.unique(self.columns[self.link[cell]], return_inverse=True)
         score = np.zeros(len(column), np.int64)
-        np.add.at(score, place, self.greatest[own].astype(np.int64) * weights[term])
+        np.add.at(score, place, self.greatest[cell] * weights[term])
         found, sums = np.concatenate([found, column.astype(np.int64)]), np.concatenate([sums, score])
         best = np.lexsort((found, -sums))[:top]
         best = best[sums[best] > 0]
         return found[best], sums[best]
 
 
+def _stretches(size: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Where the members of the chosen stretches stand."""
+    n = size[chosen]
+    begin = (np.cumsum(size) - size)[chosen]
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
 # --- the index
 
 

@@ -71,8 +71,8 @@ def test_nothing_is_visited_that_cannot_be_found(monkeypatch):
     columns = np.concatenate([np.arange(n), rng.integers(0, n, 30)])
     grid = treap.Treap.of(rows, columns, np.concatenate([rng.integers(1, 900, n), np.full(30, 1000)]))
     seen = []
-    half = treap.Treap._half
-    monkeypatch.setattr(treap.Treap, "_half", lambda self, c, *a: seen.append(len(c)) or half(self, c, *a))
+    halves = treap.Treap._halves
+    monkeypatch.setattr(treap.Treap, "_halves", lambda self, c, *a: seen.append(len(c)) or halves(self, c, *a))
     monkeypatch.setattr(treap, "WIDTH", 1)
     found, _ = grid.search(np.array([0]), np.array([1]), 5)
     assert len(found) == 5 and sum(seen) < n / 10

@@ -177,7 +177,7 @@ def knn(
 
     def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({c: [] for c in ["src", "dst", "dist", *carry]})
+            return pd.DataFrame({c: [] for c in ["src", "dst", "dist", *carry]}, dtype=object)
         q_ids, c_ids = left["id"].to_numpy(), right["id"].to_numpy()
         a, b, dist = _top_k(
             q_ids, _matrix(left["vec"]), c_ids, _matrix(right["vec"]), k, exclude_self, digits

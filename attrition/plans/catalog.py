@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 from attrition.functions import columns as C
 from attrition.functions import features as X
 from attrition.functions.hashing import key_or_row
+from attrition.operators import approximate as A
 from attrition.operators import balance as B
+from attrition.operators import descent as G
 from attrition.operators import encode as E
 from attrition.operators import evaluate as V
 from attrition.operators import neighbors as K
@@ -355,6 +357,44 @@ def knn_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.knn_classify(df, df, 9, exclude_self=True)
 
 
+def customer_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of all customers, in units of about equal spread."""
+    units = {"CreditScore": 160.0, "Age": 19.0, "Tenure": 3.0, "Balance": 3000.0, "NumOfProducts": 1.1, "EstimatedSalary": 110_000.0}
+    vector = F.array(*[F.col(c) / F.lit(u) for c, u in units.items()])
+    return accounts(spark, sf_dir).select(F.col("CustomerId").alias("vec_id"), vector.alias("embedding"))
+
+
+def _graded(found: DataFrame, vectors: DataFrame, exact: DataFrame) -> DataFrame:
+    """For each row: how many neighbours it has, how many of their distances are wrong, and whether
+    0.9 of all true neighbours were found."""
+    found = cut_lineage(found)
+    (share,) = A.recall(found, exact).select("recall").first()
+    vector = F.col("embedding").cast("array<double>")
+    left = vectors.select(F.col("vec_id").alias("src"), vector.alias("a"))
+    right = vectors.select(F.col("vec_id").alias("dst"), vector.alias("b"))
+    squares = F.aggregate(F.zip_with("a", "b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x)
+    wrong = F.abs(F.col("dist") - F.sqrt(squares)) > 1e-9
+    return (
+        found.join(left, "src").join(right, "dst").groupBy("src")
+        .agg(F.count(F.lit(1)).alias("n_found"), F.count_if(wrong).alias("n_wrong"))
+        .withColumn("recall_reached", F.lit(share is not None and share >= 0.9))
+    )
+
+
+def knn_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = embeddings(spark, sf_dir)
+    found = A.knn_approximate(df, df, 10, exclude_self=True)
+    return _graded(found, df, K.knn(df, df, 10, exclude_self=True))
+
+
+def knn_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The neighbour graph of all customers by descent, from less than half of all distances."""
+    df = cut_lineage(customer_vectors(spark, sf_dir))
+    graph = G.neighbour_graph(df, 9)
+    graded = _graded(graph.edges, df, K.knn_edges(df, 9))
+    return graded.withColumn("half_of_the_work", F.lit(graph.share < 0.5))
+
+
 # --- evaluation ----------------------------------------------------------------------------
 
 
@@ -731,6 +771,8 @@ def queries() -> dict[str, Query]:
         "knn_holdout": knn_holdout,
         "save_and_load_model": save_and_load_model,
         "knn": knn,
+        "knn_approximate": knn_approximate,
+        "knn_graph": knn_graph,
         "knn_classify": knn_classify,
         "knn_edges": knn_edges,
         "confusion_matrix": _over_ruled(V.confusion_matrix),

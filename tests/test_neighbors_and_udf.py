@@ -52,6 +52,18 @@ def test_a_third_of_the_rows_are_copies(spark, block_rows):
     assert found(got) == brute(data, 4, True)
 
 
+@pytest.mark.parametrize("exclude_self", [True, False])
+def test_cells_below_cells(spark, monkeypatch, exclude_self):
+    """A few upper pivots, so that most cells are cut again, and a clump that no pivot cuts."""
+    monkeypatch.setattr(K, "LOWER_ROWS", 30)
+    data = clusters(500)
+    data[:90] = data[0] + 1e-7 * np.arange(90)[:, None]
+    df, work = points(spark, data), []
+    got = K.knn(df, df, 5, exclude_self=exclude_self, block_rows=25, chunk_rows=40, pivots=3, work=work, carry=["label"])
+    assert found(got) == brute(data, 5, exclude_self)
+    assert len(work) == 2 and sum(work) < 0.6 * 500 * 500
+
+
 def test_separate_query_and_short_corpus(spark):
     data = clusters(60)
     df = points(spark, data)
@@ -70,7 +82,7 @@ def test_blocks_out_of_reach_are_not_searched():
     own = apart.min(axis=1)
     stats = pd.DataFrame({"cell": cell, "d": own}).groupby("cell")["d"].agg(["size", "min", "max"])
     stats = stats.reset_index().set_axis(["cell", "n", "near", "far"], axis=1)
-    bound = K._Cells(pivots, stats, 50).lower_bound(apart)
+    bound = K._Cells(pivots, stats).lower_bound(apart)
     true = K._distances(data, data)
     for j in range(6):
         assert (bound[:, j] <= true[:, cell == j].min(axis=1) + 1e-9).all()

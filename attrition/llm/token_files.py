@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from attrition.llm.common import partitions, read, written
+from attrition.llm.common import give_back, partitions, read, written
 
 END = 2
 BASE = 1 << 16
@@ -340,6 +340,7 @@ def _encoded(path: str, shard_tokens: int):
                         yield shard()
         if documents:
             yield shard()
+        give_back()
 
     return run
 
@@ -382,6 +383,7 @@ def _decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
             frame["_key"] = pd.array(list(row.keys), dtype="Int64")
             yield frame
+    give_back()
 
 
 def token_report(files: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -621,18 +621,20 @@ def _score_files(spark: SparkSession, model, path: str, sinks, stream=None, **se
 
 
 def last_message_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each customer sends two messages, the first of them with another age; the later one counts."""
+    """Each customer sends three messages, of which that with the highest offset counts. It comes in the first of three
+    batches, an older one with another age in the second, and itself again in the third."""
     records = _records(spark, sf_dir)
     first = records.withColumn("Age", F.lit(20).cast(records.schema["Age"].dataType))
-    path, out = shared_dir(spark, "twice"), shared_dir(spark, "last")
+    path, out = shared_dir(spark, "thrice"), shared_dir(spark, "last")
     message = F.to_json(F.struct(*SCORING_SCHEMA.fieldNames()), {"ignoreNullFields": "false"})
-    both = [rows.select(message.alias("value"), F.lit(at).alias("offset")) for at, rows in ((7, records), (3, first))]
-    both[0].unionByName(both[1]).repartition(1).write.parquet(path)
+    for i, (at, rows) in enumerate(((7, records), (3, first), (7, records))):
+        # A later name and time, so that the source takes them in this order.
+        rows.select(message.alias("value"), F.lit(at).alias("offset")).coalesce(1).write.parquet(f"{path}/{i}")
     schema = T.StructType.fromDDL("value string, offset int")
-    stream = J.stream_source(spark, "parquet", {"path": path}, schema)
+    stream = J.stream_source(spark, "parquet", {"path": f"{path}/*", "maxFilesPerTrigger": "1"}, schema)
     _score_files(
-        spark, Z.python_scorer(ScaledAgeRule(), Shift()), path,
-        {"last": Z.latest_files_sink(out, "offset")}, stream, keep=["offset"],
+        spark, Z.python_scorer(ScaledAgeRule(), Shift()), path, {"last": Z.files_sink(out)}, stream,
+        keep=["offset"], newest_by="offset", ttl="7 days",
     )
     return spark.read.parquet(out).select("CustomerId", "Age", PREDICTION)
 

@@ -3,7 +3,7 @@ finished table and a running stream."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attrition.functions.columns import at_risk, label_map, mapped
@@ -60,27 +60,33 @@ def credit_histogram(
     on a stream)."""
     if low is None or high is None:
         low, high = score_range(df, column)
-    width = (high - low) / bins or 1.0
-    value = F.col(column)
-    inside = F.floor((value - F.lit(low)) / F.lit(width)).cast("int")
-    position = (
-        F.when(value < low, F.lit(-1))
-        .when(value > high, F.lit(bins))
-        .otherwise(F.least(inside, F.lit(bins - 1)))
-    )
-    return (
-        df.filter(value.isNotNull() & ~F.isnan(value.cast("double")))
-        .groupBy(
-            position.alias("bin"),
+    return with_bin_edges(
+        df.groupBy(
+            histogram_bin(F.col(column), bins, low, high).alias("bin"),
             mapped(F.col(prediction).cast("int"), CHURN_NAMES).alias("churn_label"),
         )
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        .withColumns(
-            {
-                "bin_start": F.when(F.col("bin") >= 0, F.lit(low) + F.col("bin") * F.lit(width)),
-                "bin_end": F.when(F.col("bin") < bins, F.lit(low) + (F.col("bin") + 1) * F.lit(width)),
-            }
-        )
+        .filter(F.col("bin").isNotNull()),
+        bins, low, high,
+    )
+
+
+def histogram_bin(value: Column, bins: int, low: float, high: float) -> Column:
+    """Number of the bin, null for null and NaN; see :func:`credit_histogram`."""
+    width = (high - low) / bins or 1.0
+    inside = F.floor((value - F.lit(low)) / F.lit(width)).cast("int")
+    return F.when(value.isNotNull() & ~F.isnan(value.cast("double")), F.when(value < low, F.lit(-1))
+        .when(value > high, F.lit(bins))
+        .otherwise(F.least(inside, F.lit(bins - 1))))
+
+
+def with_bin_edges(df: DataFrame, bins: int, low: float, high: float) -> DataFrame:
+    width = (high - low) / bins or 1.0
+    return df.withColumns(
+        {
+            "bin_start": F.when(F.col("bin") >= 0, F.lit(low) + F.col("bin") * F.lit(width)),
+            "bin_end": F.when(F.col("bin") < bins, F.lit(low) + (F.col("bin") + 1) * F.lit(width)),
+        }
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import nullcontext
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from attrition.schemas import FEATURES, KEY, PREDICTION, PREDICTION_SCHEMA
 from attrition.sources.database import last_per_key, write_jdbc
 from attrition.sources.messages import CORRUPT, decode_json, write_topic
 from attrition.sources.scratch import pinned
+from attrition.streaming.latest import keyed_state, newest_records
 
 log = logging.getLogger(__name__)
 
@@ -205,11 +207,21 @@ def start_scoring(
     compat: bool = False,
     dead_letter: Callable[[str], Sink] | None = None,
     keep: Sequence[str] = (),
+    newest_by: str | Sequence[str] | None = None,
+    ttl: str | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Score a message stream into ``sinks``. Row counts of each batch are in the query's progress
-    under ``scoring``."""
-    scored = score_stream(source, model, compat=compat, keep_corrupt=True, keep=keep)
+    under ``scoring``.
+
+    ``newest_by`` names kept columns that order the messages, such as timestamp and offset: of each customer
+    only records that are newer than all before them are passed on, see :func:`newest_records`. Broken messages
+    have no customer; they need a query of their own then."""
+    scored = score_stream(source, model, compat=compat, keep_corrupt=newest_by is None, keep=keep)
+    if newest_by is not None:
+        if broken is not None:
+            raise ValueError("broken messages are not kept with newest_by")
+        scored = newest_records(scored, newest_by, ttl=ttl)
     bad = F.count(F.col(CORRUPT)) if CORRUPT in scored.columns else F.lit(0).cast("bigint")
     observed = scored.observe(
         "scoring",
@@ -217,9 +229,10 @@ def start_scoring(
         bad.alias("n_broken"),
         F.sum(PREDICTION).alias("n_predicted"),
     )
-    return start_stream(
-        observed,
-        lambda batch, batch_id: fan_out(batch, batch_id, sinks, broken, dead_letter),
-        checkpoint,
-        **trigger,
-    )
+    with keyed_state(source.sparkSession) if newest_by is not None else nullcontext():
+        return start_stream(
+            observed,
+            lambda batch, batch_id: fan_out(batch, batch_id, sinks, broken, dead_letter),
+            checkpoint,
+            **trigger,
+        )

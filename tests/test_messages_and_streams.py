@@ -1,19 +1,22 @@
 from __future__ import annotations
 
+import datetime
 import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attrition.plans import reports as R
 from attrition.plans.catalog import predicted
 from attrition.plans.models import train_forest
-from attrition.schemas import PREDICTION_SCHEMA, SCORING_SCHEMA
+from attrition.schemas import PREDICTION, PREDICTION_SCHEMA, SCORING_SCHEMA
 from attrition.sources import database as D
 from attrition.sources import messages as J
 from attrition.sources import tables as P
 from attrition.sources.scratch import shared_base, shared_dir
+from attrition.streaming import latest as N
 from attrition.streaming import live as L
 from attrition.streaming import scoring as Z
 
@@ -272,3 +275,51 @@ def test_histogram_bins(spark):
     assert bins == {-1: 1, 0: 2, 4: 2, 5: 1}
     one = spark.createDataFrame([(4, 1.0)], "CreditScore int, ChurnPrediction double")
     assert R.credit_histogram(one).first().bin == 0
+
+
+def test_newest_record_over_all_batches(spark, tmp_path):
+    """A late message in a later batch, a repeat, a null key, a hot key, and names that Python would change."""
+    schema = "CustomerId long, `_v` string, at timestamp, n int, price double"
+    day = "2024-01-0"
+    batches = [
+        [(1, "new", f"{day}5", 2, 1.5), (2, "a", f"{day}1", 0, None), (1, "old", f"{day}2", 9, 0.1), (None, "n", f"{day}1", 0, 0.0)],
+        [(1, "late", f"{day}5", 1, 7.0), (2, "a", f"{day}1", 0, None), (3, None, f"{day}1", None, float("inf"))],
+        [(2, "b", f"{day}7", 0, 2.0), (None, "m", f"{day}2", 0, 0.0)] + [(3, f"x{i}", f"{day}1", i, 0.3) for i in range(50)],
+    ]
+    for i, rows in enumerate(batches):
+        given = [(k, v, datetime.datetime.fromisoformat(t), n, p) for k, v, t, n, p in rows]
+        spark.createDataFrame(given, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    stream = J.stream_source(
+        spark, "parquet", {"path": f"{tmp_path}/in/*", "maxFilesPerTrigger": "1"}, T.StructType.fromDDL(schema)
+    )
+    out = N.newest_records(stream, ["at", "n"], ttl="7 days")
+    before = [spark.conf.get(name, None) for name in N.SETTINGS]
+    with N.keyed_state(spark):
+        query = Z.start_stream(out, Z.files_sink(f"{tmp_path}/out"), f"{tmp_path}/checkpoint", available_now=True)
+    assert [spark.conf.get(name, None) for name in N.SETTINGS] == before
+    Z.await_stream(query)
+    assert sum(1 for p in query.recentProgress if p["numInputRows"]) == 3
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert sorted((str(r.CustomerId), str(r["_v"]), r.n, str(r.price)) for r in rows) == sorted(
+        [("1", "new", 2, "1.5"), ("2", "a", 0, "None"), ("None", "n", 0, "0.0"), ("3", "None", None, "inf")]
+        + [("2", "b", 0, "2.0"), ("None", "m", 0, "0.0"), ("3", "x49", 49, "0.3")]
+    )
+    assert {r["at"].day for r in rows if r.CustomerId == 1} == {5}
+    with pytest.raises(TypeError, match="order by"):
+        N.newest_records(stream, "price")
+
+
+def test_one_state_for_all_reports(spark):
+    known = predicted(spark, SF).limit(300)
+    odd = known.limit(9).withColumn("_n", F.monotonically_increasing_id() % 3)
+    for name, value in (("CreditScore", 9_999), ("Age", None), (PREDICTION, 2.0), ("Female", None)):
+        odd = odd.withColumn(name, F.when(F.col("_n") == 1, F.lit(value).cast(known.schema[name].dataType)).otherwise(F.col(name)))
+    odd = odd.withColumn(PREDICTION, F.when(F.col("_n") != 2, F.col(PREDICTION)))
+    odd = odd.withColumn("CreditScore", F.when(F.col("_n") != 2, F.col("CreditScore")))
+    ruled_rows = known.unionByName(odd.drop("_n")).cache()
+    states = L.report_states(ruled_rows)
+    for name, report in L.LIVE_REPORTS.items():
+        want = report(ruled_rows)
+        got = L.report_of(states, name, ruled_rows.schema)
+        assert got.columns == want.columns and got.dtypes == want.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name

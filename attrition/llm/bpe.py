@@ -39,12 +39,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from attrition.llm.common import fresh, read, without
+from attrition.llm.common import fresh, give_back, read, without
 
 KEPT = 400_000
 #: Characters that are encoded together; a longer text is a part of its own.
-TOGETHER = 4_000_000
+TOGETHER = 1_000_000
 CUT = re.compile("[^ \n]+")
 #: The preparation of texts that the array operations stand for.
 NORMAL = ["NFC", "Replace", "Lowercase"]
@@ -127,8 +128,6 @@ class Codec:
         self.ending, self.inner = (Tokenizer.from_str(json.dumps(s)) for s in (bare, inner))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]} if special else {}
         self.apart = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        table = {i: t for t, i in vocabulary.items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
-        self.tokens = [table.get(i) for i in range(1 + max(table))]
         self.spaces_go = not self._words(" \n")
         self.of_fragments = Known(self._merged, pa.large_string())
         self.of_pieces = Known(self._pieces, pa.large_string())
@@ -283,11 +282,26 @@ class Codec:
         found |= zip(others, self._pieced_ids(list(others.values())))
         return [found[i] for i in range(len(texts))]
 
+
+class Decoder:
+    """The tokens of one tokenizer file by id."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        table = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.tokens = [table.get(i) for i in range(1 + max(table))]
+        self.library = None
+        if spec.get("decoder"):
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(path)
+
     def decode(self, ids: bytes | None) -> str:
         numbers = np.frombuffer(ids or b"", "<u4")
         if len(numbers) and int(numbers.max()) >= len(self.tokens):
             raise ValueError(f"{int(numbers.max())} is no id")
-        if self.library.decoder is None:
+        if self.library is None:
             return " ".join(map(self.tokens.__getitem__, numbers.tolist()))
         return self.library.decode(numbers.tolist(), skip_special_tokens=False)
 
@@ -312,6 +326,11 @@ def codec(path: str, special: bool = True) -> Codec:
     return Codec(path, special)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def parts(texts: list[str | None]) -> Iterator[list[str | None]]:
     """Successive texts of about ``TOGETHER`` characters."""
     held, n = [], 0
@@ -334,6 +353,7 @@ def encoded_column(text: Column, path: str | None = None, special: bool = True)
         own = codec(file, special)
         for batch in batches:
             yield pd.Series(list(chain.from_iterable(map(own.encode, parts(batch.tolist())))), dtype=object)
+        give_back()
 
     return encode(text)
 
@@ -344,9 +364,10 @@ def decoded_column(ids: Column, path: str | None = None) -> Column:
 
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = codec(file)
+        own = decoder(file)
         for batch in batches:
             yield pd.Series([own.decode(i) for i in batch], dtype=object)
+        give_back()
 
     return decode(ids)
 
@@ -365,10 +386,32 @@ def decoded(rows: DataFrame, path: str | None = None, ids: str = "ids", text: st
     return made.select(*without(rows, text), F.col(own).alias(text))
 
 
+def round_trip(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each document: key, ``ids``, and ``decoded``, the text that these ids give. Both in one pass, which
+    hands on the results of about ``TOGETHER`` characters at a time."""
+    file = path or tokenizer_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, back = codec(file), decoder(file)
+        for batch in batches:
+            first = 0
+            for some in parts(batch.column("text").to_pylist()):
+                ids = own.encode(some)
+                keys = batch.column("key").slice(first, len(some))
+                found = pa.array(ids, pa.binary()), pa.array(map(back.decode, ids), pa.string())
+                yield pa.RecordBatch.from_arrays([keys, *found], ["key", "ids", "decoded"])
+                first += len(some)
+        give_back()
+
+    kind = docs.schema[key].dataType
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    schema = T.StructType([T.StructField("key", kind), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+    return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decoded(encoded(docs).select("doc_id", "ids"))
-    return both.select(
+    return round_trip(docs).select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

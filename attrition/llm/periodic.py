@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm.common import fresh, read, without
+from attrition.llm.common import fresh, give_back, read, without
 
 #: The fewest words of a run, and the fewest that the two places of its pair can share.
 LEAST = 12
@@ -270,6 +270,7 @@ def judged_column(text: Column) -> Column:
                 for n, runs, kept in judged(some):
                     rows.append((n, [{"start": s, "length": m, "period": q} for s, m, q in runs], kept))
             yield pd.DataFrame(rows, columns=["n_words", "runs", "kept"])
+        give_back()
 
     return judge(text)
 

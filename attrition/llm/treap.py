@@ -40,7 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attrition.llm.common import WORD, WORD_BYTES, read, words, words_of, written
+from attrition.llm.common import WORD, WORD_BYTES, give_back, read, words, words_of, written
 from attrition.sources.scratch import shared_dir
 
 TOP = 20
@@ -296,6 +296,7 @@ def _indexed(documents: int, every: int, shard_postings: int):
                     number, shard = number + 1, _Shard()
         if shard.size:
             yield pd.DataFrame([shard.row(part, number, documents, every)], columns=names)
+        give_back()
 
     return run
 
@@ -347,6 +348,7 @@ def _searched(wanted, top: int):
                 missing = frame["_key"].isna()
                 frame["_key"] = pd.array([None if m else int(k) for k, m in zip(frame["_key"], missing)], dtype="Int64")
                 yield frame
+        give_back()
 
     return run
 

@@ -37,20 +37,27 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.array(vectors.to_list(), dtype=np.float64)
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _norms(differences: np.ndarray, groups: int) -> np.ndarray:
+    """Length along the last axis: Euclidean, or of the sums of absolute values of each ``groups`` entries."""
+    if groups > 1:
+        differences = np.abs(differences).reshape(*differences.shape[:-1], -1, groups).sum(axis=-1)
+    return np.sqrt((differences**2).sum(axis=-1))
+
+
+def _distances(a: np.ndarray, b: np.ndarray, groups: int = 1) -> np.ndarray:
     """Distances by differences (no cancellation), in slices of bounded size."""
     out = np.empty((len(a), len(b)))
     step = max(1, SLICE_CELLS // max(1, b.size))
     for i in range(0, len(a), step):
-        out[i : i + step] = np.sqrt(((a[i : i + step, None, :] - b[None, :, :]) ** 2).sum(axis=2))
+        out[i : i + step] = _norms(a[i : i + step, None, :] - b[None, :, :], groups)
     return out
 
 
 class _Cells:
     """Pivots with what is known of their cells; small enough to travel with each task."""
 
-    def __init__(self, pivots: np.ndarray, stats: pd.DataFrame):
-        self.pivots = pivots
+    def __init__(self, pivots: np.ndarray, stats: pd.DataFrame, groups: int = 1):
+        self.pivots, self.groups = pivots, groups
         self.counts = np.zeros(len(pivots), dtype=np.int64)
         self.near = np.full(len(pivots), np.inf)
         self.far = np.full(len(pivots), -np.inf)
@@ -58,7 +65,7 @@ class _Cells:
         self.counts[at] = stats["n"].to_numpy()
         self.near[at] = stats["near"].to_numpy()
         self.far[at] = stats["far"].to_numpy()
-        self.between = _distances(pivots, pivots)
+        self.between = _distances(pivots, pivots, groups)
 
     def home(self, to_pivot: np.ndarray, k: int) -> np.ndarray:
         """Mask of cells searched first: the nearest ones until k rows are expected."""
@@ -76,6 +83,8 @@ class _Cells:
     def lower_bound(self, to_pivot: np.ndarray) -> np.ndarray:
         """Least possible distance of a query to any row of each cell."""
         ring = np.maximum(to_pivot - self.far, self.near - to_pivot)
+        if self.groups > 1:  # the rest holds for Euclidean distances
+            return np.maximum(ring, 0.0)
         nearest = to_pivot.argmin(axis=1)
         apart = self.between[nearest]
         base = np.take_along_axis(to_pivot, nearest[:, None], axis=1)
@@ -84,7 +93,7 @@ class _Cells:
         return np.maximum(np.maximum(ring, plane), 0.0)
 
 
-def _top_k(q_ids, q, c_ids, c, k: int, exclude_self: bool, digits: int | None):
+def _top_k(q_ids, q, c_ids, c, k: int, exclude_self: bool, digits: int | None, groups: int = 1):
     """(query position, corpus position, distance) of the k nearest, ties to the smaller id."""
     order = np.argsort(c_ids, kind="stable")
     c_ids, c = c_ids[order], c[order]
@@ -94,8 +103,11 @@ def _top_k(q_ids, q, c_ids, c, k: int, exclude_self: bool, digits: int | None):
     for i in range(0, len(q), step):
         part = q[i : i + step]
         q_norm = (part**2).sum(axis=1)
-        squared = q_norm[:, None] + c_norm[None, :] - 2 * part @ c.T
-        np.maximum(squared, 0.0, out=squared)
+        if groups > 1:
+            squared = _distances(part, c, groups) ** 2
+        else:
+            squared = q_norm[:, None] + c_norm[None, :] - 2 * part @ c.T
+            np.maximum(squared, 0.0, out=squared)
         if exclude_self:
             squared[q_ids[i : i + step, None] == c_ids[None, :]] = np.inf
         kth = (
@@ -113,7 +125,7 @@ def _top_k(q_ids, q, c_ids, c, k: int, exclude_self: bool, digits: int | None):
         pairs = max(1, SLICE_CELLS // q.shape[1])
         for j in range(0, len(rows), pairs):
             r, s = rows[j : j + pairs], cols[j : j + pairs]
-            dist[j : j + pairs] = np.sqrt(((part[r] - c[s]) ** 2).sum(axis=1))
+            dist[j : j + pairs] = _norms(part[r] - c[s], groups)
         if digits is not None:
             dist = np.round(dist, digits)
         by = np.lexsort((c_ids[cols], dist, rows))
@@ -153,6 +165,7 @@ def knn(
     chunk_rows: int = CHUNK_ROWS,
     work: list[int] | None = None,
     pivots: int = MAX_PIVOTS,
+    groups: int = 1,
 ) -> DataFrame:
     """``k`` nearest corpus rows of each query row: (src, dst, dist, rank, *carry).
 
@@ -160,6 +173,8 @@ def knn(
     ``carry`` names corpus columns to return with each neighbour. Rows without vector are left out.
     Ids of query rows must be unique: rows that share one share an answer. ``work``, if given, is
     told how many pairs the first and the second search compare. ``pivots`` bounds those of the upper level.
+    With ``groups``, each so many entries of a vector are one coordinate, in which two rows differ by the sum
+    of their absolute differences; the distance is the root of the sum of squares of that.
     """
     spark = query.sparkSession
     keep = k + 1 if exclude_self else k
@@ -189,7 +204,7 @@ def knn(
             return pd.DataFrame({c: [] for c in ["src", "dst", "dist", *carry]}, dtype=object)
         q_ids, c_ids = left["id"].to_numpy(), right["id"].to_numpy()
         a, b, dist = _top_k(
-            q_ids, _matrix(left["vec"]), c_ids, _matrix(right["vec"]), k, exclude_self, digits
+            q_ids, _matrix(left["vec"]), c_ids, _matrix(right["vec"]), k, exclude_self, digits, groups
         )
         return pd.DataFrame(
             {"src": q_ids[a], "dst": c_ids[b], "dist": dist}
@@ -245,14 +260,14 @@ def knn(
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            cell, apart = _nearest(_matrix(batch["vec"]), shared_centres.value)
+            cell, apart = _nearest(_matrix(batch["vec"]), shared_centres.value, groups)
             yield batch.assign(cell=cell, apart=apart)
 
     corpus_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     # Written once: the counts and both searches read it.
     assigned = cut_lineage(rows.mapInPandas(assign, f"{corpus_ddl}, cell int, apart double"))
     stats = assigned.groupBy("cell").agg(*_extent()).toPandas()
-    cells = _Cells(centres, stats)
+    cells = _Cells(centres, stats, groups)
     shared = spark.sparkContext.broadcast(cells)
     large = [int(c) for c in np.flatnonzero(cells.counts > block_rows)]
     in_large = F.col("cell").isin(large)
@@ -260,7 +275,7 @@ def knn(
     lower = None
     if large:
         sizes = spark.createDataFrame([(c, int(cells.counts[c])) for c in large], "cell int, n long")
-        blocks, lower = _lower_level(blocks, assigned.filter(in_large), sizes, block_rows, corpus_ddl, n)
+        blocks, lower = _lower_level(blocks, assigned.filter(in_large), sizes, block_rows, corpus_ddl, groups)
     blocks = blocks.drop("cell", "apart")
     query_ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queries.schema)
     slack = 1e-9 if digits is None else 1e-9 + 10.0**-digits
@@ -269,7 +284,7 @@ def knn(
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known = shared.value
             for batch in _slices(batches, len(known.counts)):
-                to_pivot = _distances(_matrix(batch["vec"]), known.pivots)
+                to_pivot = _distances(_matrix(batch["vec"]), known.pivots, groups)
                 home = known.home(to_pivot, keep)
                 reach = batch["reach"].fillna(np.inf).to_numpy() * (1 + 1e-9) + slack
                 q, cell = np.nonzero(home if first else known.within(to_pivot, reach))
@@ -291,7 +306,7 @@ def knn(
         if lower is None:
             return whole
         below = cut_lineage(sent.filter(in_large))
-        return whole.unionByName(_lower_routes(below, lower, first, keep, chunk_rows, query_ddl))
+        return whole.unionByName(_lower_routes(below, lower, first, keep, chunk_rows, query_ddl, groups))
 
     def searched(bounded: DataFrame, first: bool) -> DataFrame:
         sent = routed(bounded, first)
@@ -325,14 +340,14 @@ def _block(cell: Column, lower: Column | int = 0, part: Column | int = 0) -> Col
     return number
 
 
-def _nearest(vectors: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    to_pivot = _distances(vectors, pivots)
+def _nearest(vectors: np.ndarray, pivots: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    to_pivot = _distances(vectors, pivots, groups)
     cell = to_pivot.argmin(axis=1)
     return cell.astype(np.int32), np.take_along_axis(to_pivot, cell[:, None], axis=1)[:, 0]
 
 
 def _lower_level(
-    blocks: DataFrame, rows: DataFrame, sizes: DataFrame, block_rows: int, corpus_ddl: str, n: int
+    blocks: DataFrame, rows: DataFrame, sizes: DataFrame, block_rows: int, corpus_ddl: str, groups: int
 ) -> tuple[DataFrame, DataFrame]:
     """Cuts the large cells around pivots of their own. Returns all blocks, and of each lower cell its pivot, extent and
     number of parts."""
@@ -357,7 +372,7 @@ def _lower_level(
         if left.empty:
             return left.assign(lower=[], apart=[]).astype(object)
         right = right.sort_values("lower")
-        lower, apart = _nearest(_matrix(left["vec"]), _matrix(right["pivot"]))
+        lower, apart = _nearest(_matrix(left["vec"]), _matrix(right["pivot"]), groups)
         return left.assign(lower=right["lower"].to_numpy()[lower], apart=apart)
 
     names = [f.name for f in rows.schema if f.name not in ("cell", "apart")]
@@ -376,7 +391,7 @@ def _lower_level(
 
 
 def _lower_routes(
-    sent: DataFrame, lower: DataFrame, first: bool, keep: int, chunk_rows: int, query_ddl: str
+    sent: DataFrame, lower: DataFrame, first: bool, keep: int, chunk_rows: int, query_ddl: str, groups: int
 ) -> DataFrame:
     """Sends queries on from a large cell to the blocks below it."""
     pieces = sent.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("pieces"))
@@ -389,9 +404,9 @@ def _lower_routes(
         if queries.empty or cells.empty:
             return pd.DataFrame({"id": [], "vec": [], "block": []}, dtype=object)
         cells = cells.sort_values("lower").reset_index(drop=True)
-        known = _Cells(_matrix(cells["pivot"]), cells.assign(cell=cells.index))
+        known = _Cells(_matrix(cells["pivot"]), cells.assign(cell=cells.index), groups)
         parts = cells["parts"].to_numpy().astype(np.int64)
-        to_pivot = _distances(_matrix(queries["vec"]), known.pivots)
+        to_pivot = _distances(_matrix(queries["vec"]), known.pivots, groups)
         home = known.home(to_pivot, keep)
         own = pd.util.hash_array(queries["id"].to_numpy())
         if first:

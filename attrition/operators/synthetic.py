@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,36 +27,36 @@ def _cells(rows: DataFrame, *keep: str) -> DataFrame:
     return rows.select(*keep, F.posexplode("values").alias("f", "v"))
 
 
-def value_codes(rows: DataFrame) -> DataFrame:
-    """Share of minority rows (``own``) among the rows with each value of each feature."""
+def value_codes(rows: DataFrame, classes: Sequence) -> DataFrame:
+    """For each value of each feature: its rows, and the share of each of the ``classes`` among them. Of two classes the
+    second one's share says it all."""
+    told = classes[1:] if len(classes) == 2 else classes
+    shares = [F.avg((F.col("label") == F.lit(c)).cast("double")) for c in told]
     return (
-        _cells(rows, "own")
+        _cells(rows, "label")
         .groupBy("f", "v")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg(F.col("own").cast("double")).alias("code"),
-        )
+        .agg(F.count(F.lit(1)).alias("n"), F.array(*shares).alias("code"))
     )
 
 
 def _coded(rows: DataFrame, codes: DataFrame, n: int) -> DataFrame:
-    """``rows`` with a vector of value codes."""
+    """``rows`` with a vector of value codes: those of the first feature, of the second, and so on."""
     hot = codes.filter(F.col("n") > n / HOT_SHARE).select("f", "v", F.col("code").alias("hot"))
     cold = codes.filter(F.col("n") <= n / HOT_SHARE).select("f", "v", "code")
-    split = _cells(rows, "key").join(F.broadcast(hot), ["f", "v"], "left")
+    split = _cells(rows, "id").join(F.broadcast(hot), ["f", "v"], "left")
     joined = (
         split.filter(F.col("hot").isNotNull())
-        .select("key", "f", F.col("hot").alias("code"))
+        .select("id", "f", F.col("hot").alias("code"))
         .unionByName(
-            split.filter(F.col("hot").isNull()).join(cold, ["f", "v"]).select("key", "f", "code")
+            split.filter(F.col("hot").isNull()).join(cold, ["f", "v"]).select("id", "f", "code")
         )
     )
     # One entry per feature, so a group has as many rows as there are features.
-    vectors = joined.groupBy("key").agg(
+    vectors = joined.groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("f", "code"))).alias("pairs")
     )
-    return rows.join(vectors, "key").select(
-        "key", "copies", "values", F.col("pairs").getField("code").alias("codes")
+    return rows.join(vectors, "id").select(
+        "id", "key", "copies", "values", F.flatten(F.col("pairs").getField("code")).alias("codes")
     )
 
 
@@ -71,28 +72,44 @@ def _most_frequent(lists: Column, i: int) -> Column:
     return -F.array_max(scored)["negated"]
 
 
-def synthetic_rows(
-    df: DataFrame, n_new: int, minority, features: Sequence[str] = FEATURES, k: int = 5,
-    seed: int = 42, key: str = KEY, label: str = LABEL, **limits,
-) -> DataFrame:
-    """Exactly ``n_new`` new rows of the ``minority`` class: (seed_key, copy, *features).
+@dataclass
+class _Numbered:
+    """The rows with a number of their own, the classes, and the codes of their values."""
+
+    rows: DataFrame
+    classes: list
+    codes: DataFrame
+    n: int
 
-    Two rows are near when their values go along with the class alike: with two classes, the
-    value difference metric orders pairs as the Euclidean distance of the value codes does. A new
-    row takes, for each feature, the most frequent value among the ``k`` nearest minority rows of
-    a seed row. Seeds are spread evenly; a hash of the key decides who gets one more.
-    """
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key))), 1, 15), 16, 10)
-    # Five passes follow; they read this narrow copy instead of computing the features again.
+
+def _numbered(df: DataFrame, features: Sequence[str], classes: Sequence, seed: int, key: str, label: str) -> _Numbered:
+    """Written once, for all passes that follow. A row is known by its key if that is a whole number and no other row
+    has it, else by a number given here: repeated and missing keys are rows like any others."""
     rows = cut_lineage(
         df.filter(F.col(label).isNotNull()).select(
             F.col(key).alias("key"),
             F.array(*[F.col(c).cast("double") for c in features]).alias("values"),
-            (F.col(label) == minority).alias("own"),
-            draw.cast("bigint").alias("draw"),
+            F.col(label).alias("label"),
         )
     )
-    own = rows.filter("own")
+    own = isinstance(df.schema[key].dataType, T.IntegralType)
+    if own:
+        own = rows.groupBy("key").count().filter((F.col("count") > 1) | F.col("key").isNull()).isEmpty()
+    if own:
+        rows = rows.withColumn("id", F.col("key").cast("bigint")).withColumn("name", F.col("key").cast("string"))
+    else:
+        name = F.concat_ws(":", F.coalesce(F.col("key").cast("string"), F.lit("")), F.col("id"))
+        rows = cut_lineage(rows.withColumn("id", F.monotonically_increasing_id())).withColumn("name", name)
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("name"))), 1, 15), 16, 10)
+    rows = rows.withColumn("draw", draw.cast("bigint"))
+    return _Numbered(rows, list(classes), cut_lineage(value_codes(rows, classes)), rows.count())
+
+
+def _new_rows(
+    numbered: _Numbered, n_new: int, minority, features: Sequence[str], k: int, **limits
+) -> DataFrame:
+    """Seed (``id``, ``key``), ``name`` and ``copy`` of exactly ``n_new`` new rows, and their ``values``."""
+    own = numbered.rows.filter(F.col("label") == F.lit(minority))
     statistics = OrderStatistics(own, ["draw"])
     n_minority = statistics.counts["draw"]
     if n_minority <= k:
@@ -100,41 +117,62 @@ def synthetic_rows(
     base, extra = divmod(n_new, n_minority)
     copies = F.lit(base)
     if extra:
-        (value,), (tie,) = rank_cuts(own, "draw", "key", statistics, [extra - 1])
-        behind = not_behind(F.col("draw"), F.col("key"), F.lit(value), tie)
+        (value,), (tie,) = rank_cuts(own, "draw", "id", statistics, [extra - 1])
+        behind = not_behind(F.col("draw"), F.col("id"), F.lit(value), tie)
         copies = copies + behind.cast("int")
-    coded = cut_lineage(
-        _coded(own.withColumn("copies", copies), value_codes(rows), rows.count())
-    )
+    coded = cut_lineage(_coded(own.withColumn("copies", copies), numbered.codes, numbered.n))
     near = knn(
-        coded.filter(F.col("copies") > 0), coded, k, "key", "codes",
-        exclude_self=True, carry=["values"], digits=DIGITS, **limits,
+        coded.filter(F.col("copies") > 0), coded, k, "id", "codes",
+        exclude_self=True, carry=["values"], digits=DIGITS,
+        groups=1 if len(numbered.classes) == 2 else len(numbered.classes), **limits,
     )
     # At most k neighbours per seed.
+    lists = near.groupBy(F.col("src").alias("id")).agg(F.collect_list("values").alias("lists"))
+    seeds = coded.select("id", "key", "copies").join(own.select("id", "name"), "id")
     return (
-        near.groupBy(F.col("src").alias("key"))
-        .agg(F.collect_list("values").alias("lists"))
-        .join(coded.select("key", "copies"), "key")
+        lists.join(seeds, "id")
         .withColumn("values", F.array(*[_most_frequent(F.col("lists"), i) for i in range(len(features))]))
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select(
-            F.col("key").alias("seed_key"),
-            "copy",
-            *[
-                F.col("values")[i].cast(df.schema[c].dataType).alias(c)
-                for i, c in enumerate(features)
-            ],
-        )
+        .select("id", "key", "name", "copy", "values")
     )
 
 
+def _as_columns(df: DataFrame, features: Sequence[str]) -> list[Column]:
+    return [F.col("values")[i].cast(df.schema[c].dataType).alias(c) for i, c in enumerate(features)]
+
+
+def synthetic_rows(
+    df: DataFrame, n_new: int, minority, features: Sequence[str] = FEATURES, k: int = 5,
+    seed: int = 42, key: str = KEY, label: str = LABEL, **limits,
+) -> DataFrame:
+    """Exactly ``n_new`` new rows of the ``minority`` class: (seed_key, copy, *features).
+
+    Two rows are near when their values go along with the classes alike (value difference metric):
+    values differ by the sum over all classes of the difference of the class's shares among their rows, and rows by the
+    root of the sum of squares over all features. With two classes that is twice the Euclidean distance of one
+    class's shares. A new row takes, for each feature, the most frequent value among the ``k`` nearest rows of its
+    class to a seed row. Seeds are spread evenly; a hash of the key decides who gets one more.
+
+    Keys may repeat or be missing: each row is a seed and a neighbour of its own."""
+    numbered = _numbered(df, features, _sorted_classes(df, label, minority), seed, key, label)
+    made = _new_rows(numbered, n_new, minority, features, k, **limits)
+    return made.select(F.col("key").alias("seed_key"), "copy", *_as_columns(df, features))
+
+
+def _sorted_classes(df: DataFrame, label: str, minority=None) -> list:
+    """The classes; of two the one to be made anew comes last."""
+    classes = sorted(class_counts(df, label))
+    return sorted(classes, key=lambda c: c == minority) if len(classes) == 2 else classes
+
+
 def copy_key(kind: T.DataType) -> Column:
-    """Key of a synthetic row: for 64-bit numbers ``-(seed * 1000003 + copy)``, which no customer has,
-    for text the seed and the number; other types cannot hold it and get null."""
+    """Key of a synthetic row, from the ``name`` of its seed row and its number: for 64-bit numbers a negative one of 60
+    bits, taken from a hash, for text the name and the number; other types cannot hold it and get null."""
     if isinstance(kind, T.LongType):
-        return -(F.col("seed_key") * F.lit(1_000_003) + F.col("copy"))
+        digits = F.substring(F.md5(F.concat_ws("#", "name", "copy")), 1, 15)
+        return -(F.conv(digits, 16, 10).cast("bigint") + 1)
     if isinstance(kind, T.StringType):
-        return F.concat_ws("#", "seed_key", "copy")
+        return F.concat_ws("#", "name", "copy")
     return F.lit(None).cast(kind)
 
 
@@ -142,23 +180,26 @@ def smoten_oversample(
     df: DataFrame, features: Sequence[str] = FEATURES, k: int = 5, seed: int = 42, key: str = KEY,
     label: str = LABEL, **limits,
 ) -> DataFrame:
-    """The given rows and as many synthetic minority rows as bring both classes to parity.
+    """The given rows, and as many synthetic rows of every other class as bring it to the size of the largest.
 
-    A synthetic row's key names its seed row and the number of the copy (:func:`copy_key`).
-    Columns: key, features, label."""
+    A synthetic row's key is made from its seed row's and the number of the copy (:func:`copy_key`). Rows without a
+    label stay and count for no class. Columns: key, features, label."""
     counts = class_counts(df, label)
-    if len(counts) != 2:
+    if len(counts) < 2:
         raise ValueError(f"two classes needed, found {sorted(counts)}")
-    minority, majority = sorted(counts, key=lambda c: (counts[c], -c))
-    original = df.select(key, *features, label)
-    n_new = counts[majority] - counts[minority]
-    if n_new == 0:
-        return original
-    new = synthetic_rows(df, n_new, minority, features, k, seed, key, label, **limits)
-    return original.unionByName(
-        new.select(
-            copy_key(df.schema[key].dataType).alias(key),
-            *features,
-            F.lit(minority).cast(df.schema[label].dataType).alias(label),
+    balanced = df.select(key, *features, label)
+    largest = max(counts.values())
+    small = [c for c in sorted(counts, key=lambda c: (counts[c], -c)) if counts[c] < largest]
+    if not small:
+        return balanced
+    numbered = _numbered(df, features, _sorted_classes(df, label, small[0]), seed, key, label)
+    for minority in small:
+        new = _new_rows(numbered, largest - counts[minority], minority, features, k, **limits)
+        balanced = balanced.unionByName(
+            new.select(
+                copy_key(df.schema[key].dataType).alias(key),
+                *_as_columns(df, features),
+                F.lit(minority).cast(df.schema[label].dataType).alias(label),
+            )
         )
-    )
+    return balanced

@@ -340,6 +340,23 @@ def smoten_oversample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.smoten_oversample(model_input(featured(spark, sf_dir)))
 
 
+def smoten_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three classes brought to the size of the largest, by the distance summed over the classes."""
+    cls = F.when(F.col(LABEL) == 1, 2).when(F.col("NumOfProducts") <= 1, 1).otherwise(0)
+    rows = model_input(featured(spark, sf_dir)).withColumn("cls", cls)
+    return S.smoten_oversample(rows, label="cls")
+
+
+def oversample_then_smoten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Oversampled rows repeat their keys; synthetic rows make up what is missing. Rows of each class, and whether
+    all new keys differ."""
+    rows = model_input(featured(spark, sf_dir))
+    some = B.union_classes(C.filter_class(rows, 0), B.oversample(rows, 1, 0.6))
+    balanced = cut_lineage(S.smoten_oversample(some))
+    new = balanced.filter("CustomerId < 0").agg(F.count(F.lit(1)), F.count_distinct("CustomerId")).first()
+    return balanced.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("keys_differ", F.lit(new[0] == new[1] > 0))
+
+
 # --- neighbours ----------------------------------------------------------------------------
 
 
@@ -771,6 +788,8 @@ def queries() -> dict[str, Query]:
         "class_weights": class_weights,
         "union_classes": union_classes,
         "smoten_oversample": smoten_oversample,
+        "smoten_classes": smoten_classes,
+        "oversample_then_smoten": oversample_then_smoten,
         "smoten_then_folds": smoten_then_folds,
         "train_forest": _trained(M.train_forest, "double_and_halve"),
         "train_logistic": _trained(M.train_logistic, seed=0),

@@ -199,6 +199,9 @@ wide AS (SELECT CustomerId, Exited, [{', '.join(f'CAST({c} AS DOUBLE)' for c in
   FROM filled)"""
 
 
+_COPY_KEY = "-(1 + CAST('0x' || substr(md5(src || '#' || copy), 1, 15) AS BIGINT))"
+
+
 def _synthetic(source: str, seed: int) -> str:
     """CTEs up to ``spread``: the synthetic rows (vals) that bring ``source`` to parity."""
     return f"""
@@ -411,11 +414,34 @@ FROM accounts""",
         "union_classes": f"{ACCOUNTS} SELECT CustomerId, Exited FROM accounts WHERE Exited IN (0, 1)",
         "smoten_oversample": f"""{WIDE}, {_synthetic('wide', 42)}
 SELECT * FROM filled UNION ALL
-SELECT -(src * 1000003 + copy), 1,
+SELECT {_COPY_KEY}, 1,
   {', '.join(f'CAST(vals[{i}] AS {_type(c)})' for i, c in enumerate(FE_FEATURES, 1))}
 FROM spread""",
+        "smoten_classes": f"""{WIDE},
+three AS (SELECT CustomerId, CASE WHEN Exited = 1 THEN 2 WHEN vals[{FE_FEATURES.index('NumOfProducts') + 1}] <= 1 THEN 1 ELSE 0 END AS cls, vals FROM wide),
+cells AS MATERIALIZED (SELECT CustomerId, cls, unnest(range(1, 33)) AS f, unnest(vals) AS v FROM three),
+codes AS (SELECT f, v, avg((cls = 0)::INT) AS s0, avg((cls = 1)::INT) AS s1, avg((cls = 2)::INT) AS s2 FROM cells GROUP BY f, v),
+coded AS MATERIALIZED (SELECT CustomerId, cls, f, s0, s1, s2 FROM cells JOIN codes USING (f, v)),
+apart AS (SELECT cls, a.CustomerId AS src, b.CustomerId AS dst,
+    round(sqrt(sum(pow(abs(a.s0 - b.s0) + abs(a.s1 - b.s1) + abs(a.s2 - b.s2), 2))), 9) AS d
+  FROM coded a JOIN coded b USING (cls, f) WHERE a.CustomerId <> b.CustomerId GROUP BY ALL),
+near AS (SELECT src, dst FROM apart QUALIFY row_number() OVER (PARTITION BY src ORDER BY d, dst) <= 5),
+counted AS (SELECT src, f, v, count(*) AS n FROM near JOIN cells ON dst = CustomerId GROUP BY ALL),
+made AS (SELECT src, list(v ORDER BY f) AS vals FROM (
+  SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY src, f ORDER BY n DESC, v) = 1) GROUP BY src),
+sizes AS (SELECT cls, count(*) AS n_own, max(count(*)) OVER () - count(*) AS n_new FROM three GROUP BY cls),
+seeds AS (SELECT CustomerId AS src, cls, n_new // n_own + CASE WHEN row_number() OVER (PARTITION BY cls
+    ORDER BY CAST('0x' || substr(md5('42:' || CustomerId), 1, 15) AS BIGINT), CustomerId) <= n_new % n_own
+    THEN 1 ELSE 0 END AS copies FROM three JOIN sizes USING (cls)),
+spread AS (SELECT src, cls, vals, unnest(range(1, 1 + CAST(copies AS BIGINT))) AS copy FROM made JOIN seeds USING (src))
+SELECT CustomerId, CAST(cls AS INT) AS cls, {', '.join(f'CAST(vals[{i}] AS {_type(c)}) AS "{c}"' for i, c in enumerate(FE_FEATURES, 1))}
+FROM three UNION ALL
+SELECT {_COPY_KEY}, cls, {', '.join(f'CAST(vals[{i}] AS {_type(c)})' for i, c in enumerate(FE_FEATURES, 1))} FROM spread""",
+        "oversample_then_smoten": f"""{WIDE}
+SELECT Exited, count(*) AS n_rows, true AS keys_differ FROM (
+  SELECT 0 AS Exited FROM wide WHERE Exited = 0 UNION ALL SELECT 1 FROM wide WHERE Exited = 0) GROUP BY Exited""",
         "smoten_then_folds": f"""{WIDE}, {_synthetic('wide', 42)},
-every AS (SELECT CustomerId, Exited FROM wide UNION ALL SELECT -(src * 1000003 + copy), 1 FROM spread)
+every AS (SELECT CustomerId, Exited FROM wide UNION ALL SELECT {_COPY_KEY}, 1 FROM spread)
 SELECT CAST(CASE WHEN {_hash(42)} < '{threshold(1 / 3)}' THEN 0
   WHEN {_hash(42)} < '{threshold(2 / 3)}' THEN 1 ELSE 2 END AS INT) AS fold,
   Exited, count(*) AS n_rows FROM every GROUP BY ALL""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from attrition.operators import balance as B
 from attrition.operators import encode as E
 from attrition.operators.evaluate import auc_roc
 from attrition.operators.order_stats import exact_quantiles
+from attrition.operators.synthetic import smoten_oversample, synthetic_rows
 from attrition.plans import reports as R
 
 
@@ -92,3 +94,39 @@ def test_area_without_nan_and_over_ranges(spark):
     df = spark.createDataFrame([(float(i % 50), int(i % 7 > 3)) for i in range(500)] + [(math.nan, 1)], "score double, Exited int")
     whole = auc_roc(df, "score").first()[0]
     assert abs(whole - auc_roc(df, "score", rows_per_range=5).first()[0]) < 1e-12
+
+
+def test_synthetic_rows_with_repeated_large_negative_and_missing_keys(spark):
+    """Repeated keys (one of them a third of all rows), keys beyond 10^13, negative ones and null."""
+    rng = np.random.default_rng(8)
+    keys = [7] * 40 + [None] * 5 + [10**15 + i for i in range(30)] + [-(58_000_173 + i) for i in range(45)]
+    rows = [(k, float(rng.integers(0, 3)), float(rng.integers(0, 4)), int(i % 4 == 0)) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "CustomerId bigint, a double, b double, Exited int")
+    for kind in ("bigint", "string"):
+        given = df.withColumn("CustomerId", F.col("CustomerId").cast(kind))
+        balanced = smoten_oversample(given, ["a", "b"]).cache()
+        assert {r.Exited: r["count"] for r in balanced.groupBy("Exited").count().collect()} == {0: 90, 1: 90}
+        new = balanced.join(given.select("CustomerId").distinct(), "CustomerId", "left_anti").filter("CustomerId is not null")
+        assert new.count() == new.select("CustomerId").distinct().count() == 60
+
+
+def test_value_difference_over_three_classes(spark):
+    rng = np.random.default_rng(9)
+    n, names = 150, ["a", "b", "c"]
+    data, label = rng.integers(0, 4, (n, 3)).astype(float), rng.choice(3, n, p=[0.5, 0.3, 0.2])
+    rows = [(i, *map(float, data[i]), int(label[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "CustomerId bigint, a double, b double, c double, Exited int")
+    share = np.array([[[(label[data[:, f] == data[i, f]] == c).mean() for c in range(3)] for f in range(3)] for i in range(n)])
+    for cls, limits in ((1, {}), (2, {"block_rows": 6, "chunk_rows": 5})):
+        own = np.flatnonzero(label == cls)
+        expected = {}
+        for i in own:
+            d = np.round(np.sqrt((np.abs(share[own] - share[i]).sum(axis=2) ** 2).sum(axis=1)), 9)
+            d[own == i] = np.inf
+            near = own[np.lexsort((own, d))[:5]]
+            counted = [np.unique(data[near, f], return_counts=True) for f in range(3)]
+            expected[int(i)] = tuple(v[t.argmax()] for v, t in counted)
+        made = synthetic_rows(df, len(own), cls, names, **limits).collect()
+        assert {r.seed_key: (r.a, r.b, r.c) for r in made} == expected
+    counts = smoten_oversample(df, names).groupBy("Exited").count().collect()
+    assert len({r["count"] for r in counts}) == 1 and len(counts) == 3

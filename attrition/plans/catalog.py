@@ -18,6 +18,7 @@ from attrition.operators import balance as B
 from attrition.operators import descent as G
 from attrition.operators import encode as E
 from attrition.operators import evaluate as V
+from attrition.operators import group_stats as Y
 from attrition.operators import neighbors as K
 from attrition.operators import stats as Q
 from attrition.operators import synthetic as S
@@ -471,6 +472,13 @@ def box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def box_stats_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box statistics of thousands of groups: the lines of each part. The larger groups are narrowed, not sorted."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    found = Y.grouped_box_stats(lines, ["l_quantity", "l_extendedprice", "l_discount"], "l_partkey", small=32)
+    return _rounded(found, "q1", "median", "q3", "whisker_low", "whisker_high")
+
+
 # --- models --------------------------------------------------------------------------------
 
 
@@ -822,6 +830,7 @@ def queries() -> dict[str, Query]:
         "churn_share": _over_accounts(Q.churn_share),
         "iqr_summary": iqr_summary,
         "box_stats": box_stats,
+        "box_stats_of_parts": box_stats_of_parts,
         "prediction_counts": _over_ruled(R.prediction_counts),
         "churn_by_gender": _over_ruled(R.churn_by_gender, "churn_rate"),
         "credit_histogram": _over_ruled(R.credit_histogram, "bin_start", "bin_end"),

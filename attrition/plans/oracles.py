@@ -268,6 +268,19 @@ FROM accounts a JOIN (
 GROUP BY a.Exited"""
 
 
+def _part_box(column: str) -> str:
+    return f"""
+SELECT a.l_partkey, '{column}' AS feature, round(min(q1), 6) AS q1, round(min(q2), 6) AS median, round(min(q3), 6) AS q3,
+  round(least(min(q1), min({column}) FILTER ({column} >= low)), 6) AS whisker_low,
+  round(greatest(min(q3), max({column}) FILTER ({column} <= high)), 6) AS whisker_high,
+  count(*) FILTER ({column} < low OR {column} > high) AS n_outliers
+FROM lineitem a JOIN (
+  SELECT *, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high FROM (
+    SELECT l_partkey, quantile_cont({column}, 0.25) AS q1, quantile_cont({column}, 0.5) AS q2,
+      quantile_cont({column}, 0.75) AS q3 FROM lineitem GROUP BY l_partkey)) q ON a.l_partkey = q.l_partkey
+GROUP BY a.l_partkey"""
+
+
 def _report(source: str, low: str, high: str, prefix: str) -> dict[str, str]:
     """The prediction reports over a CTE that ends ``prefix``."""
     position = f"floor((CreditScore - {low}) / (({high} - {low}) / 30))"
@@ -534,6 +547,7 @@ FROM accounts GROUP BY Exited""",
         "iqr_summary": ACCOUNTS + " UNION ALL ".join(
             _iqr(c) for c in ("CreditScore", "Age", "NumOfProducts", "Balance", "EstimatedSalary")
         ),
+        "box_stats_of_parts": " UNION ALL ".join(_part_box(c) for c in ("l_quantity", "l_extendedprice", "l_discount")),
         "box_stats": ACCOUNTS + " UNION ALL ".join(_box(c) for c in _BOX_COLUMNS),
         # reports
         **_report(

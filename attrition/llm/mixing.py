@@ -2,15 +2,16 @@
 
 A source with n documents and the target share w of a mix of T documents is repeated at the mean
 rate w T / n. Each document gets a number of copies by inverting the Poisson distribution of that
-mean at a number in [0, 1) taken from the MD5 of the seed and the document's key: the same copies on
+mean at a number in [0, 1) taken from the MD5 of the seed and the document's key and text: the same copies on
 any partitioning and after any retry, and no state between documents. The copies are exploded and
-shuffled globally by a hash, so a source with any share of the rows is spread over all tasks.
+shuffled globally by a hash of key, text and copy, and of where the document was read, so a source, a key
+(or a missing one) or a text with any share of the rows is spread over all tasks.
 
 Rates above ``PART`` are drawn as a sum of several draws of equal mean, so no power of e underflows.
 
 Cases: a null source is a source of its own, with weight under the key None; sources without a
-target weight get none (rate 0) when weights are given; a null key is hashed as empty text; rows
-equal in key and source get the same number of copies; an empty table gives an empty mix; a null or
+target weight get none (rate 0) when weights are given; a null key or text is hashed as empty text; rows
+equal in key, source and text get the same number of copies, others draw apart even if their keys are equal; an empty table gives an empty mix; a null or
 empty text is a document like any other; a column named as the copy number is replaced.
 """
 
@@ -100,28 +101,33 @@ def mix_sources(
     key: str = "doc_id",
     source: str = "source",
     copy: str | None = None,
+    text: str = "text",
 ) -> DataFrame:
     """The mix, in random order; ``copy`` names a column for the number of each copy, from 1."""
     spark = docs.sparkSession
     rates = source_rates(docs, weights, temperature, epochs, source).drop("_docs")
     if rates.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         rates = F.broadcast(rates)
-    own, rate, n, number, order = (
-        fresh(docs, c) for c in ("_source", "_rate", "_n", "_copy", "_order")
+    own, rate, n, number, order, hashed, place = (
+        fresh(docs, c) for c in ("_source", "_rate", "_n", "_copy", "_order", "_name", "_place")
     )
     rates = rates.withColumnsRenamed({"_source": own, "_rate": rate})
-    name = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
+    own_text = F.md5(F.encode(F.col(f"`{text}`"), "utf-8")) if text in docs.columns else F.lit("")
+    name = F.concat_ws(":", F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), F.coalesce(own_text, F.lit("")))
     kept = without(docs, copy) if copy else without(docs)
     copies = (
         docs.join(rates, F.col(f"`{source}`").eqNullSafe(F.col(own)))
-        .withColumn(n, poisson(F.col(rate), name, seed))
+        .withColumn(hashed, name)
+        .withColumn(n, poisson(F.col(rate), F.col(hashed), seed))
         .where(F.col(n) > 0)
         .withColumn(number, F.explode(F.sequence(F.lit(1), F.col(n))))
-        .withColumn(order, F.md5(F.concat(F.lit(f"{seed}:order:"), name, F.lit(":"), F.col(number))))
-        .select(*kept, number, order)
+        .withColumn(order, F.md5(F.concat(F.lit(f"{seed}:order:"), F.col(hashed), F.lit(":"), F.col(number))))
+        # Rows that are equal in all respects would follow each other into one task.
+        .withColumn(place, F.monotonically_increasing_id() % 8191)
+        .select(*kept, number, order, place)
     )
     return (
-        copies.repartition(partitions(spark), order)
+        copies.repartition(partitions(spark), order, place)
         .sortWithinPartitions(order)
         .select(*kept, *([F.col(number).alias(copy)] if copy else []))
     )
@@ -142,8 +148,8 @@ c(source, rate, k, term, total) AS (
   UNION ALL SELECT source, rate, k + 1, term * rate / (k + 1), total + term * rate / (k + 1)
   FROM c WHERE k < {MOST - 1}),
 u AS (SELECT doc_id, source, md5(text) AS text_md5,
-  ('0x' || substr(md5('0:1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0 AS u
-  FROM documents),
+  ('0x' || substr(md5('0:1:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '')), 1, 13))::BIGINT
+    / 4503599627370496.0 AS u FROM documents),
 n AS (SELECT u.doc_id, u.source, u.text_md5, u.u, count(*) AS n FROM u
   JOIN c ON u.source IS NOT DISTINCT FROM c.source AND u.u >= c.total GROUP BY ALL)
 SELECT doc_id, source, unnest(range(1, n + 1))::INTEGER AS copy, text_md5 FROM n

@@ -214,7 +214,8 @@ def test_mixing_repeats_by_inverse_poisson(spark):
     got = Counter(tuple(r) for r in mixing.mix_sources(df, weights, epochs=8.0, seed=4).collect())
     want = Counter()
     for r in rows:
-        want[r] += poisson_copies(rate[r[1]], "" if r[0] is None else r[0], 4)
+        body = "" if r[2] is None else hashlib.md5(r[2].encode()).hexdigest()
+        want[r] += poisson_copies(rate[r[1]], f"{'' if r[0] is None else r[0]}:{body}", 4)
     assert got == +want
     share = sum(n for r, n in got.items() if r[1] == "small") / got.total()
     assert abs(share - 3 / 4.01) < 0.03 and max(rate.values()) > mixing.PART
@@ -228,3 +229,17 @@ def test_mixing_cases(spark):
     assert copies.columns == ["doc_id", "source", "copy"] and copies.agg(F.max("copy")).first()[0] > 1
     again = mixing.mix_sources(df.repartition(7), epochs=3.0, copy="copy").select(*copies.columns)
     assert Counter(map(tuple, again.collect())) == Counter(map(tuple, copies.collect()))
+
+
+def test_mixing_spreads_a_hot_key(spark):
+    """A third of the rows has one key, a third none, and a ninth is one row again and again."""
+    rows = [(7, "a", f"text {i}") for i in range(3000)] + [(None, "a", f"other {i}") for i in range(3000)]
+    rows += [(i, "b", f"own {i}") for i in range(2000)] + [(8, "b", "same")] * 1000
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(8)
+    mix = mixing.mix_sources(df, {"a": 1.0, "b": 1.0}, epochs=2.0)
+    sizes = [r["count"] for r in mix.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 1.3 * sum(sizes) / len(sizes)
+    draws = Counter(r["count"] for r in mix.where("doc_id = 7").groupBy("text").count().collect())
+    assert len(draws) > 3
+    share = mix.where("source = 'a'").count() / sum(sizes)
+    assert abs(share - 0.5) < 0.06

@@ -5,7 +5,8 @@ two vectors is the weight of the pair, so an insult next to a group's name can c
 both alone. With s the sum of a document's vectors, all pairs cost no more than one pass:
 ``(|s|^2 - sum |v|^2) / 2``.
 
-The model is fitted on a sample of the labelled rows, bounded by ``max_rows``: terms are hashed on
+The model is fitted on a sample of the labelled rows, bounded by ``max_rows`` documents and ``max_terms`` of their
+distinct terms together: of each key one text is taken, terms are hashed on
 the cluster, and index arrays come to the driver, where minibatches with adaptive steps run. Terms
 that occur fewer than ``MIN_DOCS`` times, or on which the label does not depend, have no weight. Five
 machines, each fitted without a fifth of the sample, calibrate the scores to probabilities. Every
@@ -13,8 +14,8 @@ document of the table is scored whole, batch by batch, in one pass without a shu
 a fixed size (about 10 MB) and travels with the tasks.
 
 Cases: null and empty texts have no terms and get the model's base score; a null key is no row of
-the sample and counts as not held out; rows repeated in the labels are one label, contradicting ones
-count as toxic; without labelled rows every score is 0; extra columns are ignored by the report and
+the sample and counts as not held out; of documents that share a key, the text with the smallest hash is
+learnt from and all are scored; rows repeated in the labels are one label, contradicting ones count as toxic; without labelled rows every score is 0; extra columns are ignored by the report and
 kept by the filter.
 """
 
@@ -29,12 +30,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm.common import fresh, read, without, words_of
+from attrition.llm.common import fresh, read, without, words_of, written
 
 SLOTS, FACTORS, MIN_DOCS, LEAST_RATIO = 1 << 18, 8, 3, 12.0
 PAIR_SCALE, STEPS, FOLDS = 1.0, 2000, 5
 THRESHOLD = 0.7
-MAX_ROWS = 20_000
+MAX_ROWS, MAX_TERMS = 20_000, 40_000_000
 
 
 def terms(text: str | None) -> np.ndarray:
@@ -208,9 +209,10 @@ def train_machine(
     text: str = "text",
     label: str = "toxic",
     max_rows: int = MAX_ROWS,
+    max_terms: int = MAX_TERMS,
 ) -> Machine | None:
-    """Fit on the labelled rows that are not held out, on about ``max_rows`` of them at most, chosen
-    by a hash of the key. None without such rows."""
+    """Fit on the labelled rows that are not held out, on about ``max_rows`` of them at most, which have about ``max_terms``
+    distinct terms at most, chosen by a hash of the key. None without such rows."""
     named = F.col(f"`{key}`")
     marks = (
         labels.where(named.isNotNull() & F.col(label).isNotNull() & ~held_out(named))
@@ -221,14 +223,21 @@ def train_machine(
     if n > max_rows:
         share = F.pmod(F.xxhash64("_key"), F.lit(1 << 30)) / float(1 << 30)
         marks = marks.where(share < max_rows / n)
-    sample = (
-        docs.select(named.alias("_id"), F.col(f"`{text}`").alias("text"))
+    body = F.col(f"`{text}`")
+    # One text for each key; the others shrink away before the shuffle.
+    texts = (
+        docs.select(named.alias("_id"), body.alias("text"))
         .join(marks, F.col("_id") == F.col("_key"))
-        .select("_id", "toxic", "text")
-        .mapInPandas(_term_frames, "_id string, toxic int, slots binary")
-        .toPandas()
-        .sort_values(["_id", "slots"])
+        .groupBy("_id")
+        .agg(F.max("toxic").alias("toxic"), F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("_one"))
+        .select("_id", "toxic", "_one.text")
     )
+    rows = written(texts.mapInPandas(_term_frames, "_id string, toxic int, slots binary"), "toxicity-sample")
+    held = (rows.agg(F.sum(F.octet_length("slots"))).first()[0] or 0) / 4
+    if held > max_terms:
+        share = F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
+        rows = rows.where(share < max_terms / held)
+    sample = rows.toPandas().sort_values(["_id", "slots"])
     if not len(sample):
         return None
     documents = [np.frombuffer(b, np.int32) for b in sample["slots"]]

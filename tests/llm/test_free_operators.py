@@ -294,6 +294,20 @@ def test_toxicity_cases(spark):
     assert toxicity.toxicity_report(df.limit(0), labels).count() == 0
 
 
+def test_toxicity_learns_from_a_bounded_sample(spark, monkeypatch):
+    """One key with thousands of texts, and texts with very many terms."""
+    seen = []
+    fit = toxicity.fit_machine
+    monkeypatch.setattr(toxicity, "fit_machine", lambda d, y, *a: seen.append([len(x) for x in d]) or fit(d, y, *a))
+    key = next(k for k in range(99) if crc32(str(k).encode()) % 3 != 1)
+    rows = [(key, f"text {i} of one key") for i in range(5000)] + [(k, " ".join(f"w{k}x{i}" for i in range(400))) for k in range(1000, 1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in {k for k, _ in rows}], "doc_id long, toxic int")
+    assert toxicity.toxicity_report(df, labels, max_rows=1000, max_terms=20_000).count() == len(rows)
+    toxicity.train_machine(df, labels)
+    assert len(seen[0]) < 100 and sum(seen[0]) < 30_000 and len(seen[1]) < 201 and min(seen[1]) <= 5
+
+
 # --- secrets
 
 

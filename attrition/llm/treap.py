@@ -44,9 +44,9 @@ from attrition.llm.common import WORD, WORD_BYTES, give_back, read, words, words
 from attrition.sources.scratch import shared_dir
 
 TOP = 20
-SHARD_POSTINGS = 2_000_000
+SHARD_POSTINGS = 1_000_000
 #: Characters that are counted together; a longer text is a part of its own.
-TOGETHER = 4_000_000
+TOGETHER = 1_000_000
 #: Terms of all items that are searched for together.
 BLOCK = 200_000
 WIDTH = 256
@@ -91,9 +91,9 @@ class Treap:
         code = spread(rows) << np.uint64(1) | spread(columns)
         order = np.argsort(code)
         code, impacts = code[order], impacts[order].astype(np.int32)
-        place = np.arange(len(code))
+        place = np.arange(len(code), dtype=np.int32)
         children, greatest, postings = [], [], []
-        owner = np.zeros(len(code), np.int64)  # the cell of the level above, among those that are cut
+        owner = np.zeros(len(code), np.int32)  # the cell of the level above, among those that are cut
         for level in range(bits + 1):
             if not len(place):
                 break
@@ -110,7 +110,7 @@ class Treap:
             # A mark for now; the children come with the next level.
             children.append((sizes > 1).astype(np.uint8))
             inner = np.repeat(sizes > 1, sizes)
-            owner = (np.cumsum(new & inner) - 1)[inner]
+            owner = (np.cumsum(new & inner, dtype=np.int32) - 1)[inner]
             place = place[inner]
         at = order[np.concatenate([*postings, np.zeros(0, np.int64)])]
         join = lambda parts, kind: np.concatenate([*parts, np.zeros(0, kind)]).astype(kind)
@@ -244,7 +244,7 @@ class _Shard:
         both = document * max(len(coded.dictionary), 1) + coded.indices.to_numpy()
         pairs, tf = np.unique(both, return_counts=True)
         document, term = np.divmod(pairs, max(len(coded.dictionary), 1))
-        self.codes.append(np.stack([term, document + len(self.keys), tf]))
+        self.codes.append(np.stack([term, document + len(self.keys), tf]).astype(np.int32))
         self.terms.append(coded.dictionary)
         self.lengths.append(counts)
         self.keys += keys
@@ -254,20 +254,22 @@ class _Shard:
         merged = pa.chunked_array(self.terms, pa.large_binary()).combine_chunks()
         coded = (merged if isinstance(merged, pa.Array) else merged.chunk(0)).dictionary_encode()
         offsets = np.cumsum([0, *map(len, self.terms)])
-        codes = coded.indices.to_numpy().astype(np.int64)
+        codes = coded.indices.to_numpy()
         term = np.concatenate([codes[o + c[0]] for o, c in zip(offsets, self.codes)])
         document = np.concatenate([c[1] for c in self.codes])
         tf = np.concatenate([c[2] for c in self.codes])
+        self.codes.clear()
         # Columns ascend by key, documents without one come last; rows go from the most frequent term to the rarest.
         order = sorted(range(len(self.keys)), key=lambda i: (self.keys[i] is None, self.keys[i] or 0))
-        column = np.empty(len(order), np.int64)
+        column = np.empty(len(order), np.int32)
         column[order] = np.arange(len(order))
         holders = np.bincount(term, minlength=len(coded.dictionary))
         by = np.argsort(-holders, kind="stable")
-        row = np.empty(len(by), np.int64)
+        row = np.empty(len(by), np.int32)
         row[by] = np.arange(len(by))
         lengths = np.concatenate(self.lengths)
-        impacts = impact(tf.astype(np.int64), lengths[document], documents, every)
+        impacts = impact(tf.astype(np.int64), lengths[document], documents, every).astype(np.int32)
+        del tf
         grid = Treap.of(row[term], column[document], impacts)
         return (
             part, number, int((lengths > 0).sum()), [self.keys[i] for i in order],

@@ -592,7 +592,14 @@ SELECT CustomerId, Exited, true AS is_class, true AS beats_chance FROM fe WHERE
         "tune": """
 SELECT 'maxDepth=' || d || ', numTrees=' || n AS setting, true AS better_than_chance, true AS has_winner
 FROM (SELECT unnest([5, 10]) AS d), (SELECT unnest([50, 100]) AS n)""",
-        "tune_save_report": "SELECT true AS accuracy, true AS auc, true AS macro_recall",
+        "tune_save_report": "SELECT 1.0e0 AS accuracy, 1.0e0 AS auc, 1.0e0 AS macro_recall",
+        "svm_calibrated": f"""{FEATURED},
+drawn AS (SELECT 1 / (1 + exp((45 - Age) / 6.0e0)) AS chance,
+  ('0x' || substr(md5('9:' || CustomerId), 1, 8))::BIGINT / 4294967296.0e0 AS u FROM fe)
+SELECT CAST(least(floor(chance * 4), 3) AS INT) AS bin, count(*) AS n_rows, round(avg((u < chance)::INT), 6) AS rate,
+  true AS platt_near, true AS isotonic_near FROM drawn GROUP BY bin""",
+        "sink_ledger": _fe("SELECT unnest(['first', 'second']) AS sink, CustomerId, 1::BIGINT AS n_rows FROM fe"),
+        "dead_letters_replayed": _fe("SELECT CustomerId, 1::BIGINT AS n_rows FROM fe"),
         "save_and_load_model": _fe("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM fe"),
         "score_with": _fe("SELECT CustomerId, CASE WHEN Age >= 50 THEN 1.0e0 ELSE 0.0e0 END AS ChurnPrediction FROM fe"),
         "scale_with": f"{FEATURED} {_long(('CreditScore', 'Age', 'Balance'), 'fe', '({c} - 10) / 4')}",

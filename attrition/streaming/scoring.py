@@ -20,6 +20,7 @@ from attrition.sources.database import last_per_key, write_jdbc
 from attrition.sources.messages import CORRUPT, decode_json, write_topic
 from attrition.sources.scratch import pinned
 from attrition.streaming.latest import keyed_state, newest_records
+from attrition.streaming.ledger import Ledger
 
 log = logging.getLogger(__name__)
 
@@ -209,6 +210,7 @@ def start_scoring(
     keep: Sequence[str] = (),
     newest_by: str | Sequence[str] | None = None,
     ttl: str | None = None,
+    ledger: Ledger | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Score a message stream into ``sinks``. Row counts of each batch are in the query's progress
@@ -216,7 +218,11 @@ def start_scoring(
 
     ``newest_by`` names kept columns that order the messages, such as timestamp and offset: of each customer
     only records that are newer than all before them are passed on, see :func:`newest_records`. Broken messages
-    have no customer; they need a query of their own then."""
+    have no customer; they need a query of their own then.
+
+    With a ``ledger``, a batch that is repeated after a failure skips the sinks that had finished it."""
+    if ledger is not None:
+        sinks = {name: ledger.once(name, sink) for name, sink in sinks.items()}
     scored = score_stream(source, model, compat=compat, keep_corrupt=newest_by is None, keep=keep)
     if newest_by is not None:
         if broken is not None:

@@ -3,7 +3,8 @@
 The join compares text blocks with the word sets of license templates. A block is a window of twice
 ``stride`` words that starts at a multiple of ``stride``; a passage of up to ``stride`` words, and so
 every template, lies whole in some block. A block contains a template if it has at least the share
-``threshold`` of the template's words. The words of a template are ordered from the rarest in the
+``threshold`` of the template's words, and all of them if they are fewer than ``ALL_BELOW``: in a short
+sentence the one word that is missing may be the license's name. The words of a template are ordered from the rarest in the
 corpus to the most frequent. A block that has enough of them has one of the first ``size - need + 1``
 (prefix filter), so only these rare words are looked up; a candidate is dropped if the words of the
 template from there on, or the words of the block, are too few (positional and length filter). All
@@ -51,6 +52,8 @@ TEMPLATES = [
     ("this is free and unencumbered software released into the public domain", "unlicense"),
 ]
 THRESHOLD = 0.8
+#: Templates of fewer distinct words have to be there whole.
+ALL_BELOW = 10
 #: Lookup tables are broadcast up to this number of rows.
 BROADCAST_ROWS = 200_000
 
@@ -113,7 +116,11 @@ def ordered_templates(
         .withColumn("_place", F.row_number().over(order) - 1)
         .withColumn("_size", F.count("*").over(whole))
         .withColumn("_tokens", F.collect_list("_token").over(whole))
-        .withColumn("_need", F.ceil(F.col("_size") * F.lit(threshold) - 1e-9).cast("int"))
+        .withColumn(
+            "_need",
+            F.when(F.col("_size") < ALL_BELOW, F.col("_size"))
+            .otherwise(F.ceil(F.col("_size") * F.lit(threshold) - 1e-9)).cast("int"),
+        )
         .where("_place <= _size - _need")
         .drop("_frequency")
     )
@@ -154,9 +161,13 @@ def license_blocks(
             "label",
             (F.col("_block") * stride).alias("first_word"),
             F.least(F.size("_words"), F.col("_block") * stride + 2 * stride).alias("end_word"),
-            (F.size(F.array_intersect("_window", "_tokens")) / F.col("_size")).alias("containment"),
+            F.size(F.array_intersect("_window", "_tokens")).alias("_shared"),
+            "_size",
+            "_need",
         )
-        .where(F.col("containment") >= threshold - 1e-9)
+        .where(F.col("_shared") >= F.col("_need"))
+        .withColumn("containment", F.col("_shared") / F.col("_size"))
+        .drop("_shared", "_size", "_need")
         .distinct()
     )
 
@@ -216,11 +227,16 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def needed(size: int, threshold: float = THRESHOLD) -> int:
+    """How many of a template's distinct words a block must have."""
+    return size if size < ALL_BELOW else math.ceil(size * threshold - 1e-9)
+
+
 def oracle() -> str:
     """Every block against every template, without filters."""
     stride = max(len(t.split(" ")) for t, _ in TEMPLATES)
     values = ", ".join(
-        f"('{label}', {sorted(set(text.split(' ')))!r}, {math.ceil(len(set(text.split(' '))) * THRESHOLD - 1e-9)})"
+        f"('{label}', {sorted(set(text.split(' ')))!r}, {needed(len(set(text.split(' '))))})"
         for text, label in TEMPLATES
     )
 

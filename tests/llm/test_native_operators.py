@@ -78,7 +78,8 @@ def blocks(text, templates, threshold, stride):
         have = set(w[i : i + 2 * stride])
         for n, (t, label) in enumerate(templates):
             tokens = set(t.split(" "))
-            if len(have & tokens) >= math.ceil(threshold * len(tokens) - 1e-9):
+            need = len(tokens) if len(tokens) < 10 else math.ceil(threshold * len(tokens) - 1e-9)
+            if len(have & tokens) >= need:
                 out.add((n, label, i, round(len(have & tokens) / len(tokens), 9)))
     return out
 
@@ -123,6 +124,14 @@ def test_license_blocks_equal_brute_force(spark):
     assert by_label == want
 
 
+def test_short_sentences_need_their_telling_word(spark):
+    texts = ["Released under the BSD license", "released under the apache license", "released under the MIT license.",
+             "licensed under the apache license version 1 0", "licensed under the Apache License, Version 2.0"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.labels for r in license_scan.scan_licenses(df).orderBy("doc_id").collect()]
+    assert got == ["", "", "mit", "", "apache-2"]
+
+
 def test_license_phrases_and_empty_table(spark):
     df = spark.createDataFrame(
         [(1, "x CC-BY-NC, cc by nc"), (2, "under The MIT license"), (3, None)], "doc_id long, text string"

@@ -8,7 +8,8 @@ both alone. With s the sum of a document's vectors, all pairs cost no more than
 The model is fitted on a sample of the labelled rows, bounded by ``max_rows`` documents and ``max_terms`` of their
 distinct terms together: of each key one text is taken, terms are hashed on
 the cluster, and index arrays come to the driver, where minibatches with adaptive steps run. Terms
-that occur fewer than ``MIN_DOCS`` times, or on which the label does not depend, have no weight. Five
+that occur fewer than ``MIN_DOCS`` times, or on which the label does not depend, neither alone nor together with
+another one, have no weight. Five
 machines, each fitted without a fifth of the sample, calibrate the scores to probabilities. Every
 document of the table is scored whole, batch by batch, in one pass without a shuffle; the model has
 a fixed size (about 10 MB) and travels with the tasks.
@@ -34,6 +35,9 @@ from attrition.llm.common import fresh, read, without, words_of, written
 
 SLOTS, FACTORS, MIN_DOCS, LEAST_RATIO = 1 << 18, 8, 3, 12.0
 PAIR_SCALE, STEPS, FOLDS = 1.0, 2000, 5
+#: Pairs are looked for among so many terms, those most frequent in toxic rows of the sample; a pair counts if it occurs in so
+#: many of them and its likelihood ratio is so much above those of its terms. There are some 500,000 pairs to try.
+PAIR_TERMS, PAIR_DOCS, PAIR_RATIO = 1024, 8, 40.0
 THRESHOLD = 0.7
 MAX_ROWS, MAX_TERMS = 20_000, 40_000_000
 
@@ -100,26 +104,58 @@ def _platt(raw: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(theta[0], 1e-3)), float(theta[1])
 
 
-def informative(documents: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Values of terms: 1 where the label depends on the term (likelihood ratio above ``LEAST_RATIO``), else
-    0. A text has hundreds of words and a rare one seldom tells anything; with all of them, a
-    machine learns documents by heart."""
-    each = np.repeat(labels, [len(d) for d in documents])
-    slots = np.concatenate([*documents, np.zeros(0, np.int32)]).astype(np.int64)
-    n = np.bincount(slots, minlength=SLOTS).astype(float)
-    toxic = np.bincount(slots, each, SLOTS)
-    all_n, all_toxic = float(len(labels)), float(labels.sum())
+def _ratios(n: np.ndarray, toxic: np.ndarray, all_n: float, all_toxic: float) -> np.ndarray:
+    """Likelihood ratio of the label with an event that ``n`` documents have, ``toxic`` of them toxic."""
 
     def part(observed, expected):
         return np.where(observed > 0, observed * np.log(np.maximum(observed, 1e-12) / np.maximum(expected, 1e-12)), 0)
 
     share = all_toxic / max(all_n, 1)
     without_n, without_toxic = all_n - n, all_toxic - toxic
-    ratio = 2 * (
+    return 2 * (
         part(toxic, n * share) + part(n - toxic, n * (1 - share))
         + part(without_toxic, without_n * share) + part(without_n - without_toxic, without_n * (1 - share))
     )
-    return ((n >= MIN_DOCS) & (ratio >= LEAST_RATIO)).astype(np.float32)
+
+
+def informative(documents: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Values of terms: 1 where the label depends on the term (likelihood ratio above ``LEAST_RATIO``) or on a pair with
+    it, else 0. A text has hundreds of words and a rare one seldom tells anything; with all of them, a
+    machine learns documents by heart."""
+    each = np.repeat(labels, [len(d) for d in documents])
+    slots = np.concatenate([*documents, np.zeros(0, np.int32)]).astype(np.int64)
+    n = np.bincount(slots, minlength=SLOTS).astype(float)
+    toxic = np.bincount(slots, each, SLOTS)
+    ratio = _ratios(n, toxic, float(len(labels)), float(labels.sum()))
+    values = ((n >= MIN_DOCS) & (ratio >= LEAST_RATIO)).astype(np.float32)
+    values[telling_together(documents, labels, toxic, ratio)] = 1
+    return values
+
+
+def telling_together(documents: list[np.ndarray], labels: np.ndarray, toxic: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    """Slots of the pairs that go with toxic rows more than their terms do alone, such as two words that are harmless each."""
+    terms = np.flatnonzero(toxic >= PAIR_DOCS)
+    terms = np.sort(terms[np.argsort(-toxic[terms], kind="stable")[:PAIR_TERMS]])
+    if len(terms) < 2:
+        return terms[:0]
+    place = np.full(SLOTS, -1)
+    place[terms] = np.arange(len(terms))
+    both = np.zeros((2, len(terms), len(terms)))
+    for label in (0, 1):
+        own = [place[d] for d, y in zip(documents, labels) if int(y) == label]
+        for i in range(0, len(own), 2048):
+            rows = own[i : i + 2048]
+            table = np.zeros((len(rows), len(terms)), np.float32)
+            at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+            column = np.concatenate(rows)
+            table[at[column >= 0], column[column >= 0]] = 1
+            both[label] += table.T @ table
+    pair = _ratios(both.sum(0), both[1], float(len(labels)), float(labels.sum()))
+    more = both[1] * len(labels) > both.sum(0) * labels.sum()
+    own = ratio[terms]
+    good = (both[1] >= PAIR_DOCS) & more & (pair >= PAIR_RATIO + own[:, None] + own[None, :])
+    np.fill_diagonal(good, False)
+    return terms[good.any(1)]
 
 
 def fit_machine(

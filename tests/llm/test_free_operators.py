@@ -283,6 +283,37 @@ def test_machine_learns_a_pair():
     assert score(1, 2) > 0.7 > 0.3 > max(score(1), score(2))
 
 
+def test_machine_learns_a_pair_of_harmless_words():
+    """Each of two words is as frequent in clean rows as in toxic ones; only rows with both are toxic, or with an insult."""
+    rng = np.random.default_rng(1)
+    docs, labels = [], []
+    for i in range(3000):
+        toxic, own = i % 3 == 0, set(rng.integers(100, 400, 6).tolist())
+        own |= ({1, 2} if rng.random() < 0.5 else {3}) if toxic else {int(rng.integers(1, 3))}
+        docs.append(np.array(sorted(own), np.int32))
+        labels.append(int(toxic))
+    values = toxicity.informative(docs, np.array(labels, float))
+    assert values[[1, 2, 3]].tolist() == [1, 1, 1] and values.sum() < 12
+    model = toxicity.fit_machine(docs, np.array(labels), epochs=25)
+    score = lambda *t: model.scores(np.array(t), np.array([len(t)]))[0]
+    assert min(score(1, 2), score(3)) > 0.7 > 0.3 > max(score(1), score(2))
+
+
+def test_scores_equal_the_sum_over_all_pairs():
+    rng = np.random.default_rng(2)
+    n, k = toxicity.SLOTS, toxicity.FACTORS
+    model = toxicity.Machine(-0.3, rng.normal(size=n).astype(np.float32), rng.normal(size=(n, k)).astype(np.float32), (rng.random(n) < 0.6).astype(np.float32), 1.7, 0.2)
+    docs = [np.sort(rng.choice(n, m, replace=False)) for m in (0, 1, 2, 17, 60)]
+    got = model.scores(np.concatenate(docs).astype(np.int64), np.array([len(d) for d in docs]))
+    for d, score in zip(docs, got):
+        known = [s for s in d if model.values[s]]
+        raw = model.bias + sum(float(model.weights[s]) for s in known)
+        for i, a in enumerate(known):
+            for b in known[:i]:
+                raw += float(model.factors[a].astype(float) @ model.factors[b].astype(float)) / len(known)
+        assert abs(score - 1 / (1 + np.exp(-(1.7 * raw + 0.2)))) < 1e-6
+
+
 def test_toxicity_cases(spark):
     df = spark.createDataFrame([(None, "idiot", 1), (1, None, 1), (2, "", 1), (3, "x " * 50000, 1), (3, "y", 1)], "doc_id long, text string, score int")
     labels = spark.createDataFrame([(1, 0), (2, None), (3, 1), (3, 0), (None, 1)], "doc_id long, toxic int")

@@ -102,8 +102,12 @@ def learn(
     text: str = "text",
     lang: str = "lang",
     max_rows: int = MAX_ROWS,
+    max_words: int = MAX_WORDS,
+    max_grams: int = MAX_GRAMS,
+    min_count: int = MIN_COUNT,
 ) -> Frequencies:
-    """Count words and n-grams of rows with a language that are not held out."""
+    """Count words and n-grams of rows with a language that are not held out, of about ``max_rows`` at most. The model, which goes
+    to every task, keeps the ``max_words`` and ``max_grams`` most frequent that occur ``min_count`` times."""
     named = F.col(f"`{key}`")
     rows = docs.where(
         named.isNotNull() & F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull() & ~held_out(named)
@@ -132,7 +136,7 @@ def learn(
         return (
             table.groupBy(*by)
             .agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("counts"))
-            .where(F.col("total") >= MIN_COUNT)
+            .where(F.col("total") >= min_count)
             .orderBy(F.desc("total"), *by)
             .limit(limit)
             .collect()
@@ -148,14 +152,14 @@ def learn(
             for x in languages
         )
 
-    known = most(words, ["word"], MAX_WORDS)
+    known = most(words, ["word"], max_words)
     kept_words = {r.word: logs(r.counts, totals, len(known)) for r in known}
     kept_grams: list[dict] = [{} for _ in range(LONGEST)]
     per_size = {
         (r.lang, r["size"]): r.n
         for r in grams.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()
     }
-    known = most(grams, ["size", "gram"], MAX_GRAMS)
+    known = most(grams, ["size", "gram"], max_grams)
     entries = Counter(r["size"] for r in known)
     for r in known:
         all_of = {x: per_size.get((x, r["size"]), 0) for x in languages}

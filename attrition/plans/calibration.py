@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from attrition.functions.columns import drop_intermediate
 from attrition.functions.hashing import key_or_row
 from attrition.operators.balance import split_part
+from attrition.plans.models import few_tasks
 from attrition.schemas import FEATURES, KEY, LABEL, PREDICTION
 from attrition.sources.scratch import cut_lineage, pinned
 
@@ -42,11 +43,12 @@ def cross_fitted_margins(
     scored = None
     with pinned(df.withColumn("_fold", fold)) as rows:
         for i in range(folds):
-            rest = rows.filter(F.col("_fold") != i).drop("_fold")
-            if rest.select(label).distinct().limit(2).count() < 2:
-                continue
-            part = _sliced().transform(train(rest).transform(rows.filter(F.col("_fold") == i)))
-            part = cut_lineage(part.select(F.col(label).cast("int").alias(label), MARGIN))
+            # Kept for the steps of the fit, each of which is a job.
+            with pinned(rows.filter(F.col("_fold") != i).drop("_fold")) as rest:
+                if rest.select(label).distinct().limit(2).count() < 2:
+                    continue
+                part = _sliced().transform(train(rest).transform(rows.filter(F.col("_fold") == i)))
+                part = cut_lineage(part.select(F.col(label).cast("int").alias(label), MARGIN))
             scored = part if scored is None else scored.unionByName(part)
     if scored is None:
         raise ValueError("a calibration needs rows of both classes in several folds")
@@ -73,13 +75,15 @@ def train_calibrated(
         target = F.when(F.col(label) == 1, high).otherwise(low)
         both = F.array(F.struct(F.lit(1).alias("y"), target.alias("w")), F.struct(F.lit(0).alias("y"), (1 - target).alias("w")))
         soft = margins.select(MARGIN, F.explode(both).alias("_t")).select(MARGIN, "_t.y", "_t.w")
-        curve = LogisticRegression(
-            featuresCol=MARGIN, labelCol="y", weightCol="w", predictionCol="calibrated_class",
-            probabilityCol=CURVE, rawPredictionCol="calibrated_raw",
-        ).fit(soft)
+        with pinned(soft) as kept:
+            curve = LogisticRegression(
+                featuresCol=MARGIN, labelCol="y", weightCol="w", predictionCol="calibrated_class",
+                probabilityCol=CURVE, rawPredictionCol="calibrated_raw",
+            ).fit(few_tasks(kept))
     else:
         raise ValueError(f"unknown method {method}")
-    return PipelineModel([*train(df).stages, _sliced(), curve])
+    with pinned(df) as rows:
+        return PipelineModel([*train(rows).stages, _sliced(), curve])
 
 
 def predict_probability(

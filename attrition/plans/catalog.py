@@ -547,12 +547,13 @@ def svm_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cut_lineage(_chance_rows(spark, sf_dir).select("CustomerId", "Age", LABEL))
     rows = rows.withColumn("Age", F.col("Age").cast("double"))
     chance = 1 / (1 + F.exp((45 - F.col("Age")) / F.lit(6.0)))
-    train = lambda df: M.train_linear_svm(df, features=["Age"], reg=0.01)
+    train = lambda df: M.train_linear_svm(df, max_iter=30, features=["Age"], reg=0.01)
     scored = rows
     for method in ("platt", "isotonic"):
         model = H.train_calibrated(rows, train, method, folds=3)
         scored = H.predict_probability(model, scored, f"{method}_class", method)
-    near = lambda c: F.abs(F.avg(c) - F.avg(chance)) < 0.15
+    # What a few dozen customers do says little about their chances.
+    near = lambda c: (F.count(c) < 50) | (F.abs(F.avg(c) - F.avg(chance)) < 0.15)
     return scored.groupBy(F.least(F.floor(chance * 4), F.lit(3)).cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.round(F.avg(LABEL), DIGITS).alias("rate"),
         near("platt").alias("platt_near"), near("isotonic").alias("isotonic_near"),

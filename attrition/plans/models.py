@@ -75,7 +75,7 @@ def train_forest(
     return model_pipeline(forest(**params), features).fit(df)
 
 
-def _compact(df: DataFrame) -> DataFrame:
+def few_tasks(df: DataFrame) -> DataFrame:
     """Few tasks for few rows: each step of a linear model is a job over all partitions. Only a
     kept table is counted, for any other that would be a pass of its own."""
     if df.storageLevel == StorageLevel.NONE:
@@ -88,7 +88,7 @@ def train_logistic(
     features: Sequence[str] = FEATURES,
 ) -> PipelineModel:
     """Class-weighted logistic regression. The weights are computed here if ``df`` has none."""
-    df = _compact(df)
+    df = few_tasks(df)
     if weight_col and weight_col not in df.columns:
         df = class_weights(df, label, weight_col)
     classifier = LogisticRegression(featuresCol=SCALED, labelCol=label, maxIter=max_iter)
@@ -102,12 +102,12 @@ def train_linear_svm(
     features: Sequence[str] = FEATURES,
 ) -> PipelineModel:
     classifier = LinearSVC(featuresCol=SCALED, labelCol=label, maxIter=max_iter, regParam=reg)
-    return model_pipeline(classifier, features).fit(_compact(df))
+    return model_pipeline(classifier, features).fit(few_tasks(df))
 
 
 def _on_population_scale(
     df: DataFrame, make: Callable[[int], list], features: Sequence[str], key: str, label: str,
-    balance: bool, seed: int, few_tasks: bool = True,
+    balance: bool, seed: int, compact: bool = True,
 ) -> PipelineModel:
     """Scale by the population deviation of the given rows, bring the classes to parity with
     synthetic rows, then fit ``make(number of rows)``. Scaling keeps equal values equal and their
@@ -117,7 +117,7 @@ def _on_population_scale(
     rows = smoten_oversample(df, names, seed=seed, key=key, label=label) if balance else df
     assembler = VectorAssembler(inputCols=[f"{c}_scaled" for c in names], outputCol=SCALED)
     with pinned(assembler.transform(scaler.transform(rows)).select(SCALED, label)) as ready:
-        fitted = Pipeline(stages=make(ready.count())).fit(_compact(ready) if few_tasks else ready)
+        fitted = Pipeline(stages=make(ready.count())).fit(few_tasks(ready) if compact else ready)
     return PipelineModel([scaler, assembler, *fitted.stages])
 
 
@@ -146,7 +146,7 @@ def train_forest_default(
     that Spark's trees allow."""
     return _on_population_scale(
         df, lambda n: [forest(100, max_depth, seed=seed, label=label)],
-        features, key, label, balance, seed, few_tasks=False,
+        features, key, label, balance, seed, compact=False,
     )
 
 

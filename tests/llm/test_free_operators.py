@@ -253,6 +253,42 @@ def test_language_cases(spark):
     assert {r.lang_pred for r in language_id.identify(df, nothing).collect()} == {"und"}
 
 
+def test_language_equals_loops_over_all_grams(spark):
+    rng = random.Random(14)
+    stems = {"en": ["the", "cat", "night", "over"], "de": ["der", "katze", "nacht", "über"], "fr": ["le", "chat", "nuit", "sûr"]}
+    rows = [(i, " ".join(rng.choice(stems[x]) + rng.choice(("", "s", "en")) for _ in range(rng.randint(1, 9))), x) for i in range(120) for x in [rng.choice(list(stems))]]
+    rows += [(500, "Xyzzy qqq", "fr"), (501, "NACHTS! cats 12", None), (502, "ж", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    words, grams = Counter(), Counter()
+    for key, text, lang in rows:
+        if lang and crc32(str(key).encode()) % 4 != 2:
+            for w in re.findall(r"[^\W\d_]+", text.lower()):
+                words[lang, w] += 1
+                grams.update((lang, n, w[i : i + n]) for n in range(1, 5) for i in range(len(w) - n + 1))
+    langs = sorted({x for x, _ in words})
+    all_words = {x: sum(c for (y, _), c in words.items() if x == y) for x in langs}
+    all_grams = {(x, n): sum(c for (y, m, _), c in grams.items() if (x, n) == (y, m)) for x in langs for n in range(1, 5)}
+    known_words, known_grams = {w for _, w in words}, {(n, g) for _, n, g in grams}
+    per_size = Counter(n for n, _ in known_grams)
+
+    def value(word, x):
+        if word in known_words:
+            return np.log((words[x, word] + 0.1) / (all_words[x] + 0.1 * len(known_words) + 0.1))
+        for n in range(min(4, len(word)), 0, -1):
+            found = [word[i : i + n] for i in range(len(word) - n + 1) if (n, word[i : i + n]) in known_grams]
+            if found:
+                return np.mean([np.log((grams[x, n, g] + 0.1) / (all_grams[x, n] + 0.1 * per_size[n] + 0.1)) for g in found])
+        return np.log(0.1 / (all_grams[x, 1] + 0.1 * per_size[1] + 0.1))
+
+    model = language_id.learn(df, min_count=1)
+    got = {r.doc_id: r for r in language_id.identify(df, model).collect()}
+    for key, text, _ in rows:
+        found = re.findall(r"[^\W\d_]+", text.lower())
+        sums = np.array([sum(value(w, x) for w in found) for x in langs])
+        weights = np.exp((sums - sums.max()) / max(1.0, len(found) / language_id.SOFTNESS))
+        assert got[key].lang_pred == langs[int(sums.argmax())] and abs(got[key].score - weights.max() / weights.sum()) < 1e-9
+
+
 # --- toxicity
 
 

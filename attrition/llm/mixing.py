@@ -117,7 +117,8 @@ def mix_sources(
     kept = without(docs, copy) if copy else without(docs)
     copies = (
         docs.join(rates, F.col(f"`{source}`").eqNullSafe(F.col(own)))
-        .withColumn(hashed, name)
+        # Exploded, so that it is computed once; a projected one would be put into each step of the draw.
+        .withColumn(hashed, F.explode(F.array(name)))
         .withColumn(n, poisson(F.col(rate), F.col(hashed), seed))
         .where(F.col(n) > 0)
         .withColumn(number, F.explode(F.sequence(F.lit(1), F.col(n))))

@@ -31,13 +31,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm.common import fresh, read, without, words_of, written
+from attrition.llm.common import fresh, give_back, read, without, words_of, written
 
 SLOTS, FACTORS, MIN_DOCS, LEAST_RATIO = 1 << 18, 8, 3, 12.0
 PAIR_SCALE, STEPS, FOLDS = 1.0, 2000, 5
 #: Pairs are looked for among so many terms, those most frequent in toxic rows of the sample; a pair counts if it occurs in so
-#: many of them and its likelihood ratio is so much above those of its terms. There are some 500,000 pairs to try.
-PAIR_TERMS, PAIR_DOCS, PAIR_RATIO = 1024, 8, 40.0
+#: many of them and its likelihood ratio is so much above those of its terms. There are some 130,000 pairs to try.
+PAIR_TERMS, PAIR_DOCS, PAIR_RATIO = 512, 8, 40.0
 THRESHOLD = 0.7
 MAX_ROWS, MAX_TERMS = 20_000, 40_000_000
 
@@ -276,8 +276,10 @@ def train_machine(
     sample = rows.toPandas().sort_values(["_id", "slots"])
     if not len(sample):
         return None
-    documents = [np.frombuffer(b, np.int32) for b in sample["slots"]]
-    return fit_machine(documents, sample["toxic"].to_numpy())
+    documents, marks = [np.frombuffer(b, np.int32) for b in sample["slots"]], sample["toxic"].to_numpy()
+    del sample
+    give_back()
+    return fit_machine(documents, marks)
 
 
 def _scored(machine: Machine, found: list[np.ndarray]) -> np.ndarray:

@@ -48,3 +48,23 @@ def test_machine_reaches_the_objective_of_the_expansion(spark):
     assert all(r.prediction == (r.m > 0) for r in scored)
     with pytest.raises(ValueError):
         P.PolynomialMachine("x", "label").fit(df.withColumn("label", F.lit(2)))
+
+
+@pytest.mark.parametrize("shares", [True, False])
+def test_grouped_distances_measure_few_pairs(shares, monkeypatch):
+    rng = np.random.default_rng(3)
+    table = [rng.dirichlet(np.ones(3), 12) if shares else rng.normal(size=(12, 3)) for _ in range(6)]
+    c = np.concatenate([t[rng.integers(0, 12, 1500)] for t in table], axis=1)
+    c[:40] = c[0]
+    q, ids = c[:150], np.arange(1500)
+    rows = np.abs(q[:, None] - c[None]).reshape(150, 1500, 6, 3).sum(-1)
+    full = np.round(np.sqrt((rows**2).sum(-1)), 9)
+    full[np.arange(150), np.arange(150)] = np.inf
+    want = [sorted(zip(d, ids))[:5] for d in full]
+    taken, norms = [], K._norms
+    monkeypatch.setattr(K, "_norms", lambda d, g: taken.append(d.size // 18) or norms(d, g))
+    a, b, dist = K._top_k(ids[:150], q, ids, c, 5, True, 9, 3)
+    got = [[(d, i) for r, i, d in zip(a, b, dist) if r == n] for n in range(150)]
+    assert [[i for _, i in g] for g in got] == [[i for _, i in w] for w in want]
+    assert np.allclose([d for g in got for d, _ in g], [d for w in want for d, _ in w], atol=1e-9)
+    assert sum(taken) < 0.5 * 150 * 1500

@@ -68,3 +68,20 @@ def test_grouped_distances_measure_few_pairs(shares, monkeypatch):
     assert [[i for _, i in g] for g in got] == [[i for _, i in w] for w in want]
     assert np.allclose([d for g in got for d, _ in g], [d for w in want for d, _ in w], atol=1e-9)
     assert sum(taken) < 0.5 * 150 * 1500
+
+
+def test_messages_of_a_round_are_written_by_all_tasks(spark, monkeypatch):
+    made, records = [], catalog._records
+    shared_dir = catalog.shared_dir
+
+    def noted(spark, name):
+        made.append(shared_dir(spark, name))
+        return made[-1]
+
+    monkeypatch.setattr(catalog, "shared_dir", noted)
+    monkeypatch.setattr(catalog, "_records", lambda *a: records(*a).repartition(3))
+    got = {tuple(r) for r in catalog.last_message_wins(spark, SMALL).collect()}
+    want = {(r.CustomerId, r.Age, float(r.Age >= 50)) for r in records(spark, SMALL).collect()}
+    assert got == want
+    (path,) = (p for p in made if "/thrice-" in p)
+    assert [len(glob.glob(f"{path}/{i}/*.parquet")) for i in range(3)] == [3, 3, 3]

@@ -85,3 +85,17 @@ def test_messages_of_a_round_are_written_by_all_tasks(spark, monkeypatch):
     assert got == want
     (path,) = (p for p in made if "/thrice-" in p)
     assert [len(glob.glob(f"{path}/{i}/*.parquet")) for i in range(3)] == [3, 3, 3]
+
+
+def test_blocks_of_customers_have_a_bound(spark, monkeypatch):
+    seen, knn = {}, K.knn
+
+    def noted(*args, **options):
+        seen.update(options)
+        return knn(*args, **options)
+
+    monkeypatch.setattr(K, "knn", noted)
+    monkeypatch.setattr(K, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(K, "CHUNK_ROWS", 32)
+    catalog.knn_cells(spark, "/root/testdata/sf0.01").count()
+    assert seen["block_rows"] <= 16 and seen["chunk_rows"] <= 32

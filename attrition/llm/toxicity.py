@@ -35,6 +35,8 @@ from attrition.llm.common import fresh, give_back, read, without, words_of, writ
 
 SLOTS, FACTORS, MIN_DOCS, LEAST_RATIO = 1 << 18, 8, 3, 12.0
 PAIR_SCALE, STEPS, FOLDS = 1.0, 2000, 5
+#: Documents of a sample that the driver lays out as tables at once.
+AT_ONCE = 512
 #: Pairs are looked for among so many terms, those most frequent in toxic rows of the sample; a pair counts if it occurs in so
 #: many of them and its likelihood ratio is so much above those of its terms. There are some 130,000 pairs to try.
 PAIR_TERMS, PAIR_DOCS, PAIR_RATIO = 512, 8, 40.0
@@ -122,10 +124,11 @@ def informative(documents: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Values of terms: 1 where the label depends on the term (likelihood ratio above ``LEAST_RATIO``) or on a pair with
     it, else 0. A text has hundreds of words and a rare one seldom tells anything; with all of them, a
     machine learns documents by heart."""
-    each = np.repeat(labels, [len(d) for d in documents])
-    slots = np.concatenate([*documents, np.zeros(0, np.int32)]).astype(np.int64)
-    n = np.bincount(slots, minlength=SLOTS).astype(float)
-    toxic = np.bincount(slots, each, SLOTS)
+    n, toxic = np.zeros(SLOTS), np.zeros(SLOTS)
+    for i in range(0, len(documents), AT_ONCE):
+        slots, lengths = _flat(documents[i : i + AT_ONCE])
+        n += np.bincount(slots, minlength=SLOTS)
+        toxic += np.bincount(slots, np.repeat(labels[i : i + AT_ONCE], lengths), SLOTS)
     ratio = _ratios(n, toxic, float(len(labels)), float(labels.sum()))
     values = ((n >= MIN_DOCS) & (ratio >= LEAST_RATIO)).astype(np.float32)
     values[telling_together(documents, labels, toxic, ratio)] = 1
@@ -142,9 +145,9 @@ def telling_together(documents: list[np.ndarray], labels: np.ndarray, toxic: np.
     place[terms] = np.arange(len(terms))
     both = np.zeros((2, len(terms), len(terms)))
     for label in (0, 1):
-        own = [place[d] for d, y in zip(documents, labels) if int(y) == label]
-        for i in range(0, len(own), 2048):
-            rows = own[i : i + 2048]
+        own = [d for d, y in zip(documents, labels) if int(y) == label]
+        for i in range(0, len(own), AT_ONCE):
+            rows = [place[d] for d in own[i : i + AT_ONCE]]
             table = np.zeros((len(rows), len(terms)), np.float32)
             at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
             column = np.concatenate(rows)
@@ -170,7 +173,9 @@ def fit_machine(
         own, rest = np.flatnonzero(fold == f), np.flatnonzero(fold != f)
         if len(own) and len(rest):
             part = _fit([documents[i] for i in rest], labels[rest], epochs, seed)
-            raw[own] = part.raw(*_flat([documents[i] for i in own]))
+            for i in range(0, len(own), AT_ONCE):
+                some = own[i : i + AT_ONCE]
+                raw[some] = part.raw(*_flat([documents[j] for j in some]))
     model = _fit(documents, labels, epochs, seed)
     model.slope, model.shift = _platt(raw, labels)
     return model

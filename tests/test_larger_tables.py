@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -99,3 +100,13 @@ def test_blocks_of_customers_have_a_bound(spark, monkeypatch):
     monkeypatch.setattr(K, "CHUNK_ROWS", 32)
     catalog.knn_cells(spark, "/root/testdata/sf0.01").count()
     assert seen["block_rows"] <= 16 and seen["chunk_rows"] <= 32
+
+
+def test_tables_of_distances_stay_small():
+    rng = np.random.default_rng(6)
+    c, q = rng.normal(size=(8192, 8)), rng.normal(size=(600, 8))
+    tracemalloc.start()
+    K._top_k(np.arange(600), q, np.arange(8192), c, 5, True, 9)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * 2**20

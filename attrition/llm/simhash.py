@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attrition.llm.common import fresh, partitions, read, without, written
+from attrition.llm.common import fresh, give_back, partitions, read, without, written
 
 SHINGLE, RADIUS, CHUNK = 3, 2, 4096
 SEED = 42
@@ -57,8 +57,10 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     @F.pandas_udf(T.LongType())
-    def of_each(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+    def of_each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+        give_back()
 
     return of_each(text)
 
@@ -256,12 +258,6 @@ def grouped(marked: DataFrame, links: Callable[[DataFrame], DataFrame], key: str
     return marked.select(key, "_print").join(by_print, "_print")
 
 
-def _near(docs: DataFrame, radius: int, chunk: int, key: str, text: str, shingle: int) -> DataFrame:
-    mark = fingerprints(F.col(f"`{text}`"), shingle)
-    marked = written(docs.select(F.col(f"`{key}`").alias(key), mark.alias("_print")), "fingerprints")
-    return grouped(marked, lambda prints: print_links(prints, radius, chunk), key)
-
-
 def near_duplicates(
     docs: DataFrame,
     radius: int = RADIUS,
@@ -271,7 +267,9 @@ def near_duplicates(
     shingle: int = SHINGLE,
 ) -> DataFrame:
     """One row for each document: key, fingerprint, and the smallest key of its group."""
-    return _near(docs, radius, chunk, key, text, shingle).select(
+    mark = fingerprints(F.col(f"`{text}`"), shingle)
+    marked = written(docs.select(F.col(f"`{key}`").alias(key), mark.alias("_print")), "fingerprints")
+    return grouped(marked, lambda prints: print_links(prints, radius, chunk), key).select(
         key, hex16(F.col("_print")).alias("fingerprint"), "component_id"
     )
 
@@ -309,9 +307,13 @@ def one_of_each_group(
     chunk: int = CHUNK,
     shingle: int = SHINGLE,
 ) -> DataFrame:
-    """One document of each group, see ``representatives``."""
-    groups = _near(docs, radius, chunk, key, text, shingle)
-    return representatives(docs, groups, fingerprints(F.col(f"`{text}`"), shingle), key)
+    """One document of each group, see ``representatives``. The documents are written with their fingerprints, which are
+    computed once."""
+    own = fresh(docs, "_mark")
+    marked = written(docs.withColumn(own, fingerprints(F.col(f"`{text}`"), shingle)), "marked-documents")
+    prints = marked.select(F.col(f"`{key}`").alias(key), F.col(own).alias("_print"))
+    groups = grouped(prints, lambda prints: print_links(prints, radius, chunk), key)
+    return representatives(marked, groups, F.col(own), key).drop(own)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -311,6 +311,7 @@ def toxicity_score(spark: SparkSession, machine: Machine | None, text: Column) -
                     scores.append(_scored(model.value, found))
                     found, held = [], 0
             yield pd.Series(np.concatenate([*scores, _scored(model.value, found)]))
+        give_back()
 
     return score(text)
 

@@ -67,3 +67,12 @@ def test_graph_by_descent(spark):
     assert edges.filter("src = dst").count() == 0
     small = G.neighbour_graph(df.filter("vec_id < 40"), 6)
     assert small.edges.count() == 240
+
+
+def test_first_graph_takes_few_rounds(spark):
+    rng = np.random.default_rng(5)
+    df = points(spark, rng.normal(size=(1500, 6)))
+    graph = G.neighbour_graph(df, 9)
+    (row,) = A.recall(graph.edges, K.knn_edges(df, 9)).collect()
+    # Each round sends the vectors anew.
+    assert row.recall >= 0.95 and len(graph.work) - 1 <= 4 and graph.share < 0.5

@@ -9,7 +9,8 @@ Depth, width, number of tables and of probes are chosen from the data: for a sam
 found ``aim`` of them the one with the least work is taken. What the result holds is measured the same way
 by its users: :func:`recall`.
 
-Buckets meet their queries by a shuffle on the bucket. A bucket with more rows than a block or more queries than a
+Buckets meet their queries by a shuffle on the bucket. Which buckets a row needs is settled with row numbers alone; then its
+vector goes once to each of them, in the type it was given in. A bucket with more rows than a block or more queries than a
 chunk is dealt to several tasks, each with one bounded part of both, so a bucket with a third of all rows is no hot
 spot. A task passes through sorted rows and holds one block at a time. Distances are computed on the
 original vectors. A query that meets fewer than ``k`` rows is answered by the exact search.
@@ -167,7 +168,10 @@ def knn_approximate(
     Every query gets ``k`` rows if the corpus has them, with exact distances; equal ones rank by smaller id.
     ``tables`` replaces the choice from the data. Rows without vector are left out."""
     spark = query.sparkSession
-    vectors = [F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vec")]
+    # Single precision is kept: it has half the bytes, and tasks compute in double precision.
+    kind = lambda df: "array<float>" if df.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    same = "array<float>" if kind(query) == kind(corpus) == "array<float>" else "array<double>"
+    vectors = [F.col(id_col).alias("id"), F.col(vector_col).cast(same).alias("vec")]
     queries = query.select(*vectors).filter(F.col("vec").isNotNull())
     rows = corpus.select(*vectors, *carry).filter(F.col("vec").isNotNull())
     n = rows.count()
@@ -194,16 +198,20 @@ def knn_approximate(
                 if len(batch):
                     matrix = _matrix(batch["vec"])
                     found = shared.value.probed(matrix) if probe else shared.value.buckets(matrix)
-                    yield batch.assign(buckets=[np.unique(b) for b in found.reshape(len(batch), -1)])
+                    yield pd.DataFrame({"row": batch["row"], "buckets": [np.unique(b) for b in found.reshape(len(batch), -1)]})
 
         return run
 
+    def numbered(df: DataFrame) -> DataFrame:
+        return cut_lineage(df.withColumn("row", F.monotonically_increasing_id()))
+
     def with_buckets(df: DataFrame, probe: bool) -> DataFrame:
-        names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-        made = df.mapInPandas(hashed(probe), f"{names}, buckets array<bigint>")
-        return cut_lineage(made.withColumn("bucket", F.explode("buckets")).drop("buckets"))
+        made = df.select("row", "vec").mapInPandas(hashed(probe), "row bigint, buckets array<bigint>")
+        return cut_lineage(made.select("row", F.explode("buckets").alias("bucket")))
 
-    left, right = with_buckets(queries, True), with_buckets(rows, False)
+    # Ids may repeat or be missing; rows are told apart by a number of their own, written with them.
+    asked, known = numbered(queries), numbered(rows.select("id", "vec"))
+    left, right = with_buckets(asked, True), with_buckets(known, False)
     # Buckets without either side go here, before any vector is shuffled.
     sizes = (
         left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_queries"))
@@ -215,11 +223,11 @@ def knn_approximate(
         )
     )
     cell = F.xxhash64("bucket", "part", "piece").alias("cell")
-    left = left.join(sizes, "bucket").select(
+    left = left.join(sizes, "bucket").join(asked, "row").select(
         "*", F.pmod(F.xxhash64("id", F.lit(1)), "pieces").cast("int").alias("piece"),
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
     ).select(cell, F.lit(1).alias("side"), "id", "vec")
-    right = right.join(sizes, "bucket").select(
+    right = right.join(sizes, "bucket").join(known, "row").select(
         "*", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"),
         F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"),
     ).select(cell, F.lit(0).alias("side"), "id", "vec")
@@ -275,7 +283,8 @@ def _compared(k: int, exclude_self: bool):
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
     """One row: neighbours wanted, how many of them were found, and their share. What is found counts by distance,
     so that another row at the same distance is no miss."""
-    furthest = exact.groupBy("src").agg(F.max("dist").alias("far"), F.count(F.lit(1)).alias("n"))
+    # Written once: two joins read it, and the exact search is behind it.
+    furthest = cut_lineage(exact.groupBy("src").agg(F.max("dist").alias("far"), F.count(F.lit(1)).alias("n")))
     hits = found.join(furthest, "src").filter(F.col("dist") <= F.col("far") * (1 + 1e-9)).groupBy("src")
     hits = hits.agg(F.count(F.lit(1)).alias("hits"))
     each = furthest.join(hits, "src", "left")

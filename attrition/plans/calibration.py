@@ -10,6 +10,7 @@ fits are Spark jobs; nothing but models of fixed size, or one number for each st
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -55,6 +56,22 @@ def cross_fitted_margins(
     return scored
 
 
+@dataclass
+class CrossFitted:
+    """What calibrations of one classifier on the same rows share: its margins by folds, and the model of all rows."""
+
+    margins: DataFrame
+    model: PipelineModel
+
+
+def cross_fitted(
+    df: DataFrame, train: Callable[[DataFrame], PipelineModel], folds: int = 5, seed: int = 42, key: str = KEY, label: str = LABEL
+) -> CrossFitted:
+    margins = cross_fitted_margins(df, train, folds, seed, key, label)
+    with pinned(df) as rows:
+        return CrossFitted(margins, train(rows))
+
+
 def train_calibrated(
     df: DataFrame,
     train: Callable[[DataFrame], PipelineModel],
@@ -63,9 +80,12 @@ def train_calibrated(
     seed: int = 42,
     key: str = KEY,
     label: str = LABEL,
+    fitted: CrossFitted | None = None,
 ) -> PipelineModel:
-    """The model that ``train`` fits on all rows, with a calibration behind it; see :func:`predict_probability`."""
-    margins = cross_fitted_margins(df, train, folds, seed, key, label)
+    """The model that ``train`` fits on all rows, with a calibration behind it; see :func:`predict_probability`. Several
+    methods may share what :func:`cross_fitted` made with the same arguments, so that the fits are made once."""
+    fitted = fitted or cross_fitted(df, train, folds, seed, key, label)
+    margins = fitted.margins
     if method == "isotonic":
         curve = IsotonicRegression(featuresCol=MARGIN, labelCol=label, predictionCol=CALIBRATED).fit(margins)
     elif method == "platt":
@@ -82,8 +102,7 @@ def train_calibrated(
             ).fit(few_tasks(kept))
     else:
         raise ValueError(f"unknown method {method}")
-    with pinned(df) as rows:
-        return PipelineModel([*train(rows).stages, _sliced(), curve])
+    return PipelineModel([*fitted.model.stages, _sliced(), curve])
 
 
 def predict_probability(

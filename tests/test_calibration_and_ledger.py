@@ -68,3 +68,18 @@ def test_ledger_and_replay(spark, tmp_path):
     for _ in range(4):
         assert O.replay(ledger, base, {"weak": weak}, 3) == {"weak": [11]}
     assert given.count(3) == 2 and given.count(11) == 3 == ledger.tries("weak", 11)
+
+
+def test_methods_share_the_fits(spark):
+    df, fits = chances(spark, 300), []
+
+    def train(rows):
+        fits.append(1)
+        return M.train_linear_svm(rows, max_iter=5, features=["x"])
+
+    fitted = H.cross_fitted(df, train, folds=2)
+    models = [H.train_calibrated(df, train, method, folds=2, fitted=fitted) for method in ("platt", "isotonic")]
+    assert len(fits) == 3
+    alone = H.train_calibrated(df, train, "platt", folds=2)
+    values = [H.predict_probability(m, df).agg({H.PROBABILITY: "sum"}).first()[0] for m in (*models, alone)]
+    assert abs(values[0] - values[2]) < 1e-6 and 0 < values[1] < 300

@@ -14,10 +14,11 @@ expansion length of each rule. A document is decoded alone from
 its symbols; a place in it is found from the running sum of expansion lengths without decoding what
 comes before.
 
-The tokenizer sees each distinct piece of some megabytes of text once: it never joins a visible
-character with the white space after it, nor a letter with the punctuation after it, so texts are
-cut there and the ids of pieces are put together. Texts with the separators U+001C to U+001F are
-encoded whole.
+The tokenizer sees a distinct piece of the texts once while it is remembered. Texts are cut, by array operations
+on their bytes, where the tokenizer joins nothing whatever stands around: before white space that follows something visible,
+where letters, digits and signs meet, after a line end that stands alone, and between two visible characters whose bytes are
+side by side in no token. A piece that is one word of the tokenizer goes to the library's merges, all others go to the
+library whole; a tokenizer that splits its texts in another way gets them whole.
 
 Cases: null and empty texts consist of the end id; null keys come first; rows repeated in the key
 stay and are ordered by text; special tokens in a text are ordinary text; an empty table gives no
@@ -26,11 +27,13 @@ shards and an empty result; of the input only key and text are read, so other co
 
 from __future__ import annotations
 
+import codecs
+import json
 import os
-import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain, pairwise
+from itertools import pairwise, repeat
+from operator import attrgetter
 from zlib import crc32
 
 import numpy as np
@@ -42,20 +45,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from attrition.llm.bpe import copied
 from attrition.llm.common import give_back, partitions, read, written
 
 END = 2
 BASE = 1 << 16
 SHARD_TOKENS, MOST_RULES, LEAST = 1_000_000, 8192, 8
 SLOTS = 1 << 20
-TOGETHER, KEPT = 4_000_000, 600_000
-LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-PIECE = re.compile(rf"\s*[{LETTERS}]+(?:(?=[.,;:!?])|\S*)|\s*\S+|\s+")
-ODD = re.compile("[\x1c-\x1f]")
+#: Bytes that are encoded together; a longer text is a part of its own.
+TOGETHER, KEPT = 2_000_000, 300_000
+#: What a byte is part of: unknown (also white space beyond ASCII), a space, other white space, a letter, a digit, a
+#: sign, something visible of any kind, an apostrophe.
+UNKNOWN, BLANK, LINE, LETTER, DIGIT, SIGN, VISIBLE, QUOTE = range(8)
 FILES = (
     "part int, number int, before long, keys array<long>, symbol_counts array<int>, "
     "token_counts array<int>, alphabet binary, width int, symbols binary, rules binary, lengths binary"
 )
+KINDS = {
+    "int": pa.int32(), "long": pa.int64(), "binary": pa.binary(),
+    "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
+}
+LAYOUT = pa.schema([(name, KINDS[kind]) for name, kind in map(str.split, FILES.split(", "))])
 
 
 @lru_cache(maxsize=2)
@@ -76,88 +86,191 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_kinds() -> np.ndarray:
+    kinds = np.full(256, UNKNOWN, np.uint8)
+    kinds[33:127], kinds[128:] = SIGN, VISIBLE
+    kinds[9:14], kinds[ord(" ")], kinds[ord("'")] = LINE, BLANK, QUOTE
+    kinds[ord("0") : ord("9") + 1] = DIGIT
+    kinds[ord("A") : ord("Z") + 1] = kinds[ord("a") : ord("z") + 1] = LETTER
+    return kinds
+
+
+def _kind_pairs(pairs) -> np.ndarray:
+    table = np.zeros(64, bool)
+    table[[8 * a + b for a, b in pairs]] = True
+    return table
+
+
+BYTE_KINDS = _byte_kinds()
+SEEN = (LETTER, DIGIT, SIGN, VISIBLE, QUOTE)
+#: Neighbours between which a word of the tokenizer always ends. A quotation mark may begin a contraction.
+PARTED = _kind_pairs(
+    [(a, b) for a in SEEN for b in (BLANK, LINE)]
+    + [(LETTER, DIGIT), (LETTER, SIGN), (LETTER, QUOTE), (DIGIT, LETTER), (DIGIT, SIGN), (DIGIT, QUOTE)]
+    + [(SIGN, LETTER), (SIGN, DIGIT), (QUOTE, DIGIT)]
+)
+AFTER_LINE = _kind_pairs([(LINE, b) for b in SEEN])
+#: Kinds that make up words of the tokenizer, in groups.
+GROUPS = np.zeros(8, np.uint8)
+GROUPS[[LETTER, DIGIT, SIGN, QUOTE]] = 1, 2, 3, 3
+#: Neighbours that may be cut if no token holds them side by side.
+BESIDE = _kind_pairs([(a, b) for a in SEEN[:-1] for b in SEEN[:-1]])
+
+
+def _kinds(code: np.ndarray) -> np.ndarray:
+    """The kind of the character that each byte of UTF-8 is part of."""
+    kinds = BYTE_KINDS[code]
+    lead = np.flatnonzero(code == 0xC3)
+    lead = lead[(code[lead + 1] != 0x97) & (code[lead + 1] != 0xB7)]
+    kinds[lead] = kinds[lead + 1] = LETTER
+    # What begins with these bytes may be white space.
+    lead = np.flatnonzero((code == 0xC2) | (code >= 0xE1) & (code <= 0xE3))
+    kinds[lead] = kinds[lead + 1] = UNKNOWN
+    long = lead[code[lead] != 0xC2]
+    kinds[long + 2] = UNKNOWN
+    return kinds
+
+
+def _are_words(kinds: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which pieces are one word of the tokenizer each: letters, digits or signs after a space or none, or a line end."""
+    first, last = ends[:-1], ends[1:]
+    begin = first + (kinds[first] == BLANK)
+    groups = GROUPS[kinds]
+    changes = np.r_[0, np.cumsum(groups[1:] != groups[:-1]), 0]
+    within = np.minimum(begin, last - 1)
+    alike = (begin < last) & (groups[within] > 0) & (changes[within] == changes[last - 1])
+    return alike | (kinds[first] == LINE) & (last - first == 1)
+
+
+def _alphabet() -> str:
+    """The characters with which tokens of a byte-level tokenizer are written, by byte."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return "".join(chr(b if b in plain else 256 + others.index(b)) for b in range(256))
+
+
+def _apart(tokens: Sequence[str]) -> np.ndarray:
+    """By left << 8 | right: whether two bytes stand side by side in no token, and the right one begins a character."""
+    back = np.full(1 << 16, 256, np.uint32)
+    back[[ord(c) for c in _alphabet()]] = np.arange(256)
+    code = back[np.frombuffer("\n".join(tokens).encode("utf-16-le"), "<u2")]
+    left, right = code[:-1], code[1:]
+    both = (left < 256) & (right < 256)
+    apart = np.ones((256, 256), bool)
+    apart[left[both], right[both]] = False
+    apart[:, 0x80:0xC0] = False
+    for a, b in ("re", "ve", "ll"):  # the ends of contractions
+        apart[ord(a), ord(b)] = False
+    return apart.ravel()
+
+
+def _by_bytes(tokenizer) -> bool:
+    """Whether a tokenizer splits and merges as the cuts assume."""
+    split = json.loads(tokenizer.pre_tokenizer.__getstate__()) if tokenizer.pre_tokenizer else {}
+    model = tokenizer.model
+    return (
+        tokenizer.normalizer is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+        and not split.get("add_prefix_space") and type(model).__name__ == "BPE" and not model.dropout
+        and not model.continuing_subword_prefix and not model.end_of_word_suffix
+    )
+
+
 class Encoder:
     """Ids of many texts at once. The texts are cut into pieces that the tokenizer never joins, and
     each distinct piece is encoded once while it is remembered. What is remembered are at most
-    ``KEPT`` pieces, or the pieces of the last texts, as arrays."""
+    ``KEPT`` pieces, as arrays; when there are more, the half that occurs in most texts stays."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
         vocabulary = self.tokenizer.get_vocab()
         if max(vocabulary.values()) >= BASE:
             raise ValueError(f"ids of {BASE} and above stand for rules")
-        # A token of this kind is written with one character for each of its bytes.
-        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        self.n_bytes[list(vocabulary.values())] = list(map(len, vocabulary))
-        self.known = pa.array([], pa.large_string())
-        self.pool, self.starts, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def ids(self, text: str) -> np.ndarray:
-        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found.ids, "<u4")
+        self.by_bytes = _by_bytes(self.tokenizer)
+        self.model, self.alphabet = self.tokenizer.model, _alphabet()
+        self.apart = _apart(list(vocabulary))
+        #: Numbers of the pieces, their ids one after another, how many each has, and in how many parts it was.
+        self.known: dict[bytes, int] = {}
+        self.pool, self.sizes, self.seen = np.zeros(0, "<u2"), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def of_all(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers, without the end id."""
-        cut = [[t] * bool(t) if ODD.search(t) else PIECE.findall(t) for t in texts]
-        coded = pa.array(chain.from_iterable(cut), pa.large_string()).dictionary_encode()
-        pool, starts, sizes = self._looked_up(coded.dictionary)
+        return self.of_array(pa.array(texts, pa.large_string()))
+
+    def of_array(self, texts: pa.Array) -> list[bytes]:
+        """The same of an array of texts without nulls."""
+        if not self.by_bytes:
+            return [np.array(e.ids, "<u4").tobytes() for e in self._whole(texts.to_pylist())]
+        _, offsets, data = texts.buffers()
+        kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+        bounds = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        first, bounds = int(bounds[0]), bounds - bounds[0]
+        if not bounds[-1]:
+            return [b""] * len(texts)
+        data = data.slice(first, int(bounds[-1]))
+        at = self._cuts(np.frombuffer(data, np.uint8), bounds)
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), data])
+        coded = pieces.dictionary_encode()
+        pool, starts, sizes = self._looked_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         codes = coded.indices.to_numpy()
-        each = sizes[codes]
-        ends = np.cumsum(each)
-        # Where each id of the texts stands in the pool.
-        at = np.repeat(starts[codes] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
-        ids = pool[at].tobytes()
-        last = np.r_[0, ends][np.cumsum([0, *map(len, cut)])] * 4
+        ids = copied(pool, starts[codes], sizes[codes]).astype("<u4").tobytes()
+        last = np.r_[0, np.cumsum(sizes[codes], dtype=np.int64)][np.searchsorted(at, bounds)] * 4
         return [ids[i:j] for i, j in pairwise(last.tolist())]
 
-    def _looked_up(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _cuts(self, code: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where the pieces of texts with these bounds begin, and where the last one ends."""
+        kinds = _kinds(code)
+        pairs = kinds[:-1] << 3 | kinds[1:]
+        cut = np.zeros(len(code) + 1, bool)
+        inner = cut[1:-1]
+        np.take(PARTED, pairs, out=inner)
+        inner[1:] |= inner[:-1] & AFTER_LINE[pairs[1:]]
+        near = code[:-1].astype(np.uint16) << 8 | code[1:]
+        inner |= BESIDE[pairs] & self.apart[near]
+        cut[bounds] = True
+        return np.flatnonzero(cut)
+
+    def _looked_up(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids in one array, and where those of each piece begin and how many they are."""
-        found = pc.index_in(pieces, value_set=self.known)
-        missing = found.is_null()
-        new = pieces.filter(missing)
-        pool, starts, sizes = self._encoded(new.to_pylist())
-        pool = np.concatenate([self.pool, pool])
-        starts = np.concatenate([self.starts, starts + len(self.pool)])
-        sizes = np.concatenate([self.sizes, sizes])
-        at = found.fill_null(0).to_numpy().astype(np.int64)
-        at[missing.to_numpy(zero_copy_only=False)] = np.arange(len(self.known), len(sizes))
-        if len(sizes) <= KEPT:
-            self.known = pa.concat_arrays([self.known, new])
-            self.pool, self.starts, self.sizes = pool, starts, sizes
-        else:
-            self.known, self.sizes = pieces, sizes[at]
-            self.starts = np.cumsum(self.sizes) - self.sizes
-            shift = np.repeat(starts[at] - self.starts, self.sizes)
-            self.pool = pool[shift + np.arange(len(shift))]
-        return pool, starts[at], sizes[at]
-
-    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same for pieces that are not known. What begins with white space and ends with something visible is encoded
-        side by side, as the tokenizer joins it with nothing; other pieces are encoded alone."""
-        together = np.array(
-            [p[0] in " \n" and not p.isspace() and not ODD.search(p) for p in pieces], bool
-        )
-        starts, sizes = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
-        pool, held = [], 0
-        for some in np.array_split(np.flatnonzero(together), 1 + together.sum() // 50_000):
-            texts = [pieces[i] for i in some]
-            ids = self.ids("".join(texts))
-            ends = np.cumsum(self.n_bytes[ids])
-            wanted = np.cumsum([len(t.encode()) for t in texts], dtype=np.int64)
-            last = np.searchsorted(ends, wanted) + 1
-            if len(ids) and not (last[-1] == len(ids) and (ends[last - 1] == wanted).all()):
-                together[some] = False
-                continue
-            starts[some] = held + np.r_[0, last[:-1]][: len(some)]
-            sizes[some] = np.diff(np.r_[0, last])
-            pool.append(ids)
-            held += len(ids)
-        for i in np.flatnonzero(~together):
-            ids = self.ids(pieces[i])
-            starts[i], sizes[i] = held, len(ids)
-            pool.append(ids)
-            held += len(ids)
-        return np.concatenate([*pool, np.zeros(0, "<u4")]), starts, sizes
+        at = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new, n = [pieces[i] for i in missing.tolist()], len(self.known)
+            pool, sizes = self._encoded(new)
+            self.pool, self.sizes = np.concatenate([self.pool, pool]), np.concatenate([self.sizes, sizes])
+            self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int32)])
+            self.known.update(zip(new, range(n, n + len(new))))
+            at[missing] = np.arange(n, n + len(new))
+        self.seen[at] += 1
+        pool, starts = self.pool, np.cumsum(self.sizes, dtype=np.int64) - self.sizes
+        found = pool, starts[at], self.sizes[at]
+        if len(self.known) > KEPT:
+            # Of those seen equally often the latest.
+            best = np.sort(np.lexsort((-np.arange(len(starts)), -self.seen))[: KEPT // 2])
+            names = list(self.known)
+            self.known = {names[i]: n for n, i in enumerate(best.tolist())}
+            self.pool = copied(pool, starts[best], self.sizes[best])
+            self.sizes, self.seen = self.sizes[best], (self.seen[best] + 1) // 2
+        return found
+
+    def _whole(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces that are not known, and how many each has."""
+        raw = b"".join(pieces)
+        ends = np.cumsum([0, *map(len, pieces)])
+        text, merged, number = codecs.charmap_decode(raw, "strict", self.alphabet)[0], self.model.tokenize, attrgetter("id")
+        is_word = _are_words(_kinds(np.frombuffer(raw, np.uint8)), ends)
+        others = np.flatnonzero(~is_word).tolist()
+        apart: dict[int, list[int]] = {}
+        for some in (others[i : i + 1000] for i in range(0, len(others), 1000)):
+            apart.update(zip(some, (e.ids for e in self._whole([pieces[i].decode() for i in some]))))
+        ids: list[int] = []
+        after = []
+        for i, (word, (begin, end)) in enumerate(zip(is_word.tolist(), pairwise(ends.tolist()))):
+            ids += map(number, merged(text[begin:end])) if word else apart[i]
+            after.append(len(ids))
+        return np.array(ids, "<u2"), np.diff(np.array([0, *after], np.int32))
 
 
 @lru_cache(maxsize=2)
@@ -305,35 +418,35 @@ def opened(width: int, alphabet: bytes, symbols: bytes, rules: bytes) -> tuple[n
     return table[np.frombuffer(symbols, kind)], table[np.frombuffer(rules, kind).reshape(-1, 2)]
 
 
-def _parts(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Rows whose texts have about ``TOGETHER`` characters; a longer text is a part of its own."""
-    number = batch["_text"].str.len().cumsum() // TOGETHER
-    for _, part in batch.groupby(number, sort=True):
-        yield part
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts have about ``TOGETHER`` bytes; a longer text is a part of its own."""
+    number = np.cumsum(pc.binary_length(batch.column("_text")).to_numpy(), dtype=np.int64) // TOGETHER
+    bounds = np.flatnonzero(np.diff(number)) + 1
+    for i, j in pairwise([0, *bounds.tolist(), len(number)]):
+        yield batch.slice(i, j - i)
 
 
 def _encoded(path: str, shard_tokens: int):
     end = np.array([END], "<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, part = encoder(path).of_all, TaskContext.get().partitionId()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, part = encoder(path).of_array, TaskContext.get().partitionId()
         number = before = held = 0
         keys: list = []
         documents: list[bytes] = []
-        names = [c.split()[0] for c in FILES.split(", ")]
 
-        def shard() -> pd.DataFrame:
+        def shard() -> pa.RecordBatch:
             nonlocal number, before, held
             row = _shard(part, number, before, list(keys), documents)
             number, before, held = number + 1, before + held, 0
             keys.clear()
             documents.clear()
-            return pd.DataFrame([row], columns=names)
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, LAYOUT)], schema=LAYOUT)
 
         for batch in batches:
             for some in _parts(batch):
-                for key, null, ids in zip(some["_key"], some["_null"], encode(some["_text"].tolist())):
-                    keys.append(None if null else int(key))
+                for key, ids in zip(some.column("_key").to_pylist(), encode(some.column("_text"))):
+                    keys.append(key)
                     documents.append(ids + end)
                     held += len(documents[-1]) // 4
                     if held >= shard_tokens:
@@ -361,8 +474,7 @@ def token_files(
         ordered = ordered.repartitionByRange(
             partitions(docs.sparkSession), "_key", F.xxhash64("_text")
         ).sortWithinPartitions("_key", "_text")
-    rows = ordered.select(F.coalesce("_key", F.lit(0)).alias("_key"), F.col("_key").isNull().alias("_null"), "_text")
-    return written(rows.mapInPandas(_encoded(path or tokenizer_path(), shard_tokens), FILES), "token-files")
+    return written(ordered.mapInArrow(_encoded(path or tokenizer_path(), shard_tokens), FILES), "token-files")
 
 
 def _decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml import Estimator
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from attrition.operators import balance as B
@@ -213,6 +215,24 @@ def test_population_scale_models(features, tmp_path):
         assert M.predict(loaded, features).columns == [*features.columns, "ChurnPrediction"]
 
 
+def test_population_scale_models_fit_on_equal_tasks(features, monkeypatch):
+    sizes = []
+
+    class Sizes(Estimator):
+        def _fit(self, dataset):
+            sizes.append([r["count"] for r in dataset.groupBy(F.spark_partition_id()).count().collect()])
+            return SQLTransformer(statement="SELECT * FROM __THIS__")
+
+    monkeypatch.setattr(M, "ROWS_PER_TASK", 300)
+    for balance in (False, True):
+        for compact in (False, True):
+            M._on_population_scale(
+                features.coalesce(1), lambda n: [Sizes()], FEATURES, M.KEY, LABEL, balance, 42, compact=compact
+            )
+    for each in sizes:
+        assert len(each) > 1 and max(each) < 3 * sum(each) / len(each)
+
+
 def test_tuning_reports_every_setting(features):
     tuned = M.tune(features, grid={"numTrees": (3, 5), "maxDepth": (2, 4)}, folds=2)
     summary = M.model_summary(tuned, features).collect()

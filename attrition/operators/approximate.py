@@ -211,6 +211,7 @@ def knn_approximate(
 
     # Ids may repeat or be missing; rows are told apart by a number of their own, written with them.
     asked, known = numbered(queries), numbered(rows.select("id", "vec"))
+    queries = asked.select("id", "vec")
     left, right = with_buckets(asked, True), with_buckets(known, False)
     # Buckets without either side go here, before any vector is shuffled.
     sizes = (
@@ -245,8 +246,11 @@ def knn_approximate(
     # Queries that met too few rows; the exact search has no such case.
     enough = best.groupBy("src").count().filter(F.col("count") >= k)
     short = queries.join(enough, F.col("id") == F.col("src"), "left_anti")
-    rest = knn(short, rows, k, "id", "vec", exclude_self, block_rows=block_rows, chunk_rows=chunk_rows)
-    found = best.join(enough, "src", "left_semi").unionByName(rest)
+    if short.isEmpty():
+        found = best
+    else:
+        rest = knn(short, known.select("id", "vec"), k, "id", "vec", exclude_self, block_rows=block_rows, chunk_rows=chunk_rows)
+        found = best.join(enough, "src", "left_semi").unionByName(rest)
     if carry:
         names = rows.select(F.col("id").alias("dst"), *carry)
         found = found.join(names, "dst")

@@ -1,16 +1,24 @@
 """Exact quantiles and box statistics of any number of groups.
 
-Values are looked at in long form: group, column, value. A group and column with at most ``small`` values is sorted
+A group and column with at most ``small`` values is sorted
 as a whole, which is one small array. A larger one is narrowed: approximate percentiles, whose partial results are
 merged, give two values around each wanted rank; counting tells exactly how many values lie below and between them; and
-this goes on among those between until they are few, or all the same. Only counts and sketches of large
-groups are shuffled, so a group with a third of all rows is no hot spot, and no group is gathered as a whole. The number of groups is
+this goes on among those between until they are few, or all the same.
+
+The rows, with the wanted columns alone, are shuffled once, by group, and written in that order; no pass shuffles them again, as
+what it needs to know of a group is kept in one row that lies with them. Groups with more than about ``hot`` rows, which a sample
+tells, and the rows without group stay where they are: what a pass needs to know of them goes to all tasks, and
+only their counts and sketches are shuffled. So a group with a third of all rows is no hot spot, and no such group is gathered
+as a whole. The number of groups is
 bounded by nothing: there is no list of them on the driver, and no expression for each.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,114 +30,161 @@ SMALL = 50_000
 #: Of the approximate percentiles: the error of a rank is at most this part of the rows.
 ACCURACY = 2_000
 STEPS, MOST_PASSES = 200, 30
+#: Rows of a group that is not moved, rows of such a group in the sample that finds it, and rows of a part that is written.
+HOT, HOT_SAMPLE, PART_ROWS = 50_000, 400, 500_000
+
+
+@dataclass
+class _Layout:
+    """Rows with ``_group`` and the wanted columns as ``_0``, ``_1`` and so on. Those of a group lie together unless it is hot."""
+
+    rows: DataFrame
+    names: list[str]
+    hot: bool
+
+    def meet(self, state: DataFrame) -> DataFrame:
+        """The rows with what is known of their groups, which has one row for each."""
+        if not self.hot:
+            return self.rows.join(state, "_group")
+        known = F.broadcast(state.withColumnRenamed("_group", "_own"))
+        return self.rows.join(known, F.col("_group").eqNullSafe(F.col("_own"))).drop("_own")
 
+    def value(self, f: Column) -> Column:
+        return F.get(F.array(*[f"_{i}" for i in range(len(self.names))]), f)
 
-def long_form(df: DataFrame, columns: Iterable[str], by: str) -> DataFrame:
-    """``_group``, ``feature``, ``v``: one row for each value that is no null and no NaN."""
-    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns])
-    rows = df.select(F.col(f"`{by}`").alias("_group"), F.explode(cells).alias("_cell")).select("_group", "_cell.*")
-    return rows.filter(F.col("v").isNotNull() & ~F.isnan("v"))
+
+def _layouts(df: DataFrame, columns: Iterable[str], by: str, hot: int) -> list[_Layout]:
+    names = list(columns)
+    values = [F.col(f"`{c}`").cast("double") for c in names]
+    wide = df.select(F.col(f"`{by}`").alias("_group"), *[F.when(~F.isnan(v), v).alias(f"_{i}") for i, v in enumerate(values)])
+    wide = wide.filter(reduce(lambda a, b: a | b, [F.col(f"_{i}").isNotNull() for i in range(len(names))]))
+    # The sample only tells which rows stay where they are.
+    share = min(1.0, HOT_SAMPLE / hot)
+    some = wide.select("_group") if share == 1 else wide.select("_group").filter(F.rand(7) < share)
+    large = some.groupBy("_group").count().filter(F.col("_group").isNotNull() & (F.col("count") > hot * share)).select("_group")
+    large = cut_lineage(large)
+    none = F.col("_group").isNull()
+    if large.isEmpty():
+        moved, kept = wide.filter(~none), wide.filter(none)
+    else:
+        moved = wide.filter(~none).join(F.broadcast(large), "_group", "left_anti")
+        kept = wide.filter(none).unionByName(wide.join(F.broadcast(large), "_group", "left_semi"))
+    # No fewer than Spark's own, or it would deal the rows anew.
+    parts = max(math.ceil(df.count() / PART_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    moved = _dealt(moved.repartition(parts, "_group").sortWithinPartitions("_group"))
+    kept = cut_lineage(kept)
+    return [_Layout(moved, names, False)] + ([] if kept.isEmpty() else [_Layout(kept, names, True)])
 
 
-def _same(a: str, b: str) -> Column:
-    """Same group and column; a null group is a group."""
-    return F.col(f"{a}._group").eqNullSafe(F.col(f"{b}._group")) & (F.col(f"{a}.feature") == F.col(f"{b}.feature"))
+def _dealt(df: DataFrame) -> DataFrame:
+    """Written so that Spark still knows which rows lie together and in what order. Of an adaptive plan it does not know, so this one
+    plan is not."""
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    was = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return cut_lineage(df)
+    finally:
+        conf.set(name, was)
 
 
-def _inside() -> Column:
+def _inside(value: Column) -> Column:
     """Whether a value lies between the borders of an open rank, which are null at first and no part of it."""
-    value, low, high = F.col("v.v"), F.col("o.low"), F.col("o.high")
+    low, high = F.col("o.low"), F.col("o.high")
     return (low.isNull() | (value > low)) & (high.isNull() | (value < high))
 
 
-def grouped_quantiles(
-    df: DataFrame, columns: Iterable[str], by: str, probabilities: Sequence[float], small: int = SMALL
-) -> DataFrame:
-    """Exact, linearly interpolated quantiles: ``_group``, ``feature``, ``n`` and the array ``quantiles``. Groups and columns
-    without values have no row; null is a group."""
-    values = cut_lineage(long_form(df, columns, by))
-    counts = cut_lineage(values.groupBy("_group", "feature").agg(F.count(F.lit(1)).alias("n")))
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
-    # Whole numbers up to 2^53 are exact in a double, as ranks are here.
-    place = F.col("_p.p") * (F.col("n") - 1)
-    wanted = counts.select("*", F.explode(steps).alias("_p")).select(
-        "_group", "feature", "n", "_p.i", F.floor(place).cast("bigint").alias("at"), (place - F.floor(place)).alias("part")
-    )
-    after = F.least(F.col("at") + 1, F.col("n") - 1)
-    ranks = wanted.select("_group", "feature", "n", F.explode(F.array("at", after)).alias("rank")).distinct()
-    found = _small_groups(values, counts, ranks, small)
-    large = ranks.filter(F.col("n") > small)
-    if not large.isEmpty():
-        found = found.unionByName(_narrowed(values, large, small))
-    found = cut_lineage(found)
-    low = wanted.alias("w").join(found.alias("f"), _same("w", "f") & (F.col("w.at") == F.col("f.rank")))
-    low = low.select("w.*", F.col("f.q").alias("low"))
-    both = low.alias("w").join(
-        found.alias("f"), _same("w", "f") & (F.least(F.col("w.at") + 1, F.col("w.n") - 1) == F.col("f.rank"))
-    )
-    a, b = F.col("w.low"), F.col("f.q")
-    value = F.when((a == b) | (F.col("w.part") == 0), a).otherwise(a + (b - a) * F.col("w.part"))
-    return (
-        both.groupBy("w._group", "w.feature", "w.n")
-        .agg(F.sort_array(F.collect_list(F.struct(F.col("w.i"), value.alias("q")))).alias("_q"))
-        .select("_group", "feature", "n", F.col("_q.q").alias("quantiles"))
-    )
-
-
-def _small_groups(values: DataFrame, counts: DataFrame, ranks: DataFrame, small: int) -> DataFrame:
-    """The values at the ranks of groups and columns that are sorted as a whole."""
-    large = counts.filter(F.col("n") > small)
-    few = values.alias("v").join(large.alias("l"), _same("v", "l"), "left_anti").groupBy("_group", "feature")
-    whole = few.agg(F.sort_array(F.collect_list("v")).alias("values"))
-    asked = ranks.filter(F.col("n") <= small).alias("r").join(whole.alias("w"), _same("r", "w"))
-    return asked.select("r._group", "r.feature", "r.rank", F.element_at("w.values", (F.col("r.rank") + 1).cast("int")).alias("q"))
-
-
-def _narrowed(values: DataFrame, ranks: DataFrame, small: int) -> DataFrame:
-    """The values at the ranks of large groups. An open rank has ``n`` values between its borders, and ``left`` counts
-    from the first of these. Each pass finds two values around it: the rank's value is one of them or lies between
+def _interpolated(n: Column, p: float, at_rank) -> Column:
+    """The quantile ``p`` of ``n`` values, of which ``at_rank`` tells those at ranks. Whole numbers up to 2^53 are exact in a double,
+    as ranks are here."""
+    place = F.lit(float(p)) * (n - 1)
+    low = F.floor(place).cast("bigint")
+    part = place - F.floor(place)
+    a, b = at_rank(low), at_rank(F.least(low + 1, n - 1))
+    return F.when((a == b) | (part == 0), a).otherwise(a + (b - a) * part)
+
+
+def _small(layout: _Layout, counts: DataFrame, probabilities: Sequence[float], small: int) -> DataFrame:
+    """``_group``, ``f``, ``n``, ``quantiles`` and sorted ``values`` of the groups and columns that are sorted as a whole."""
+    every = range(len(layout.names))
+    # Lists of larger ones stay empty.
+    lists = [F.sort_array(F.collect_list(F.when(F.col(f"n{i}") <= small, F.col(f"_{i}")))).alias(f"v{i}") for i in every]
+    whole = layout.meet(counts).groupBy("_group").agg(*lists)
+    cells = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"v{i}").alias("values")) for i in every])
+    cells = whole.select("_group", F.explode(F.filter(cells, lambda c: F.size(c["values"]) > 0)).alias("c"))
+    n = F.size("values").cast("bigint")
+    return cells.select("_group", "c.f", "c.values").select(
+        "_group", "f", n.alias("n"),
+        F.array(*[_interpolated(n, p, lambda at: F.get("values", at.cast("int"))) for p in probabilities]).alias("quantiles"), "values",
+    )
+
+
+def _large(layout: _Layout, counts: DataFrame, probabilities: Sequence[float], small: int) -> DataFrame | None:
+    """``_group``, ``f``, ``n`` and ``quantiles`` of those that are narrowed."""
+    asked = []
+    for i in range(len(layout.names)):
+        n = F.col(f"n{i}")
+        places = [F.floor(F.lit(float(p)) * (n - 1)).cast("bigint") for p in probabilities]
+        ranks = F.array_distinct(F.array(*places, *[F.least(at + 1, n - 1) for at in places]))
+        ranks = F.transform(ranks, lambda r: F.struct(r.alias("rank"), r.alias("left")))
+        none = F.lit(None).cast("double")
+        asked.append(F.struct(F.lit(i).alias("f"), n.alias("size"), n.alias("n"), none.alias("low"), none.alias("high"), ranks.alias("ranks")))
+    opened = F.filter(F.array(*asked), lambda o: o["n"] > small)
+    still = counts.select("_group", opened.alias("open")).filter(F.size("open") > 0)
+    if still.isEmpty():
+        return None
+    found = cut_lineage(_narrowed(layout, still, small))
+    whole = found.groupBy("_group", "f", "size").agg(F.map_from_entries(F.collect_list(F.struct("rank", "q"))).alias("at"))
+    quantiles = [_interpolated(F.col("size"), p, lambda at: F.element_at("at", at)) for p in probabilities]
+    return whole.select("_group", "f", F.col("size").alias("n"), F.array(*quantiles).alias("quantiles"))
+
+
+def _narrowed(layout: _Layout, still: DataFrame, small: int) -> DataFrame:
+    """The values at the ranks of large groups: ``_group``, ``f``, ``size``, ``rank`` and ``q``. An open rank has ``n`` values between its
+    borders, and ``left`` counts from the first of these; ranks with the same borders are looked for together. Each pass finds two values
+    around each: the rank's value is one of them or lies between
     them, and if few do, these are sorted. So a value that very many rows share is passed over or found at once."""
-    none = F.lit(None).cast("double")
-    still = cut_lineage(ranks.select("*", F.col("rank").alias("left"), none.alias("low"), none.alias("high")))
-    found = None
+    value = layout.value(F.col("o.f")).alias("v")
+    found = []
+
+    def near(state: DataFrame) -> DataFrame:
+        rows = layout.meet(state).withColumn("o", F.explode("open"))
+        return rows.select("_group", "o", value).filter(F.col("v").isNotNull() & _inside(F.col("v")))
+
+    def by_group(rows: DataFrame, *names: str) -> DataFrame:
+        return rows.groupBy("_group").agg(F.collect_list(F.struct(*names)).alias("open"))
+
     for _ in range(MOST_PASSES):
-        near = values.alias("v").join(still.alias("o"), _same("v", "o") & _inside())
-        points = near.groupBy("o._group", "o.feature", "o.rank", "o.left", "o.n", "o.low", "o.high").agg(
-            F.percentile_approx("v.v", F.array(*[F.lit(i / STEPS) for i in range(STEPS + 1)]), ACCURACY).alias("points"),
-            F.min("v.v").alias("least"), F.max("v.v").alias("most"),
+        points = near(still).groupBy("_group", "o").agg(
+            F.percentile_approx("v", F.array(*[F.lit(i / STEPS) for i in range(STEPS + 1)]), ACCURACY).alias("points"),
+            F.min("v").alias("least"), F.max("v").alias("most"),
         )
-        around = cut_lineage(points.select("_group", "feature", "rank", "left", "n", "low", "high", *_around()))
-        v, a, b = F.col("v.v"), F.col("o.from"), F.col("o.to")
-        counted = (
-            values.alias("v").join(around.alias("o"), _same("v", "o") & _inside())
-            .groupBy("o._group", "o.feature", "o.rank", "o.left", "o.from", "o.to")
-            .agg(
-                F.count_if(v < a).alias("below"), F.count_if(v == a).alias("at_from"),
-                F.count_if((v > a) & (v < b)).alias("n"), F.count_if((v == b) & (b > a)).alias("at_to"),
-            )
+        around = points.select("_group", "o.f", "o.size", "o.n", "o.low", "o.high", "points", "least", "most", F.explode("o.ranks").alias("r"))
+        around = around.withColumn("left", F.col("r.left")).select("_group", "f", "size", "low", "high", "r", *_around())
+        around = around.groupBy("_group", "f", "size", "low", "high", "from", "to").agg(F.collect_list("r").alias("ranks"))
+        v, a, b = F.col("v"), F.col("o.from"), F.col("o.to")
+        counted = near(by_group(around, "f", "size", "low", "high", "from", "to", "ranks")).groupBy("_group", "o").agg(
+            F.count_if(v < a).alias("below"), F.count_if(v == a).alias("at_from"),
+            F.count_if((v > a) & (v < b)).alias("n"),
         )
-        place = F.col("left") - F.col("below") - F.col("at_from")
-        placed = cut_lineage(counted.withColumn("place", place))
+        placed = counted.select("_group", "o.f", "o.size", "o.from", "o.to", "n", "below", "at_from", F.explode("o.ranks").alias("r"))
+        place = F.col("r.left") - F.col("below") - F.col("at_from")
+        placed = cut_lineage(placed.select("_group", "f", "size", "from", "to", "n", F.col("r.rank").alias("rank"), place.alias("place")))
         edge = (F.col("place") < 0) | (F.col("place") >= F.col("n"))
-        done = placed.filter(edge).select(
-            "_group", "feature", "rank", F.when(F.col("place") < 0, F.col("from")).otherwise(F.col("to")).alias("q")
-        )
-        rest = placed.filter(~edge).select(
-            "_group", "feature", "n", "rank", F.col("place").alias("left"), F.col("from").alias("low"), F.col("to").alias("high")
-        )
+        q = F.when(F.col("place") < 0, F.col("from")).otherwise(F.col("to")).alias("q")
+        found.append(placed.filter(edge).select("_group", "f", "size", "rank", q))
+        rest = placed.filter(~edge).groupBy("_group", "f", "size", "n", F.col("from").alias("low"), F.col("to").alias("high"))
+        rest = rest.agg(F.collect_list(F.struct("rank", F.col("place").alias("left"))).alias("ranks"))
+        state = ("f", "size", "n", "low", "high", "ranks")
         few = rest.filter(F.col("n") <= small)
-        lists = (
-            values.alias("v").join(few.alias("o"), _same("v", "o") & _inside())
-            .groupBy("o._group", "o.feature", "o.rank", "o.left")
-            .agg(F.sort_array(F.collect_list("v.v")).alias("values"))
-        )
-        done = done.unionByName(
-            lists.select("_group", "feature", "rank", F.element_at("values", (F.col("left") + 1).cast("int")).alias("q"))
-        )
-        found = done if found is None else found.unionByName(done)
-        still = rest.filter(F.col("n") > small)
-        if still.isEmpty():
-            return found
+        if not few.isEmpty():
+            lists = near(by_group(few, *state)).groupBy("_group", "o").agg(F.sort_array(F.collect_list("v")).alias("values"))
+            lists = lists.select("_group", "o.f", "o.size", "values", F.explode("o.ranks").alias("r"))
+            found.append(lists.select("_group", "f", "size", "r.rank", F.get("values", F.col("r.left").cast("int")).alias("q")))
+        more = rest.filter(F.col("n") > small)
+        if more.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        still = cut_lineage(by_group(more, *state))
     raise RuntimeError("quantiles of groups did not come to an end")
 
 
@@ -145,29 +200,58 @@ def _around() -> list[Column]:
     ]
 
 
-def grouped_box_stats(df: DataFrame, columns: Iterable[str], by: str, small: int = SMALL) -> DataFrame:
+def _counts(layout: _Layout) -> DataFrame:
+    """Values of each column, one row for each group."""
+    return cut_lineage(layout.rows.groupBy("_group").agg(*[F.count(f"_{i}").alias(f"n{i}") for i in range(len(layout.names))]))
+
+
+def _named(names: list[str]) -> Column:
+    return F.get(F.array(*[F.lit(c) for c in names]), F.col("f")).alias("feature")
+
+
+def grouped_quantiles(
+    df: DataFrame, columns: Iterable[str], by: str, probabilities: Sequence[float], small: int = SMALL, hot: int = HOT
+) -> DataFrame:
+    """Exact, linearly interpolated quantiles: ``_group``, ``feature``, ``n`` and the array ``quantiles``. Groups and columns
+    without values have no row; null is a group."""
+    parts = []
+    for layout in _layouts(df, columns, by, hot):
+        counts = _counts(layout)
+        both = [_small(layout, counts, probabilities, small).drop("values"), _large(layout, counts, probabilities, small)]
+        parts += [p.select("_group", _named(layout.names), "n", "quantiles") for p in both if p is not None]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def grouped_box_stats(df: DataFrame, columns: Iterable[str], by: str, small: int = SMALL, hot: int = HOT) -> DataFrame:
     """As :func:`attrition.operators.stats.box_stats`, for any number of groups: per group and column the quartiles, whisker
     ends and number of points beyond."""
-    names = list(columns)
-    boxes = grouped_quantiles(df, names, by, (0.25, 0.5, 0.75), small)
-    q = [F.col("quantiles")[i] for i in range(3)]
+    steps = (0.25, 0.5, 0.75)
+    q = [F.get("quantiles", F.lit(i)) for i in range(3)]
     reach = F.lit(WHISKER) * (q[2] - q[0])
-    bounds = boxes.select(
-        "_group", "feature", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"),
-        (q[0] - reach).alias("low"), (q[2] + reach).alias("high"),
-    )
-    bounds = cut_lineage(bounds)
-    values = long_form(df, names, by)
-    inside = F.when(F.col("v.v").between(F.col("b.low"), F.col("b.high")), F.col("v.v"))
-    ends = (
-        values.alias("v").join(bounds.alias("b"), _same("v", "b"))
-        .groupBy("b._group", "b.feature")
-        .agg(F.min(inside).alias("first"), F.max(inside).alias("last"), F.count_if(inside.isNull()).alias("n_outliers"))
-    )
-    return (
-        bounds.alias("b").join(ends.alias("e"), _same("b", "e"))
-        .select(
-            F.col("b._group").alias(by), "b.feature", "b.q1", "b.median", "b.q3",
-            F.least("b.q1", "e.first").alias("whisker_low"), F.greatest("b.q3", "e.last").alias("whisker_high"), "e.n_outliers",
-        )
-    )
+    bounds = [q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"), (q[0] - reach).alias("low"), (q[2] + reach).alias("high")]
+    parts = []
+    for layout in _layouts(df, columns, by, hot):
+        counts = _counts(layout)
+        whole = _small(layout, counts, steps, small).select("_group", "f", "values", *bounds)
+        inside = F.filter("values", lambda v: v.between(F.col("low"), F.col("high")))
+        whole = whole.withColumn("inside", inside)
+        beyond = (F.size("values") - F.size("inside")).cast("bigint")
+        both = [whole.withColumns({"first": F.array_min("inside"), "last": F.array_max("inside"), "n_outliers": beyond})]
+        large = _large(layout, counts, steps, small)
+        if large is not None:
+            boxes = large.select("_group", F.struct("f", *bounds).alias("b")).groupBy("_group").agg(F.collect_list("b").alias("b"))
+            met = layout.meet(boxes).withColumn("o", F.explode("b")).select("_group", "o", layout.value(F.col("o.f")).alias("v"))
+            met = met.filter(F.col("v").isNotNull())
+            inside = F.when(F.col("v").between(F.col("o.low"), F.col("o.high")), F.col("v"))
+            ends = met.groupBy("_group", "o").agg(
+                F.min(inside).alias("first"), F.max(inside).alias("last"), F.count_if(inside.isNull()).alias("n_outliers")
+            )
+            both.append(ends.select("_group", "o.*", "first", "last", "n_outliers"))
+        parts += [
+            p.select(
+                F.col("_group").alias(by), _named(layout.names), "q1", "median", "q3",
+                F.least("q1", "first").alias("whisker_low"), F.greatest("q3", "last").alias("whisker_high"), "n_outliers",
+            )
+            for p in both
+        ]
+    return reduce(DataFrame.unionByName, parts)

@@ -23,11 +23,10 @@ def test_slab_against_brute_force(monkeypatch, kind, groups, digits, offset):
     data = (shares(900, rng) if groups > 1 else rng.normal(size=(900, 12))) + offset
     data[::7] = data[0]
     data = data.astype(kind)
-    monkeypatch.setattr(K, "TILE_ROWS", 40)
     monkeypatch.setattr(K, "HELD_PAIRS", 500)
     ids = 2**60 + rng.permutation(900)
     vectors = pa.array(list(data), pa.list_(pa.float32() if kind == "f4" else pa.float64()))
-    slab = K._Slab(pa.table({"id": ids, "vec": vectors, "_row": np.arange(900)}))
+    slab = K._Slab(pa.table({"id": ids, "vec": vectors, "_row": np.arange(900)}), 40)
     assert np.diff(slab.borders).max() <= 40 and sorted(slab.rows) == list(range(900))
     q = data[:200]
     full = K._norms(q[:, None].astype(float) - data[None].astype(float), groups)
